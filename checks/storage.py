@@ -1,2 +1,182 @@
-QUERIES = {}
-SQL = {}
+"""Files, manifests, stored tables and the catalog.
+
+Each query writes the given tables below the shared work folder and reads them back.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from checks.tables import table
+from millrace.functions import clean_text
+from millrace.sources import manifest as m
+from millrace.sources.catalog import create_or_repair
+from millrace.sources.files import work_folder
+from millrace.sources.readers import read_dependencies, read_input
+from millrace.sources.tables import HistoryTable, VersionedTable, save
+
+
+def _part_batch(spark, d):
+    root = work_folder(spark, "raw")
+    batch = m.Batch(root, "shop", "raw", "part", "20240102", 1704153600)
+    m.write_csv_batch(table(spark, d, "part"), batch)
+    m.write_raw_manifest(spark, batch)
+    return batch
+
+
+PART = (
+    "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double"
+)
+
+
+def manifest_scan(spark, d):
+    """S1 S2 K1 K15"""
+    batch = _part_batch(spark, d)
+    config = {"format": "csv", "schema": PART, "options": {"header": "true", "escape": '"'}}
+    return m.scan_manifest(spark, batch.manifest_path, batch.root, config)
+
+
+def manifest_spec(spark, d):
+    """S3 S4"""
+    batch = _part_batch(spark, d)
+    spec = {
+        "input": {
+            "schema": PART,
+            "options": {"header": "true"},
+            "select_columns": ["p_partkey", "p_type"],
+        }
+    }
+    merged = m.with_manifest(spec, m.read_manifest(spark, batch.manifest_path), batch.root)
+    return read_input(spark, merged["input"])
+
+
+def csv_roundtrip(spark, d):
+    """K1 F1: whole cleaned texts with quotes, commas and letters of any kind"""
+    batch = m.Batch(work_folder(spark, "raw"), "shop", "raw", "documents", "20240102", 1)
+    docs = table(spark, d, "documents").select("doc_id", clean_text("text").alias("text"))
+    m.write_csv_batch(docs, batch)
+    return read_input(
+        spark,
+        {
+            "path": batch.data_path,
+            "schema": "doc_id bigint, text string",
+            "options": {"header": "true", "escape": '"'},
+        },
+    )
+
+
+def partition_scan(spark, d):
+    """S6 K2 K9"""
+    orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
+    stored = VersionedTable(
+        spark, f"{work_folder(spark, 'golden')}/orders", ["year"], ["o_orderkey"]
+    )
+    stored.replace(orders)
+    return stored.read("o_totalprice > 1000", {"year": "1998"})
+
+
+def _stored_customers(spark, d):
+    """Two batches of an SCD4 table: all customers, then those in debt with a new segment
+    and a further column."""
+    root = work_folder(spark, "golden")
+    customers = table(spark, d, "customer")
+    output = {
+        "path": f"{root}/customer/current",
+        "history_path": f"{root}/customer/history",
+        "store_type": "SCD4",
+        "primary_key": ["c_custkey"],
+        "partition_by": ["c_mktsegment"],
+    }
+    save(customers, output, as_of="2024-01-01 00:00:00")
+    poor = customers.filter("c_acctbal < 1000").withColumns(
+        {"c_mktsegment": F.lit("DEBT"), "checked": F.lit(True)}
+    )
+    current = save(poor, output, as_of="2024-01-02 00:00:00")
+    return current, HistoryTable(spark, output["history_path"])
+
+
+def stored_current(spark, d):
+    """K3 K6 K7 K8 K19"""
+    return _stored_customers(spark, d)[0].read()
+
+
+def stored_history(spark, d):
+    """K6 K8"""
+    rows = _stored_customers(spark, d)[1].read()
+    return rows.withColumn("record_timestamp", F.col("record_timestamp").cast("timestamp_ntz"))
+
+
+def stored_delete(spark, d):
+    """The second version of a stored table"""
+    stored = VersionedTable(spark, f"{work_folder(spark, 'golden')}/orders")
+    stored.replace(table(spark, d, "orders"))
+    stored.delete("o_orderstatus = 'F'")
+    return stored.read()
+
+
+def dependency_scan(spark, d):
+    """Named tables, joined"""
+    frames = read_dependencies(
+        spark, {n: f"{d}/{n}.parquet" for n in ("orders", "customer")}, ["orders", "customer"]
+    )
+    return frames["orders"].join(
+        frames["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey"
+    )
+
+
+def catalog_table(spark, d):
+    """An external partitioned table in the catalog"""
+    orders = table(spark, d, "orders")
+    stored = VersionedTable(spark, f"{work_folder(spark, 'golden')}/orders", ["o_orderstatus"])
+    stored.replace(orders)
+    name = f"orders_{uuid.uuid4().hex}"
+    create_or_repair(
+        spark, "default", name, orders.schema, stored.location(), ["o_orderstatus"]
+    )
+    return spark.table(f"default.{name}")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        manifest_scan,
+        manifest_spec,
+        csv_roundtrip,
+        partition_scan,
+        stored_current,
+        stored_history,
+        stored_delete,
+        dependency_scan,
+        catalog_table,
+    )
+}
+
+_WS = r"[\x09-\x0d\x1c-\x1f\x{85}\p{Z}]"
+
+SQL = {
+    "manifest_scan": "SELECT * FROM part",
+    "manifest_spec": "SELECT p_partkey, p_type FROM part",
+    "csv_roundtrip": f"""
+        SELECT doc_id, nullif(regexp_replace(translate(text, chr(10) || chr(13), '  '),
+                 '^{_WS}+|{_WS}+$', '', 'g'), '') AS text FROM documents""",
+    "partition_scan": """
+        SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+        WHERE year(o_orderdate) = 1998 AND o_totalprice > 1000""",
+    "stored_current": """
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+               CASE WHEN c_acctbal < 1000 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment,
+               CASE WHEN c_acctbal < 1000 THEN true END AS checked FROM customer""",
+    "stored_history": """
+        SELECT *, TIMESTAMP '2024-01-01' AS record_timestamp, CAST(NULL AS BOOLEAN) AS checked
+        FROM customer
+        UNION ALL
+        SELECT * REPLACE ('DEBT' AS c_mktsegment), TIMESTAMP '2024-01-02', true
+        FROM customer WHERE c_acctbal < 1000""",
+    "stored_delete": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
+    "dependency_scan": """
+        SELECT orders.*, c_name FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "catalog_table": "SELECT * FROM orders",
+}

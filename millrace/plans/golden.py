@@ -10,15 +10,13 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import types as T
 
-
-def _schema(**columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in columns.items()))
+def _schema(**columns: str) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in columns.items())
 
 
 # Raw zone columns.  Numbers arrive as text, because an absent one is the text "N/A".
-RAW_SCHEMAS: dict[str, T.StructType] = {
+RAW_SCHEMAS: dict[str, str] = {
     "trending_videos": _schema(
         video_id="string",
         title="string",

@@ -53,8 +53,18 @@ def check_mapping(mapping: Mapping[str, tuple[str, ...]], known_events: set[str]
 
 def mapping_rows(spark: SparkSession, mapping: Mapping[str, tuple[str, ...]]) -> DataFrame:
     """ST7: rows ``(target, finish_event, need)``; as many as the config file has names."""
-    rows = [(t, e, len(needed)) for t, needed in mapping.items() for e in needed]
-    return spark.createDataFrame(rows, "target string, finish_event string, need int")
+    rows = [
+        F.struct(
+            F.lit(target).alias("target"),
+            F.lit(event).alias("finish_event"),
+            F.lit(len(needed)).alias("need"),
+        )
+        for target, needed in mapping.items()
+        for event in needed
+    ]
+    if not rows:
+        return spark.createDataFrame([], "target string, finish_event string, need int")
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -130,15 +140,15 @@ def newest_per_task(messages: DataFrame) -> DataFrame:
 
 
 def readiness_stream(
-    messages: DataFrame, mapping: Mapping[str, tuple[str, ...]], keep_hours: float = 24.0
+    messages: DataFrame, mapping: Mapping[str, tuple[str, ...]], keep: str = "24 hours"
 ) -> DataFrame:
     """ST3: a stream of ``(batch_id, target)``, each pair once.
 
     State per batch id: the newest ``(at, id, status)`` of each event and the targets that
-    fired.  It is dropped ``keep_hours`` after the batch's last message.
+    fired.  It is dropped, and a message is late, when the stream's newest message is
+    ``keep`` past the batch's last one.
     """
     needs = {t: list(e) for t, e in mapping.items()}
-    timeout = int(keep_hours * 3_600_000)
 
     def update(key, frames, state):
         import json as js
@@ -148,7 +158,7 @@ def readiness_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        seen, fired = (js.loads(state.get[0]), set(js.loads(state.get[1]))) if state.exists else ({}, set())
+        seen, fired = [js.loads(s) for s in state.get] if state.exists else ({}, [])
         for frame in frames:
             for event, status, at, number in zip(
                 frame["finish_event"], frame["status"], frame["at"], frame["id"]
@@ -156,26 +166,24 @@ def readiness_stream(
                 stamp = [int(pd.Timestamp(at).value), int(number)]
                 if event not in seen or stamp >= seen[event][:2]:
                     seen[event] = [*stamp, status]
-        new = [
-            target
-            for target, events in needs.items()
-            if target not in fired
-            and all(e in seen and seen[e][2] == "SUCCESS" for e in events)
-        ]
-        state.update((js.dumps(seen), js.dumps(sorted(fired | set(new)))))
-        state.setTimeoutDuration(timeout)
+        done = {event for event, (_, _, status) in seen.items() if status == "SUCCESS"}
+        new = [t for t, events in needs.items() if t not in fired and done.issuperset(events)]
+        state.update((js.dumps(seen), js.dumps(fired + new)))
+        last = max(at for at, _, _ in seen.values()) // 1_000_000 + 1
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1))
         if new:
             yield pd.DataFrame({"batch_id": [key[0]] * len(new), "target": new})
 
     return (
         newest_per_task(messages)
+        .withWatermark("at", keep)
         .groupBy("batch_id")
         .applyInPandasWithState(
             update,
             "batch_id string, target string",
             "seen string, fired string",
             "append",
-            GroupStateTimeout.ProcessingTimeTimeout,
+            GroupStateTimeout.EventTimeTimeout,
         )
     )
 
