@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The placeholder for absent text, and the characters that count
-# as white space (ASCII controls, next-line, and every Unicode separator).
+# as white space (ASCII controls and blank, next-line, and every Unicode separator).
 MISSING_TEXT = "N/A"
-WHITE_SPACE = r"[\x09-\x0d\x1c-\x1f\x85\p{Z}]"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 _ISO_DURATION = (
     r"^P(?=.)(?:(\d+)W)?(?:(\d+)D)?"
@@ -23,8 +26,11 @@ def _col(value: Column | str) -> Column:
 
 
 def strip(value: Column | str) -> Column:
-    """Remove white space of any kind from both ends (``trim`` knows blanks only)."""
-    return F.regexp_replace(_col(value), f"^{WHITE_SPACE}+|{WHITE_SPACE}+$", "")
+    """Remove white space of any kind from both ends (plain ``trim`` knows blanks only).
+
+    ``btrim`` looks at the ends alone, where a regular expression would scan the text.
+    """
+    return F.btrim(_col(value), F.lit(WHITE_SPACE))
 
 
 def clean_text(
