@@ -4,9 +4,10 @@
 here; :mod:`millrace.sources.tables` does that.
 
 The batch is expected to be small next to the table.  The table is therefore always the
-streamed side of a join with the batch: while the batch (or its keys) fits Spark's
-broadcast threshold, the table is scanned once and not shuffled; beyond it, both sides
-shuffle on the key.  The batch holds one row per key by then, so no key can be hot.
+streamed side of a join with the batch: while the size Spark knows for the batch (that of
+its files) is below the broadcast threshold, the table is scanned and not shuffled; beyond
+it, both sides shuffle on the key.  The batch holds one row per key by then, so no key can
+be hot.
 """
 
 from __future__ import annotations

@@ -116,6 +116,17 @@ class VersionedTable:
         entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
         return number
 
+    def stage(self, batch: DataFrame) -> DataFrame:
+        """The batch, computed once and written beside the table.
+
+        A merge reads its batch several times; from files it is read, not computed, again.
+        Their size is also what lets Spark decide whether the batch can be broadcast past
+        the table.  One batch is kept; the next one replaces it.
+        """
+        path = f"{self.path}/batch"
+        batch.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path)
+
     def delete(self, condition: str) -> int | None:
         """A version without the rows for which ``condition`` is true."""
         current = self.read()
@@ -164,6 +175,7 @@ def save(
     keys = list(output["primary_key"])
     tracking = list(output.get("tracking_columns") or [])
     choice = {"order_by": output.get("order_by"), "strict": output.get("strict", False)}
+    df = table.stage(df)
     current = table.read()
     if kind == "SCD2":
         table.replace(scd.scd2(current, df, keys, tracking or None, as_of, **choice), kind)

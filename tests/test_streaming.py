@@ -1,0 +1,204 @@
+"""ST1-ST7: streams agree with their batch twins, survive restarts, and fire once."""
+
+import datetime as dt
+import json
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from millrace.sources.ledger import EVENT_SCHEMA
+from millrace.streaming import notifications as n
+from millrace.streaming import readiness as rd
+
+MAPPING = {"a,b": "ab", "b,c": "bc"}
+START = dt.datetime(2024, 1, 1)
+
+
+def message(batch, event, status="SUCCESS", at=0, number=0):
+    stamp = (START + dt.timedelta(minutes=at)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+    return {"batch_id": batch, "finish_event": event, "dataset": event, "status": status,
+            "at": stamp, "id": number}
+
+
+def put(folder, name, messages):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"{name}.json").write_text("\n".join(json.dumps(m) for m in messages))
+
+
+def run(spark, tmp_path, stream, schema):
+    rd.run_available(stream, str(tmp_path / "checkpoint"), str(tmp_path / "out"))
+    return rows(spark.read.schema(schema).parquet(str(tmp_path / "out")))
+
+
+def read(spark, tmp_path, files_per_trigger=1):
+    return n.read_events(
+        spark, str(tmp_path / "in"), rd.MESSAGE, maxFilesPerTrigger=files_per_trigger
+    )
+
+
+def test_readiness_over_restarts(spark, tmp_path):
+    mapping = rd.load_mapping(MAPPING)
+    again = lambda: run(
+        spark, tmp_path, rd.readiness_stream(read(spark, tmp_path), mapping),
+        "batch_id string, target string",
+    )
+    put(tmp_path / "in", 1, [message("x", "a"), message("y", "b", at=1), message("x", "a")])
+    assert again() == []
+    put(tmp_path / "in", 2, [message("x", "b", at=2), message("y", "c", at=2, status="FAILED")])
+    assert again() == [("x", "ab")]
+    # a repeat does not fire again, a later SUCCESS settles the failure
+    put(tmp_path / "in", 3, [message("x", "b", at=3), message("y", "c", at=3)])
+    assert again() == [("x", "ab"), ("y", "bc")]
+    # an older status that arrives late changes nothing
+    put(tmp_path / "in", 4, [message("x", "c", at=6), message("x", "b", "RUNNING", at=1)])
+    assert again() == [("x", "ab"), ("x", "bc"), ("y", "bc")]
+
+
+def test_newest_status_counts_not_the_last_seen(spark, tmp_path):
+    put(tmp_path / "in", 1, [message("x", "a", at=5), message("x", "b", "FAILED", at=9),
+                             message("x", "b", "SUCCESS", at=4)])
+    stream = rd.readiness_stream(read(spark, tmp_path), rd.load_mapping(MAPPING))
+    assert run(spark, tmp_path, stream, "batch_id string, target string") == []
+
+
+def test_state_is_dropped(spark, tmp_path):
+    mapping = rd.load_mapping(MAPPING)
+    again = lambda: run(
+        spark, tmp_path, rd.readiness_stream(read(spark, tmp_path), mapping, "1 hour"),
+        "batch_id string, target string",
+    )
+    put(tmp_path / "in", 1, [message("old", "a")])
+    again()
+    put(tmp_path / "in", 2, [message("new", "a", at=600)])
+    again()
+    # three hours late for its batch: the batch's state is gone, the message is dropped
+    put(tmp_path / "in", 3, [message("old", "b", at=1)])
+    assert again() == []
+
+
+def test_batch_twin(spark):
+    data = [message("x", "a"), message("x", "b"), message("y", "b"), message("y", "c", "FAILED", 1),
+            message("y", "c", "SUCCESS", 0)]
+    df = spark.createDataFrame(
+        [(m["batch_id"], m["finish_event"], m["status"], m["at"], 0) for m in data],
+        "batch_id string, finish_event string, status string, at string, id bigint",
+    )
+    mapping = rd.mapping_rows(spark, rd.load_mapping(MAPPING))
+    assert rows(rd.ready_targets(df, mapping)) == [("x", "ab")]
+    assert rd.ready_targets(df, rd.mapping_rows(spark, {})).count() == 0
+
+
+def by_hand(messages, mapping):
+    number, seen, fired, out = 1, {}, set(), []
+    for m in sorted(messages, key=lambda m: (m["at"], m["id"])):
+        seen[m["finish_event"]] = m["status"]
+        for key, target in mapping.items():
+            if target not in fired and all(seen.get(e) == "SUCCESS" for e in key.split(",")):
+                fired.add(target)
+                out.append((number, target))
+        if len(fired) == len(mapping):
+            number, seen, fired = number + 1, {}, set()
+    return sorted(out)
+
+
+def test_rounds(spark, tmp_path):  # ST4
+    draw = random.Random(7)
+    messages = [
+        message(None, draw.choice("abcd"), draw.choice(["SUCCESS", "SUCCESS", "FAILED"]), i, i)
+        for i in range(120)
+    ]
+    for part in range(4):
+        chunk = messages[part * 30 : part * 30 + 30]
+        draw.shuffle(chunk)
+        put(tmp_path / "in", part, chunk)
+        stream = rd.rounds_stream(read(spark, tmp_path), rd.load_mapping(MAPPING))
+        got = run(spark, tmp_path, stream, "round bigint, target string")
+    assert sorted(got) == by_hand(messages, MAPPING) and len(got) > 10
+
+
+def test_mapping(spark, tmp_path):
+    assert rd.load_mapping({"a, b,a": "t"}) == {"t": ("a", "b")}
+    path = tmp_path / "m.json"
+    path.write_text(json.dumps(MAPPING))
+    assert rd.load_mapping(str(path), spark) == {"ab": ("a", "b"), "bc": ("b", "c")}
+    path.write_text("{broken")
+    assert rd.load_mapping(str(path), spark) == {}
+    assert rd.load_mapping(str(tmp_path / "absent.json"), spark) == {}
+    with pytest.raises(ValueError):
+        rd.load_mapping({"a": "t", "b": "t"})
+    with pytest.raises(ValueError, match="nobody sends"):  # D18
+        rd.check_mapping({"t": ("a", "z")}, {"a"})
+    assert rows(rd.mapping_rows(spark, {"t": ("a", "b")})) == [("t", "a", 2), ("t", "b", 2)]
+
+
+def test_event_validation(spark):
+    good = {"finish_event": "e", "dataset": "d", "timestamp": "2024-01-01T00:00:00Z"}
+    values = [json.dumps(good), '{"dataset": "d"}', '{"finish_event": "e", "dataset": ""}',
+              "[1]", "text", None, "{broken"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+    got = [r["reject_reason"] for r in rd.validate_events(df.orderBy("i")).collect()]
+    assert got == [None, "finish_event is missing", "dataset is missing"] + ["not a JSON object"] * 4
+    assert rd.validate_events(df.filter("i = 0")).first()["at"] == START
+    assert "batch_id" in EVENT_SCHEMA
+
+
+def notification(name, key, bucket="b"):
+    return json.dumps(
+        {"EventName": name, "Records": [{"s3": {"bucket": {"name": bucket}, "object": {"key": key}}}]}
+    )
+
+
+NOTES = [
+    (notification(n.CREATED, "s%2Fraw%2Ft%2Fcontrol_file.json"), ("s", "raw", "t"), None),
+    (notification(n.CREATED, "s/golden/t/_delta_log/0.json"), None, "table log file"),
+    (notification("s3:ObjectRemoved:Delete", "s/raw/t/x.json"), None, "unhandled event"),
+    (notification(n.CREATED, "s/raw/t/x.csv"), None, "not a control file"),
+    (notification(n.CREATED, "raw/x.json"), None, "fewer than 3 path parts"),
+    (json.dumps({"EventName": n.CREATED, "Records": []}), None, "not a control file"),
+    (json.dumps({}), None, "unhandled event"),
+    ("no json", None, "unhandled event"),
+]
+
+
+def test_notifications(spark):
+    df = spark.createDataFrame([(i, v[0]) for i, v in enumerate(NOTES)], "i int, value string")
+    got = n.route_notifications(n.parse_notifications(df.orderBy("i"))).collect()
+    for row, (_, parts, reason) in zip(got, NOTES):
+        assert row["reject_reason"] == reason
+        assert (row["source_system"], row["database"], row["table"]) == (parts or (None,) * 3)
+    unknown = got[-1]
+    assert (unknown["event_name"], unknown["bucket_name"], unknown["object_key"]) == ("Unknown",) * 3
+
+
+def test_notification_stream_equals_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.json").write_text("\n".join(v[0] for v in NOTES))
+    stream = n.work_requests(n.parse_notifications(n.read_events(spark, str(folder))))
+    rd.run_available(stream, str(tmp_path / "checkpoint"), str(tmp_path / "out"))
+    batch = n.work_requests(n.parse_notifications(spark.read.text(str(folder))))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(batch) and batch.count() == 1
+
+
+def test_golden_requests(spark):
+    df = spark.createDataFrame(
+        [(n.CREATED, "b", "s/golden/t/part.0.parquet"), (n.CREATED, "b", "golden/x"),
+         (n.CREATED, "b", "s/raw/t/x.csv")],
+        "event_name string, bucket_name string, object_key string",
+    )
+    assert rows(n.golden_requests(df).select("dataset_name")) == [("part",)]
+
+
+def test_tasks_send_one_row_per_event(spark):
+    df = spark.range(0, 30_000, 1, 4).select(
+        F.lit("x").alias("batch_id"),
+        (F.col("id") % 3).cast("string").alias("finish_event"),
+        F.lit("d").alias("dataset"),
+        F.lit("SUCCESS").alias("status"),
+        F.timestamp_seconds("id").alias("at"),
+        "id",
+    )
+    kept = rd.newest_per_task(df)
+    assert kept.count() == 12 and kept.agg(F.max("id")).first()[0] == 29_999
