@@ -15,7 +15,7 @@ from millrace.sources import manifest as m
 from millrace.sources.catalog import create_or_repair
 from millrace.sources.files import work_folder
 from millrace.sources.readers import read_dependencies, read_input
-from millrace.sources.tables import HistoryTable, VersionedTable, save
+from millrace.sources.tables import VersionedTable, save
 
 
 def _part_batch(spark, d):
@@ -95,7 +95,7 @@ def _stored_customers(spark, d):
         {"c_mktsegment": F.lit("DEBT"), "checked": F.lit(True)}
     )
     current = save(poor, output, as_of="2024-01-02 00:00:00")
-    return current, HistoryTable(spark, output["history_path"])
+    return current, VersionedTable(spark, output["history_path"])
 
 
 def stored_current(spark, d):
@@ -111,12 +111,30 @@ def stored_history(spark, d):
 
 def stored_delete(spark, d):
     """The second version of a stored table"""
-    stored = VersionedTable(spark, f"{work_folder(spark, 'golden')}/orders")
+    stored = VersionedTable(spark, f"{work_folder(spark, 'golden')}/orders", ["o_orderpriority"])
     stored.replace(table(spark, d, "orders"))
     stored.delete("o_orderstatus = 'F'")
     return stored.read()
 
 
+def stored_versions(spark, d):
+    """K4 K9: SCD2 on disk, by year; orders of 2000 come again with a new status"""
+    orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
+    output = {
+        "path": f"{work_folder(spark, 'golden')}/orders",
+        "store_type": "SCD2",
+        "primary_key": ["o_orderkey"],
+        "tracking_columns": ["o_orderstatus"],
+        "partition_by": ["year"],
+    }
+    save(orders, output, as_of="2024-01-01 00:00:00")
+    changed = orders.filter("year = 2000").withColumn("o_orderstatus", F.lit("F"))
+    rows = save(changed, output, as_of="2024-01-02 00:00:00").read()
+    return rows.withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("start_date", "end_date")}
+    )
+
+
 def dependency_scan(spark, d):
     """Named tables, joined"""
     frames = read_dependencies(
@@ -130,12 +148,12 @@ def dependency_scan(spark, d):
 def catalog_table(spark, d):
     """An external partitioned table in the catalog"""
     orders = table(spark, d, "orders")
-    stored = VersionedTable(spark, f"{work_folder(spark, 'golden')}/orders", ["o_orderstatus"])
+    parts = ["o_orderstatus"]
+    stored = VersionedTable(spark, f"{work_folder(spark, 'golden')}/orders", parts)
     stored.replace(orders)
     name = f"orders_{uuid.uuid4().hex}"
-    create_or_repair(
-        spark, "default", name, orders.schema, stored.location(), ["o_orderstatus"]
-    )
+    location, folders = stored.place()
+    create_or_repair(spark, "default", name, orders.schema, location, parts, folders)
     return spark.table(f"default.{name}")
 
 
@@ -149,6 +167,7 @@ QUERIES = {
         stored_current,
         stored_history,
         stored_delete,
+        stored_versions,
         dependency_scan,
         catalog_table,
     )
@@ -176,6 +195,14 @@ SQL = {
         SELECT * REPLACE ('DEBT' AS c_mktsegment), TIMESTAMP '2024-01-02', true
         FROM customer WHERE c_acctbal < 1000""",
     "stored_delete": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
+    "stored_versions": """
+        WITH o AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+        SELECT *, TIMESTAMP '2024-01-01' AS start_date,
+               CASE WHEN year = 2000 AND o_orderstatus <> 'F' THEN TIMESTAMP '2024-01-02' END
+                 AS end_date, NOT (year = 2000 AND o_orderstatus <> 'F') AS is_current FROM o
+        UNION ALL
+        SELECT * REPLACE ('F' AS o_orderstatus), TIMESTAMP '2024-01-02', NULL, true FROM o
+        WHERE year = 2000 AND o_orderstatus <> 'F'""",
     "dependency_scan": """
         SELECT orders.*, c_name FROM orders JOIN customer ON o_custkey = c_custkey""",
     "catalog_table": "SELECT * FROM orders",

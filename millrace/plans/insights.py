@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import left_join_fanout, lookup_join
 from millrace.operators.rows import sort_by_metric
+from millrace.sources.catalog import create_or_repair
+from millrace.sources.tables import VersionedTable
 
 Frames = Mapping[str, DataFrame]
 
@@ -225,7 +227,6 @@ def tag_performance(frames: Frames) -> DataFrame:
     return sort_by_metric(metrics, "total_views", "value")
 
 
-# What each job reads and the finish events it waits for.
 INSIGHTS: dict[str, Callable[[Frames], DataFrame]] = {
     "video_performance_metrics": video_performance,
     "category_popularity_metrics": category_popularity,
@@ -236,3 +237,67 @@ INSIGHTS: dict[str, Callable[[Frames], DataFrame]] = {
     "related_videos_network": related_network,
     "tag_performance_metrics": tag_performance,
 }
+
+# The golden tables each job reads, by the name the job knows them under.
+DEPENDENCIES: dict[str, dict[str, str]] = {
+    "video_performance_metrics": {
+        "trending_videos": "trending_videos/current",
+        "categories": "categories",
+    },
+    "category_popularity_metrics": {
+        "trending_videos": "trending_videos/current",
+        "categories": "categories",
+    },
+    "channel_engagement_metrics": {
+        "channels": "channels/current",
+        "countries": "countries",
+        "trending_videos": "trending_videos/current",
+    },
+    "channel_growth_metrics": {
+        "channels": "channels/current",
+        "trending_videos": "trending_videos/current",
+    },
+    "comment_insights": {
+        "comment_threads": "comment_threads/current",
+        "trending_videos": "trending_videos/current",
+    },
+    "author_activity_metrics": {
+        "authors": "authors",
+        "comment_threads": "comment_threads/current",
+        "replies": "replies/current",
+    },
+    "related_videos_network": {
+        "related_videos": "related_category_videos/current",
+        "categories": "categories",
+        "trending_videos": "trending_videos/current",
+    },
+    "tag_performance_metrics": {
+        "tags": "tags",
+        "trending_videos": "trending_videos/current",
+    },
+}
+
+
+def read_golden(spark: SparkSession, root: str, needed: Mapping[str, str]) -> Frames:
+    """The current version of each golden table; an absent table is an error."""
+    frames = {}
+    for name, path in needed.items():
+        frame = VersionedTable(spark, f"{root}/{path}").read()
+        if frame is None:
+            raise ValueError(f"golden table {path!r} does not exist")
+        frames[name] = frame
+    return frames
+
+
+def publish(
+    spark: SparkSession, name: str, golden: str, path: str, database: str | None = None
+) -> VersionedTable:
+    """Run one insight job: read its golden tables, replace its result at ``path`` and, with
+    ``database``, enter it in the catalog under ``name``."""
+    result = INSIGHTS[name](read_golden(spark, golden, DEPENDENCIES[name]))
+    stored = VersionedTable(spark, path)
+    stored.replace(result)
+    if database is not None:
+        location, _ = stored.place()
+        create_or_repair(spark, database, name, result.schema, location)
+    return stored

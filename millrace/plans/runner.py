@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.operators import STEPS
 from millrace.operators.quality import check_schema, parse_rules, validate
 from millrace.sources.readers import read_input
+from millrace.sources.tables import save
 
 INPUT_FRAME = "input_df"
 log = logging.getLogger(__name__)
@@ -129,6 +131,36 @@ def write_outputs(
     return done
 
 
+@dataclass(frozen=True)
+class PipelineResult:
+    """What a run made: frames by name, stored outputs with schema, quality report."""
+
+    frames: dict[str, DataFrame]
+    outputs: list[dict[str, Any]]
+    quality: DataFrame | None
+
+
+def execute(
+    spark: SparkSession,
+    spec: dict[str, Any],
+    ledger=None,
+    announce: Callable[[dict[str, Any]], None] | None = None,
+    as_of=None,
+) -> PipelineResult:
+    """Read, transform, check the ``quality`` rules and store every output."""
+    source = read_input(spark, spec["input"])
+    try:
+        frames = run_pipeline(spark, spec, source)
+        report = check_quality(frames, spec.get("quality", {}), as_of)
+        outputs = write_outputs(
+            frames, spec, lambda df, output: save(df, output, spark, as_of), ledger, announce
+        )
+    finally:
+        if source.is_cached:
+            source.unpersist()
+    return PipelineResult(frames, outputs, report)
+
+
 def schema_rows(df: DataFrame) -> list[dict[str, Any]]:
     """The schema as a list of name, type and nullable (and metadata if any)."""
     rows = []

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from millrace.sources.tables import VersionedTable
+
+
+# Fixed value: the directory name Hive-style partitioning gives a null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _quoted(*names: str) -> str:
     return ".".join("`" + n.replace("`", "``") + "`" for n in names)
@@ -27,12 +34,13 @@ def create_or_repair(
     schema: T.StructType,
     location: str,
     partition_by: list[str] | None = None,
+    partition_dirs: list[str] | None = None,
 ) -> str:
     """Make sure an external Parquet table stands over ``location``.
 
-    Creates database and table when absent and takes in the partitions found there.
-    A table over another location (each version of a stored table has its own) is entered
-    anew, because its partitions carry the old location; only the catalog entry goes.
+    Creates database and table when absent and takes in the partitions found there, or
+    those of ``partition_dirs`` where the table's partitions lie in several places.  An
+    entry whose place has changed is made anew; only the catalog is touched, never data.
     Returns ``"created"`` or ``"repaired"``.
     """
     parts = list(partition_by or [])
@@ -40,23 +48,42 @@ def create_or_repair(
     existed = spark.catalog.databaseExists(database) and spark.catalog.tableExists(
         f"{database}.{table}"
     )
-    moved = existed and _plain(_location(spark, name)) != _plain(location)
-    if moved:
+    anew = existed and (
+        partition_dirs is not None or _plain(_location(spark, name)) != _plain(location)
+    )
+    if anew:
         spark.sql(f"DROP TABLE {name}")
-    if moved or not existed:
+    if anew or not existed:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
         clause = f"PARTITIONED BY ({', '.join(_quoted(p) for p in parts)})" if parts else ""
-        place = location.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(_columns(schema, parts))}) "
-            f"USING parquet {clause} LOCATION '{place}'"
+            f"USING parquet {clause} LOCATION {_text(location)}"
         )
-    if parts:
+    if partition_dirs:
+        added = " ".join(
+            f"PARTITION ({_values(d, parts)}) LOCATION {_text(d)}" for d in partition_dirs
+        )
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+    elif parts and partition_dirs is None:
         spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
     spark.catalog.refreshTable(f"{database}.{table}")
     return "repaired" if existed else "created"
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _values(folder: str, parts: list[str]) -> str:
+    """The partition values a directory name stands for."""
+    found = dict(p.split("=", 1) for p in folder.split("/") if "=" in p)
+    return ", ".join(
+        f"{_quoted(p)} = " + ("null" if found[p] == NULL_FOLDER else _text(unquote(found[p])))
+        for p in parts
+    )
+
+
 def _location(spark: SparkSession, name: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     return described.filter("col_name = 'Location'").select("data_type").first()[0]
@@ -78,26 +105,36 @@ def register_outputs(
     spark: SparkSession,
     database: str,
     outputs: Iterable[Mapping[str, Any]],
-    locate: Callable[[str], str | None] = lambda path: path,
+    locate: Callable[[Mapping[str, Any]], tuple[str, list[str] | None] | None] = lambda output: (
+        output["path"],
+        None,
+    ),
 ) -> dict[str, str]:
-    """Register every output of a run.  ``locate`` turns an output's path into the
-    directory of its current version."""
+    """Register every output of a run.  ``locate`` gives the directory of an output and,
+    if its partitions lie apart, theirs."""
     done = {}
     for output in outputs:
         absent = [k for k in ("dataframe", "path", "schema") if not output.get(k)]
         if absent:
             raise ValueError(f"output without {absent}")
-        name = table_name(output["path"], output.get("store_type", "SCD1"))
+        place = locate(output)
+        if place is None:
+            raise ValueError(f"nothing is stored at {output['path']}")
         rows = output["schema"]
         schema = (
             rows
             if isinstance(rows, T.StructType)
             else T.StructType.fromDDL(", ".join(f"{_quoted(r['name'])} {r['type']}" for r in rows))
         )
-        location = locate(output["path"])
-        if location is None:
-            raise ValueError(f"nothing is stored at {output['path']}")
+        name = table_name(output["path"], output.get("store_type", "SCD1"))
         done[name] = create_or_repair(
-            spark, database, name, schema, location, output.get("partition_by")
+            spark, database, name, schema, place[0], output.get("partition_by"), place[1]
         )
     return done
+
+
+def stored_place(spark: SparkSession) -> Callable[[Mapping[str, Any]], Any]:
+    """For :func:`register_outputs`: outputs that are stored tables, in their newest version."""
+    return lambda output: VersionedTable(
+        spark, output["path"], output.get("partition_by")
+    ).place()

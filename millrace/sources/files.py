@@ -34,10 +34,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(jvm_path)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write one small file, replacing it."""
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> None:
+    """Write one small file.  Without ``replace`` it is an error if there is one."""
     system, jvm_path = _file_system(spark, path)
-    stream = system.create(jvm_path, True)
+    stream = system.create(jvm_path, replace)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:

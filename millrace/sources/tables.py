@@ -1,24 +1,40 @@
-"""Stored tables: Parquet snapshots with one log row per write.
+"""Stored tables: Parquet directories with one log entry per write.
 
-``<path>/data/v=<n>/`` holds version ``n`` and ``<path>/log/`` one JSON row per finished
-write.  A version becomes current when its log row is written, after all its files are
-there, so a job that dies midway leaves the old version in force and a retry replaces the
-unfinished one.  A table is never overwritten while it is read.
+Every write puts its files below a new directory ``data/_version=<n>-<id>/`` and then adds
+``<path>/log/<n>.json``, which names the directories in force.  The log entry is the commit:
+a job that dies before it leaves the old version in force, and a table is never overwritten
+while it is read.  Of two writers of one version the second finds the entry taken and fails.
+
+A merge rewrites only the partitions it has to: those that hold a key of the batch, and
+those its rows belong to.  All others stay in force where they lie.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+import uuid
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.functions.paths import decode_key
 from millrace.operators import scd
+from millrace.operators.joins import with_keys
 from millrace.operators.rows import ordering
-from millrace.sources.readers import narrow, read_if_exists
+from millrace.sources.files import list_files, write_text
+from millrace.sources.readers import narrow
+
+LOG_SCHEMA = (
+    "version bigint, operation string, written_at timestamp, tag string, "
+    "live array<string>, schema string"
+)
 
-_LOG_SCHEMA = "version bigint, operation string, written_at timestamp"
+# In the path of a file: the directory, as the log names it.
+FOLDER = r"/data/(_version=\d+-[0-9a-f]{8}(?:/.*)?)/[^/]+$"
 
 
 def write_partitioned(
@@ -49,6 +65,15 @@ def write_partitioned(
     writer.parquet(path)
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """One version: its number, the directories in force and the columns."""
+
+    version: int
+    live: tuple[str, ...]
+    schema: T.StructType
+
+
 class VersionedTable:
     """A table at ``path``; see the module text for its layout."""
 
@@ -62,28 +87,37 @@ class VersionedTable:
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self.data = f"{self.path}/data"
         self.partition_by = list(partition_by or [])
         self.sort_by = list(sort_by or [])
         self.max_records_per_file = max_records_per_file
 
+    # --- reading
+
+    def history(self) -> DataFrame | None:
+        """The log: one row per finished write."""
+        names = list_files(self.spark, f"{self.path}/log", ".json")
+        return self.spark.read.schema(LOG_SCHEMA).json(names) if names else None
+
     def version(self) -> int | None:
         """The number of the current version, ``None`` before the first write."""
-        log = self.history()
-        return None if log is None else log.agg(F.max("version")).first()[0]
+        names = list_files(self.spark, f"{self.path}/log", ".json")
+        return max((int(n.rsplit("/", 1)[-1][: -len(".json")]) for n in names), default=None)
 
-    def history(self) -> DataFrame | None:
-        """The log: version, operation and time of every finished write."""
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.path}/log")
-        except Exception as error:  # noqa: BLE001
-            if getattr(error, "getCondition", lambda: None)() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def location(self, version: int | None = None) -> str | None:
-        """Directory of a version, by default the current one."""
+    def snapshot(self, version: int | None = None) -> Snapshot | None:
         number = self.version() if version is None else version
-        return None if number is None else f"{self.path}/data/v={number}"
+        if number is None:
+            return None
+        row = self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log/{number}.json").first()
+        return Snapshot(number, tuple(row["live"]), T.StructType.fromJson(json.loads(row["schema"])))
+
+    def _scan(self, live: tuple[str, ...], schema: T.StructType) -> DataFrame:
+        """Rows of some directories.  The schema is known, so partition values keep their
+        type and a directory written before a column existed gives null for it."""
+        if not live:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.data)
+        return reader.parquet(*[f"{self.data}/{d}" for d in live])
 
     def read(
         self,
@@ -92,67 +126,157 @@ class VersionedTable:
         version: int | None = None,
     ) -> DataFrame | None:
         """The current (or a given) version, ``None`` if there is none."""
-        location = self.location(version)
-        if location is None:
+        found = self.snapshot(version)
+        if found is None:
             return None
-        df = read_if_exists(self.spark, location)
-        return None if df is None else narrow(df, filter_conditions, partitions)
+        rows = self._scan(found.live, found.schema).select(*found.schema.fieldNames())
+        return narrow(rows, filter_conditions, partitions)
 
-    def replace(self, df: DataFrame, operation: str = "overwrite") -> int:
-        """K2: ``df`` becomes the next version.  ``df`` may read the current one."""
-        number = (self.version() or 0) + 1
+    def place(self) -> tuple[str, list[str] | None] | None:
+        """Where a catalog entry has to point: a directory and, for a partitioned table,
+        the directory of each partition."""
+        found = self.snapshot()
+        if found is None:
+            return None
+        where = [f"{self.data}/{d}" for d in found.live]
+        return (self.data, where) if self.partition_by else (where[0], None)
+
+    # --- writing
+
+    def _write(self, df: DataFrame, version: int) -> tuple[str, ...]:
+        """Files of one write; returns the directories that hold any."""
+        folder = f"_version={version}-{uuid.uuid4().hex[:8]}"
         write_partitioned(
             df,
-            f"{self.path}/data/v={number}",
+            f"{self.data}/{folder}",
             self.partition_by,
             self.sort_by,
             self.max_records_per_file,
         )
-        entry = self.spark.range(1).select(
-            F.lit(number).cast("bigint").alias("version"),
-            F.lit(operation).alias("operation"),
-            F.current_timestamp().alias("written_at"),
-        )
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
-        return number
+        if not self.partition_by:
+            return (folder,)
+        files = list_files(self.spark, f"{self.data}/{folder}", ".parquet")
+        return tuple(sorted({f"{folder}{n.rsplit('/', 1)[0].split(folder, 1)[1]}" for n in files}))
 
-    def stage(self, batch: DataFrame) -> DataFrame:
-        """The batch, computed once and written beside the table.
+    def _commit(
+        self,
+        version: int,
+        operation: str,
+        live: tuple[str, ...],
+        schema: T.StructType,
+        tag: str | None = None,
+    ) -> int:
+        entry = {
+            "version": version,
+            "operation": operation,
+            "written_at": self.spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0],
+            "tag": tag,
+            "live": list(live),
+            "schema": schema.json(),
+        }
+        write_text(self.spark, f"{self.path}/log/{version}.json", json.dumps(entry), replace=False)
+        return version
 
-        A merge reads its batch several times; from files it is read, not computed, again.
-        Their size is also what lets Spark decide whether the batch can be broadcast past
-        the table.  One batch is kept; the next one replaces it.
+    def replace(self, df: DataFrame, operation: str = "overwrite") -> int:
+        """K2: ``df`` becomes the next version.  ``df`` may read the current one."""
+        number = (self.version() or 0) + 1
+        return self._commit(number, operation, self._write(df, number), df.schema)
+
+    def append(self, df: DataFrame, tag: str | None = None) -> int:
+        """K6, K8: add rows.  Columns may be new or absent.
+
+        A second append under one ``tag`` takes the place of the first, so a job that is
+        run again adds nothing twice.
         """
-        path = f"{self.path}/batch"
-        batch.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(batch.schema).parquet(path)
+        found = self.snapshot()
+        number = 1 if found is None else found.version + 1
+        kept: tuple[str, ...] = ()
+        fields = df.schema.fields
+        if found is not None:
+            fields = scd.merged_schema(self.spark.createDataFrame([], found.schema), df)
+            kept = found.live
+            if tag is not None:
+                same = self.history().filter(F.col("tag") == tag).select("version").collect()
+                old = tuple(f"_version={r['version']}-" for r in same)
+                kept = tuple(d for d in kept if not d.startswith(old)) if old else kept
+        live = kept + self._write(df, number)
+        return self._commit(number, "append", live, T.StructType(fields), tag)
+
+    def merge(
+        self,
+        batch: DataFrame,
+        keys: list[str],
+        change: Callable[[DataFrame | None, DataFrame], DataFrame],
+        operation: str = "merge",
+    ) -> int:
+        """K3-K6: ``change(stored rows, batch)`` becomes the next version.
+
+        ``change`` must leave rows alone whose key is not in the batch; it then gets only
+        the partitions that can be affected.
+        """
+        found = self.snapshot()
+        if found is None:
+            return self.replace(change(None, batch), operation)
+        touched = self._touched(found, batch, keys)
+        stored = self._scan(touched, found.schema).select(*found.schema.fieldNames())
+        return self._rewrite(found, touched, change(stored, batch), operation)
 
     def delete(self, condition: str) -> int | None:
         """A version without the rows for which ``condition`` is true."""
-        current = self.read()
-        if current is None:
+        found = self.snapshot()
+        if found is None:
             return None
-        return self.replace(scd.delete_where(current, condition), "delete")
+        touched = found.live
+        if self.partition_by and found.live:
+            hit = self._scan(found.live, found.schema).filter(condition)
+            touched = self._folders(found, hit.select(F.col("_metadata.file_path").alias("_file")))
+        stored = self._scan(touched, found.schema).select(*found.schema.fieldNames())
+        return self._rewrite(found, touched, scd.delete_where(stored, condition), "delete")
 
+    def _rewrite(
+        self, found: Snapshot, touched: tuple[str, ...], rows: DataFrame, operation: str
+    ) -> int:
+        number = found.version + 1
+        kept = tuple(d for d in found.live if d not in set(touched))
+        live = kept + self._write(rows, number)
+        return self._commit(number, operation, live, rows.schema)
 
-class HistoryTable:
-    """K6, K8: rows only ever added, each batch in its own directory.
+    def _touched(
+        self, found: Snapshot, batch: DataFrame, keys: list[str]
+    ) -> tuple[str, ...]:
+        """Directories that hold a key of the batch or a partition of its rows.
 
-    A batch is named by the version of the current table it belongs to, so writing it
-    again after a failure replaces it instead of adding it twice.  Columns may differ
-    between batches; they are merged on reading.
-    """
+        Reads the key and partition columns only, past the broadcast keys of the batch.
+        """
+        parts = self.partition_by
+        if not parts or not found.live:
+            return found.live
+        names = list(dict.fromkeys([*keys, *parts]))
+        stored = self._scan(found.live, found.schema).select(
+            *names, F.col("_metadata.file_path").alias("_file")
+        )
+        by_key = with_keys(stored, batch, keys).select("_file")
+        by_part = with_keys(stored, batch.select(*parts).distinct(), parts).select("_file")
+        return self._folders(found, by_key.unionByName(by_part))
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark = spark
-        self.path = path.rstrip("/")
+    def _folders(self, found: Snapshot, files: DataFrame) -> tuple[str, ...]:
+        """The distinct directories of ``files``; there are as many as partitions."""
+        path = decode_key("_file")
+        folder = F.regexp_extract(path, FOLDER, 1).alias("_folder")
+        names = {r["_folder"] for r in files.distinct().select(folder).distinct().collect()}
+        # a name that is not known as written would lose rows: rewrite everything instead
+        return tuple(sorted(names)) if names <= set(found.live) else found.live
 
-    def add(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+    def stage(self, batch: DataFrame) -> DataFrame:
+        """The batch, computed once and written beside the table.
 
-    def read(self) -> DataFrame | None:
-        df = read_if_exists(self.spark, self.path, merge_schema=True)
-        return None if df is None else df.drop("batch")
+        A merge reads its batch several times; from files it is read, not computed, again.
+        Their size is also what lets Spark decide whether the batch can be broadcast past
+        the table.  One batch is kept; the next one replaces it.
+        """
+        path = f"{self.path}/batch"
+        batch.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path)
 
 
 def save(
@@ -175,18 +299,25 @@ def save(
     keys = list(output["primary_key"])
     tracking = list(output.get("tracking_columns") or [])
     choice = {"order_by": output.get("order_by"), "strict": output.get("strict", False)}
-    df = table.stage(df)
-    current = table.read()
-    if kind == "SCD2":
-        table.replace(scd.scd2(current, df, keys, tracking or None, as_of, **choice), kind)
-    elif kind == "SCD3":
-        table.replace(scd.scd3(current, df, keys, tracking, **choice), kind)
-    else:
-        if kind == "SCD4":
-            rows = scd.scd4_history(
-                df, as_of, current, keys, tracking, output.get("history_changes_only", False)
-            )
-            batch = (table.version() or 0) + 1
-            HistoryTable(spark, output["history_path"]).add(rows, batch)
-        table.replace(scd.scd1(current, df, keys, **choice), kind)
+    batch = table.stage(df)
+
+    def change(stored: DataFrame | None, rows: DataFrame) -> DataFrame:
+        if kind == "SCD2":
+            return scd.scd2(stored, rows, keys, tracking or None, as_of, **choice)
+        if kind == "SCD3":
+            return scd.scd3(stored, rows, keys, tracking, **choice)
+        return scd.scd1(stored, rows, keys, **choice)
+
+    if kind == "SCD4":
+        rows = scd.scd4_history(
+            batch,
+            as_of,
+            table.read(),
+            keys,
+            tracking,
+            output.get("history_changes_only", False),
+        )
+        history = VersionedTable(spark, output["history_path"], output.get("partition_by"))
+        history.append(rows, tag=f"batch {(table.version() or 0) + 1}")
+    table.merge(batch, keys, change, kind)
     return table

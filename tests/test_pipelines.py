@@ -11,7 +11,7 @@ from millrace.plans.golden import GOLDEN
 from millrace.sources import catalog, ledger
 from millrace.sources import manifest as m
 from millrace.sources.responses import extract
-from millrace.sources.tables import HistoryTable, VersionedTable, save
+from millrace.sources.tables import VersionedTable
 from millrace.streaming import readiness as rd
 
 
@@ -103,8 +103,7 @@ def lake(spark, tmp_path_factory):
         m.write_csv_batch(extract(spark, str(root / "dumps" / kind), kind, stamp), batch)
         written = m.write_raw_manifest(spark, batch)
         spec = m.with_manifest(GOLDEN[dataset](str(root / "golden")), written, str(root))
-        frames = runner.run_pipeline(spark, spec)
-        outputs += runner.write_outputs(frames, spec, save, book, announce)
+        outputs += runner.execute(spark, spec, book, announce).outputs
 
     def read(name):
         return VersionedTable(spark, str(root / "golden" / name)).read()
@@ -137,7 +136,7 @@ def test_golden_tables(lake):
 
 
 def test_history_and_ledger(spark, lake):
-    history = HistoryTable(spark, str(lake.root / "golden/trending_videos/history")).read()
+    history = VersionedTable(spark, str(lake.root / "golden/trending_videos/history")).read()
     assert history.count() == 3 and "record_timestamp" in history.columns
     statuses = ledger.latest_status(lake.book.rows(), ["dataset"])
     assert rows(statuses.select("status").distinct()) == [("SUCCESS",)]
@@ -161,26 +160,61 @@ def test_events_make_insights_ready(spark, lake):
 
 
 def test_outputs_are_registered(spark, lake):
-    done = catalog.register_outputs(
-        spark, "golden", lake.outputs, lambda path: VersionedTable(spark, path).location()
-    )
+    done = catalog.register_outputs(spark, "golden", lake.outputs, catalog.stored_place(spark))
     assert len(done) == 10
     assert spark.table("golden.trending_videos").count() == 3
     assert spark.table("golden.channels").columns[-1] == "country_id"
 
 
-def test_insights(lake):
-    frames = {
-        "trending_videos": lake("trending_videos/current"),
-        "categories": lake("categories"),
-        "channels": lake("channels/current"),
-        "countries": lake("countries"),
-        "comment_threads": lake("comment_threads/current"),
-        "authors": lake("authors"),
-        "replies": lake("replies/current"),
-        "related_videos": lake("related_category_videos/current"),
-        "tags": lake("tags"),
-    }
+def test_publish(spark, lake):
+    root = str(lake.root)
+    for name in insights.INSIGHTS:
+        insights.publish(spark, name, f"{root}/golden", f"{root}/insights/{name}", "insights")
+    again = insights.publish(
+        spark, "comment_insights", f"{root}/golden", f"{root}/insights/comment_insights", "insights"
+    )
+    assert again.version() == 2
+    assert spark.table("insights.comment_insights").count() == 2
+    assert spark.table("insights.tag_performance_metrics").count() == 3
+    with pytest.raises(ValueError, match="does not exist"):
+        insights.publish(spark, "comment_insights", f"{root}/nothing", f"{root}/x")
+
+
+def test_second_day(spark, lake, tmp_path):
+    """The same spec on another batch: SCD4 current follows, history grows, tags add up."""
+    raw = spark.createDataFrame(
+        [("v1", "100", "10", "x"), ("v2", "5", "1", None)],
+        "video_id string, view_count string, like_count string, tags string",
+    ).selectExpr(
+        "*", "'t' AS title", "'1' AS comment_count", "'2024-01-01T00:00:00Z' AS published_at",
+        "1.0D AS duration", "'2d' AS dimension", "'hd' AS definition", "true AS licensed_content",
+        "'c' AS channel_id", "'C' AS channel_title", "'1' AS category_id",
+        "'en' AS audio_language", "'none' AS live_broadcast_content",
+    )
+    path = str(tmp_path / "golden")
+    for day in (raw, raw.filter("video_id = 'v1'").withColumn("view_count", F.lit("200"))):
+        m.write_csv_batch(day, m.Batch(str(tmp_path), "s", "raw", "t", "d", 1))
+        spec = GOLDEN["trending_videos"](path)
+        spec["input"]["path"] = m.Batch(str(tmp_path), "s", "raw", "t", "d", 1).data_path
+        spec["input"]["schema"] = day.schema
+        spec["input"]["cache"] = True
+        spec["quality"] = {"trending_videos_df": [
+            {"column": "views", "type": "numeric", "min_value": 150, "null_allowed": False}]}
+        result = runner.execute(spark, spec)
+    assert result.outputs[0]["schema"][0]["name"] == "video_id"
+    report = {r["check"]: r["passed"] for r in result.quality.collect()}
+    assert report == {"null": True, "min_value": True}
+    read = lambda name: VersionedTable(spark, f"{path}/{name}").read()
+    assert rows(read("trending_videos/current").select("video_id", "views")) == [
+        ("v1", 200), ("v2", 5),
+    ]
+    assert read("trending_videos/history").count() == 3 and read("tags").count() == 1
+
+
+def test_insights(spark, lake):
+    frames = {}
+    for needed in insights.DEPENDENCIES.values():
+        frames.update(insights.read_golden(spark, str(lake.root / "golden"), needed))
     out = {name: job(frames) for name, job in insights.INSIGHTS.items()}
     assert rows(out["video_performance_metrics"].select("video_id", "category_name")) == [
         ("v1", "Film"), ("v2", "Music"), ("v3", "Film"),

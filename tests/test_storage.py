@@ -10,9 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.sources import catalog, files, ledger
+from millrace.operators import scd
 from millrace.sources import manifest as m
 from millrace.sources import readers as rd
-from millrace.sources.tables import HistoryTable, VersionedTable, save, write_partitioned
+from millrace.sources.tables import VersionedTable, save, write_partitioned
 
 
 @pytest.fixture()
@@ -140,11 +141,75 @@ def test_versions(spark, df, tmp_path):
 def test_unfinished_version_is_not_seen(spark, df, tmp_path):
     stored = VersionedTable(spark, str(tmp_path / "t"))
     stored.replace(df)
-    df.limit(1).write.parquet(f"{stored.path}/data/v=2")  # a write that died before its log row
+    df.limit(1).write.parquet(f"{stored.data}/_version=2-00000000")  # died before its log entry
     assert stored.read().count() == 3
     assert stored.replace(df.filter("i = 2")) == 2 and stored.read().count() == 1
 
 
+def test_two_writers_of_one_version(spark, df, tmp_path):
+    stored = VersionedTable(spark, str(tmp_path / "t"))
+    stored.replace(df)
+    other = VersionedTable(spark, stored.path)
+    other.version = lambda: None  # a writer that looked before the first write
+    with pytest.raises(Exception, match="already exists"):
+        other.replace(df.limit(1))
+    assert stored.read().count() == 3
+
+
+def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    kind = "k int, p string, v int"
+    odd = ["001", "a/b c", None, "%25:", "x=y"]
+    base = spark.createDataFrame([(i, odd[i % 5], i) for i in range(20)], kind)
+    stored = VersionedTable(spark, str(tmp_path / "a b" / "t"), ["p"])
+    stored.replace(base)
+    before = stored.snapshot()
+    assert len(before.live) == 5 and rows(stored.read()) == rows(base)  # "001" stays text
+    # key 0 moves from "001" to a new partition, key 3 stays, "x=y" gets a new key
+    batch = spark.createDataFrame([(0, "new", 100), (3, "%25:", 103), (99, "x=y", 99)], kind)
+    stored.merge(batch, ["k"], lambda old, new: scd.scd1(old, new, ["k"]))
+    after = stored.snapshot()
+    kept = set(before.live) & set(after.live)
+    assert {d.split("/", 1)[1] for d in kept} == {"p=a%2Fb c", "p=__HIVE_DEFAULT_PARTITION__"}
+    assert rows(stored.read()) == rows(scd.scd1(base, batch, ["k"]))
+    assert rows(stored.read(version=1)) == rows(base)
+    # a partition all of whose rows leave is gone
+    everyone = base.filter("p = 'a/b c'").withColumn("p", F.lit("new"))
+    stored.merge(everyone, ["k"], lambda old, new: scd.scd1(old, new, ["k"]))
+    assert not any("a%2Fb" in d for d in stored.snapshot().live)
+    assert stored.read().count() == 21 and stored.read("p = 'new'").count() == 5
+    stored.delete("p IS NULL OR v = 103")
+    assert set(rows(stored.read("p = '%25:'").select("k"))) == {(8,), (13,), (18,)}
+    assert stored.read().count() == 16
+
+
+def test_merge_adds_a_column(spark, tmp_path):
+    stored = VersionedTable(spark, str(tmp_path / "t"), ["p"])
+    stored.replace(spark.createDataFrame([(1, 1), (2, 2)], "k int, p int"))
+    batch = spark.createDataFrame([(2, 2, "n")], "k int, p int, c string")
+    stored.merge(batch, ["k"], lambda old, new: scd.scd1(old, new, ["k"]))
+    assert rows(stored.read()) == [(1, 1, None), (2, 2, "n")]
+
+
+def test_append(spark, tmp_path):
+    log = VersionedTable(spark, str(tmp_path / "t"), ["p"])
+    one = spark.createDataFrame([(1, "01")], "k int, p string")
+    two = spark.createDataFrame([("01", 2, True)], "p string, k int, c boolean")
+    log.append(one, "batch 1")
+    log.append(two, "batch 2")
+    log.append(two, "batch 2")  # the same batch once more
+    assert rows(log.read()) == [(1, "01", None), (2, "01", True)]
+    log.append(one)
+    assert log.read().count() == 3 and log.version() == 4
+
+
+def test_empty_table(spark, df, tmp_path):
+    stored = VersionedTable(spark, str(tmp_path / "t"), ["year"])
+    stored.replace(df.limit(0))
+    assert stored.read().count() == 0 and stored.read().columns == df.columns
+    stored.merge(df, ["i"], lambda old, new: scd.scd1(old, new, ["i"]))
+    assert stored.read().count() == 3
+
+
 def test_partition_values_with_most_rows_are_split(spark, tmp_path):
     hot = spark.range(0, 60_000).select(
         F.sha2(F.col("id").cast("string"), 256).alias("x"),
@@ -182,10 +247,7 @@ def test_save_dispatch(spark, tmp_path):
     ]
     assert results["SCD2"].count() == 4 and results["SCD2"].filter("is_current").count() == 3
     assert ("k1", "y", "x") in rows(results["SCD3"])
-    history = HistoryTable(spark, str(tmp_path / "SCD4-history"))
-    assert history.read().count() == 4
-    history.add(two.withColumn("record_timestamp", F.current_timestamp()), 2)  # a retry
-    assert history.read().count() == 4
+    assert VersionedTable(spark, str(tmp_path / "SCD4-history")).read().count() == 4
     with pytest.raises(ValueError, match="unsupported"):
         save(one, {**base, "path": "x", "store_type": "SCD9"})
     with pytest.raises(ValueError, match="history_path"):
@@ -197,22 +259,36 @@ def test_save_dispatch(spark, tmp_path):
 # --- catalog
 
 def test_catalog(spark, df, tmp_path):
-    stored = VersionedTable(spark, str(tmp_path / "shop/items"), ["year"])
-    stored.replace(df)
+    path = str(tmp_path / "plain")
+    write_partitioned(df, path, ["year"])
     make = lambda: catalog.create_or_repair(
-        spark, "lake", "items", df.schema, stored.location(), ["year"]
+        spark, "lake", "plain", df.schema, path, ["year"]
     )
     assert make() == "created"
-    assert rows(spark.table("lake.items").select(*df.columns)) == rows(df)
-    assert spark.table("lake.items").columns[-1] == "year"
+    assert rows(spark.table("lake.plain").select(*df.columns)) == rows(df)
+    assert spark.table("lake.plain").columns[-1] == "year"
     # a partition that appears later is taken in
-    df.withColumn("year", F.lit(1999)).write.mode("append").partitionBy("year").parquet(
-        stored.location()
-    )
-    assert make() == "repaired" and spark.table("lake.items").count() == 6
-    # so is the next version, without rows of the old one
-    stored.replace(df.filter("year = 2020"))
-    assert make() == "repaired" and rows(spark.table("lake.items").select("i")) == [(1,)]
+    df.withColumn("year", F.lit(1999)).write.mode("append").partitionBy("year").parquet(path)
+    assert make() == "repaired" and spark.table("lake.plain").count() == 6
+
+
+def test_catalog_follows_a_stored_table(spark, tmp_path):
+    kind = "k int, p string"
+    base = spark.createDataFrame([(1, "it's"), (2, None), (3, "a/b")], kind)
+    stored = VersionedTable(spark, str(tmp_path / "t"), ["p"])
+    stored.replace(base)
+
+    def make():
+        location, folders = stored.place()
+        return catalog.create_or_repair(
+            spark, "lake", "items", base.schema, location, ["p"], folders
+        )
+
+    assert make() == "created" and rows(spark.table("lake.items")) == rows(base)
+    batch = spark.createDataFrame([(1, "z")], kind)
+    stored.merge(batch, ["k"], lambda old, new: scd.scd1(old, new, ["k"]))
+    assert make() == "repaired"
+    assert rows(spark.table("lake.items")) == [(1, "z"), (2, None), (3, "a/b")]
 
 
 def test_register_outputs(spark, df, tmp_path):
@@ -224,9 +300,12 @@ def test_register_outputs(spark, df, tmp_path):
         "store_type": "SCD4",
         "schema": [{"name": f.name, "type": f.dataType.simpleString()} for f in df.schema.fields],
     }
-    locate = lambda path: VersionedTable(spark, path).location()
+    locate = catalog.stored_place(spark)
     assert catalog.register_outputs(spark, "lake", [output], locate) == {"things": "created"}
     assert spark.table("lake.things").count() == 3
+    stored.replace(df.limit(1))
+    assert catalog.register_outputs(spark, "lake", [output], locate) == {"things": "repaired"}
+    assert spark.table("lake.things").count() == 1
     with pytest.raises(ValueError, match="schema"):
         catalog.register_outputs(spark, "lake", [{"dataframe": "d", "path": "x"}])
     with pytest.raises(ValueError, match="nothing is stored"):
