@@ -77,7 +77,9 @@ def _orders(spark, d, since=None):
     df = table(spark, d, "orders").select(
         F.col("o_custkey").alias("custkey"), "o_orderkey", "o_orderstatus", "o_orderdate"
     )
-    return df if since is None else df.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    if since is None:
+        return df
+    return df.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
 
 
 def _customers(spark, d):

@@ -36,8 +36,8 @@ def _profile(spark, d, since: str, until: str):
 def _batches(spark, d):
     return [
         _profile(spark, d, "1990-01-01", "1996-01-01"),
-        _profile(spark, d, "1998-01-01", "1999-01-01"),
-        _profile(spark, d, "2001-01-01", "2010-01-01"),
+        _profile(spark, d, "1996-01-01", "2000-01-01"),
+        _profile(spark, d, "2000-01-01", "2010-01-01"),
     ]
 
 
@@ -89,8 +89,9 @@ def scd4_history(spark, d):
 
 def scd4_changes(spark, d):
     """K6, history of changed rows only"""
-    first, second, _ = _batches(spark, d)
-    rows = scd.scd4_history(second, "2002-01-02 00:00:00", first, KEYS, TRACKED, True)
+    before = _profile(spark, d, "1990-01-01", "1996-01-01")
+    batch = _profile(spark, d, "1996-01-01", "2010-01-01")
+    rows = scd.scd4_history(batch, "2002-01-02 00:00:00", before, KEYS, TRACKED, True)
     return rows.withColumn("record_timestamp", F.col("record_timestamp").cast("timestamp_ntz"))
 
 
@@ -127,8 +128,8 @@ def _profile_sql(since: str, until: str) -> str:
 
 _WITH = f"""
 WITH b1 AS ({_profile_sql('1990-01-01', '1996-01-01')}),
-     b2 AS ({_profile_sql('1998-01-01', '1999-01-01')}),
-     b3 AS ({_profile_sql('2001-01-01', '2010-01-01')}),
+     b2 AS ({_profile_sql('1996-01-01', '2000-01-01')}),
+     b3 AS ({_profile_sql('2000-01-01', '2010-01-01')}),
      b AS (SELECT *, 1 AS n, TIMESTAMP '2002-01-01' AS day FROM b1
            UNION ALL SELECT *, 2, TIMESTAMP '2002-01-02' FROM b2
            UNION ALL SELECT *, 3, TIMESTAMP '2002-01-03' FROM b3),
@@ -168,8 +169,10 @@ SQL = {
     "scd4_history": f"""{_WITH}
         SELECT custkey, status, priority, day AS record_timestamp,
                CASE WHEN n = 3 THEN status = 'F' END AS checked FROM b""",
-    "scd4_changes": f"""{_WITH}
-        SELECT custkey, status, priority, day AS record_timestamp FROM changes WHERE n = 2""",
+    "scd4_changes": f"""
+        SELECT custkey, status, priority, TIMESTAMP '2002-01-02' AS record_timestamp FROM (
+          SELECT * FROM ({_profile_sql('1996-01-01', '2010-01-01')})
+          EXCEPT SELECT * FROM ({_profile_sql('1990-01-01', '1996-01-01')}))""",
     "delete_where": """
         SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders
         WHERE NOT coalesce(nullif(o_orderpriority, '5-LOW') < '3' OR o_orderstatus = 'P', false)""",

@@ -78,17 +78,12 @@ def extract_dependencies(
     ``variants_column`` counts them, so more than 1 marks a broken dependency.
     """
     key = f"{new_table_name}_id"
-    chosen = F.min(F.struct(*dependent_columns)).alias("_chosen")
-    if variants_column:
-        # distinct pairs first: a hot determinant is reduced in its map tasks
-        groups = (
-            df.select(*determinant_columns, *dependent_columns)
-            .distinct()
-            .groupBy(*determinant_columns)
-            .agg(chosen, F.count(F.lit(1)).alias(variants_column))
-        )
-    else:
-        groups = df.groupBy(*determinant_columns).agg(chosen)
+    # distinct pairs first: a hash aggregate that reduces a hot determinant in its map tasks
+    pairs = df.select(*determinant_columns, *dependent_columns).distinct()
+    groups = pairs.groupBy(*determinant_columns).agg(
+        F.min(F.struct(*dependent_columns)).alias("_chosen"),
+        F.count(F.lit(1)).alias(variants_column or "_variants"),
+    )
     lookup = groups.select(
         *determinant_columns,
         *[F.col(f"_chosen.{c}").alias(c) for c in dependent_columns],

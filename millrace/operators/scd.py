@@ -69,6 +69,16 @@ def conform(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
     )
 
 
+def aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
+    """``batch`` with the stored type for every stored column.  A value that does not fit
+    fails the job under ANSI mode rather than change the table's type or become null."""
+    have = {f.name: f.dataType for f in batch.schema.fields}
+    want = {f.name: f.dataType for f in target.schema.fields}
+    return batch.withColumns(
+        {n: F.col(n).cast(t) for n, t in want.items() if n in have and have[n] != t}
+    )
+
+
 def scd1(
     target: DataFrame | None,
     batch: DataFrame,
@@ -80,6 +90,7 @@ def scd1(
     batch = one_per_key(batch, keys, order_by, strict)
     if target is None:
         return batch
+    batch = aligned(batch, target)
     fields = merged_schema(target, batch)
     kept = without_keys(target, batch, keys)
     return conform(kept, fields).unionByName(conform(batch, fields))
@@ -140,6 +151,7 @@ def scd2(
     if target is None:
         return opened
     compared = tracking or [c for c in batch.columns if c not in keys]
+    opened = aligned(opened, target)
     fields = merged_schema(target, opened)
     stored = conform(target, fields)
     opened = conform(opened, fields)
@@ -188,6 +200,7 @@ def scd3(
     fresh = batch.withColumns({f"{prefix}{c}": F.lit(None).cast(types[c]) for c in tracking})
     if target is None:
         return fresh
+    batch, fresh = aligned(batch, target), aligned(fresh, target)
     fields = merged_schema(target, fresh)
     stored = conform(target, fields)
     found = F.col("_new").isNotNull()
@@ -232,7 +245,7 @@ def append(target: DataFrame | None, batch: DataFrame) -> DataFrame:
     """K8: all rows of both, columns matched by name, absent ones null."""
     if target is None:
         return batch
-    return target.unionByName(batch, allowMissingColumns=True)
+    return target.unionByName(aligned(batch, target), allowMissingColumns=True)
 
 
 def delete_where(target: DataFrame, condition: str) -> DataFrame:

@@ -46,7 +46,12 @@ def write_text(spark: SparkSession, path: str, text: str, replace: bool = True)
 
 def read_text(spark: SparkSession, path: str) -> str:
     """One small file as a string."""
-    return spark.read.text(path, wholetext=True).first()[0]
+    system, jvm_path = _file_system(spark, path)
+    stream = system.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

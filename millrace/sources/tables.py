@@ -11,6 +11,7 @@ those its rows belong to.  All others stay in force where they lie.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Callable, Mapping
@@ -25,7 +26,7 @@ from millrace.functions.paths import decode_key
 from millrace.operators import scd
 from millrace.operators.joins import with_keys
 from millrace.operators.rows import ordering
-from millrace.sources.files import list_files, write_text
+from millrace.sources.files import list_files, read_text, write_text
 from millrace.sources.readers import narrow
 
 LOG_SCHEMA = (
@@ -108,8 +109,9 @@ class VersionedTable:
         number = self.version() if version is None else version
         if number is None:
             return None
-        row = self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log/{number}.json").first()
-        return Snapshot(number, tuple(row["live"]), T.StructType.fromJson(json.loads(row["schema"])))
+        entry = json.loads(read_text(self.spark, f"{self.path}/log/{number}.json"))
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return Snapshot(number, tuple(entry["live"]), schema)
 
     def _scan(self, live: tuple[str, ...], schema: T.StructType) -> DataFrame:
         """Rows of some directories.  The schema is known, so partition values keep their
@@ -169,7 +171,7 @@ class VersionedTable:
         entry = {
             "version": version,
             "operation": operation,
-            "written_at": self.spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0],
+            "written_at": dt.datetime.now(dt.timezone.utc).isoformat(),
             "tag": tag,
             "live": list(live),
             "schema": schema.json(),
@@ -193,7 +195,9 @@ class VersionedTable:
         kept: tuple[str, ...] = ()
         fields = df.schema.fields
         if found is not None:
-            fields = scd.merged_schema(self.spark.createDataFrame([], found.schema), df)
+            stored = self.spark.createDataFrame([], found.schema)
+            df = scd.aligned(df, stored)
+            fields = scd.merged_schema(stored, df)
             kept = found.live
             if tag is not None:
                 same = self.history().filter(F.col("tag") == tag).select("version").collect()
@@ -256,7 +260,9 @@ class VersionedTable:
             *names, F.col("_metadata.file_path").alias("_file")
         )
         by_key = with_keys(stored, batch, keys).select("_file")
-        by_part = with_keys(stored, batch.select(*parts).distinct(), parts).select("_file")
+        # one row per partition and file before they meet the batch's partitions
+        placed = stored.select(*parts, "_file").distinct()
+        by_part = with_keys(placed, batch.select(*parts).distinct(), parts).select("_file")
         return self._folders(found, by_key.unionByName(by_part))
 
     def _folders(self, found: Snapshot, files: DataFrame) -> tuple[str, ...]:
@@ -309,14 +315,9 @@ def save(
         return scd.scd1(stored, rows, keys, **choice)
 
     if kind == "SCD4":
-        rows = scd.scd4_history(
-            batch,
-            as_of,
-            table.read(),
-            keys,
-            tracking,
-            output.get("history_changes_only", False),
-        )
+        changes_only = output.get("history_changes_only", False)
+        stored = table.read() if changes_only else None
+        rows = scd.scd4_history(batch, as_of, stored, keys, tracking, changes_only)
         history = VersionedTable(spark, output["history_path"], output.get("partition_by"))
         history.append(rows, tag=f"batch {(table.version() or 0) + 1}")
     table.merge(batch, keys, change, kind)

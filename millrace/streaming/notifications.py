@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +19,24 @@ TABLE_LOG_MARK = "_delta_log"
 UNKNOWN = "Unknown"
 
 
-def read_events(spark: SparkSession, path: str, schema: str = "value string", **options):
-    """A stream of JSON files from the first one on, one message per line.
-
-    ``value`` holds the message text, as it does in a message-queue source.
-    """
-    if schema == "value string":
+def read_events(
+    spark: SparkSession, path: str, schema: str | None = None, **options
+) -> DataFrame:
+    """A stream of JSON files from the first one on, one message per line: its
+    text in ``value``, or its fields when a ``schema`` is given."""
+    if schema is None:
         return spark.readStream.options(**options).text(path)
     return spark.readStream.options(**options).schema(schema).json(path)
 
 
+def read_topic(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """The same from a topic, from the earliest message on.  Needs Spark's Kafka
+    connector on the class path; the query's checkpoint keeps the offsets."""
+    topics = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    topics = topics.option("subscribe", topic).option("startingOffsets", "earliest")
+    return topics.options(**options).load().select(F.col("value").cast("string").alias("value"))
+
+
 def parse_notifications(messages: DataFrame, value: str = "value") -> DataFrame:
     """ST1: event name, bucket and key of the first record; absent parts are ``Unknown``."""
     event = F.from_json(F.col(value).cast("string"), NOTIFICATION)
@@ -38,27 +48,29 @@ def parse_notifications(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def _reason(required: str, suffix: str | None) -> Column:
+def _reason(tables: Iterable[str] | None) -> Column:
     key = F.col("object_key")
-    wanted = key.contains(required)
-    if suffix:
-        wanted = wanted & key.endswith(suffix)
-    return (
+    reason = (
         F.when(key.contains(TABLE_LOG_MARK), "table log file")
         .when(F.col("event_name") != CREATED, "unhandled event")
-        .when(~wanted, "not a control file")
+        .when(~(key.contains("raw") & key.endswith(".json")), "not a control file")
         .when(F.size(F.split("decoded", "/")) < 3, "fewer than 3 path parts")
     )
+    if tables is not None:
+        known = path_part("decoded", 2).isin(sorted(tables))
+        reason = reason.when(~known, "no pipeline for this table")
+    return reason
 
 
-def route_notifications(events: DataFrame) -> DataFrame:
+def route_notifications(events: DataFrame, tables: Iterable[str] | None = None) -> DataFrame:
     """ST2: every parsed notification with its ``reject_reason`` (null: a work request).
 
     A work request is the creation of a ``.json`` below a raw zone; source, database and
-    table are the first three parts of the decoded key.
+    table are the first three parts of the decoded key.  With ``tables``, the names there
+    is a pipeline for, other tables are rejected.
     """
     routed = events.withColumn("decoded", decode_key("object_key")).withColumn(
-        "reject_reason", _reason("raw", ".json")
+        "reject_reason", _reason(tables)
     )
     accepted = F.col("reject_reason").isNull()
     parts = {
@@ -74,9 +86,10 @@ def route_notifications(events: DataFrame) -> DataFrame:
     )
 
 
-def work_requests(events: DataFrame) -> DataFrame:
+def work_requests(events: DataFrame, tables: Iterable[str] | None = None) -> DataFrame:
     """ST2: the accepted notifications only."""
-    return route_notifications(events).filter("reject_reason IS NULL").drop("reject_reason")
+    routed = route_notifications(events, tables)
+    return routed.filter("reject_reason IS NULL").drop("reject_reason")
 
 
 def golden_requests(events: DataFrame) -> DataFrame:

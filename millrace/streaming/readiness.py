@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from millrace.sources.files import read_text
+from millrace.sources.files import exists, read_text
 
 SUCCESS = "SUCCESS"
 MESSAGE = (
@@ -31,9 +31,11 @@ def load_mapping(source: str | Mapping[str, str], spark: SparkSession | None = N
     not JSON gives an empty map.
     """
     if isinstance(source, str):
+        if not exists(spark, source):
+            return {}
         try:
             source = json.loads(read_text(spark, source))
-        except Exception:  # noqa: BLE001
+        except json.JSONDecodeError:
             return {}
     mapping: dict[str, tuple[str, ...]] = {}
     for events, target in source.items():

@@ -256,6 +256,11 @@ def test_insights_are_exact_when_a_dimension_repeats_a_key(spark):
     )
     got = insights.comment_insights({"comment_threads": threads, "trending_videos": videos.union(videos)})
     assert rows(got) == [("v1", 4, 22, 1, "t", 1, 2, 3)]
+    tags = spark.createDataFrame(
+        [("v1", "x"), ("v1", "x"), ("v2", "x"), ("v2", "y")], "video_id string, value string"
+    )
+    got = insights.tag_performance({"tags": tags, "trending_videos": videos})
+    assert rows(got) == [("x", 2, 12, 24, 36, 4.0), ("y", 1, 10, 20, 30, None)]
 
 
 # --- the runner

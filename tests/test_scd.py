@@ -37,6 +37,17 @@ def test_scd1(batches):
     assert ("k4", "r", 5, None) in rows(fourth) and fourth.count() == 4
 
 
+def test_batch_takes_the_stored_types(spark, batches):
+    text = batches[1].withColumn("b", batches[1]["b"].cast("string"))
+    for out in (
+        scd.scd1(batches[0], text, ["k"]),
+        scd.scd2(scd.scd2(None, batches[0], ["k"]), text, ["k"]),
+        scd.scd3(scd.scd3(None, batches[0], ["k"], ["b"]), text, ["k"], ["b"]),
+        scd.append(batches[0], text),
+    ):
+        assert dict(out.dtypes)["b"] == "int" and out.filter("k = 'k4' AND b = 4").count() == 1
+
+
 def test_scd1_null_key_is_a_key(spark):
     df = spark.createDataFrame([(None, "x", 1)], "k string, a string, b int")
     assert scd.scd1(df, df, ["k"]).count() == 1

@@ -168,6 +168,8 @@ def test_notifications(spark):
     for row, (_, parts, reason) in zip(got, NOTES):
         assert row["reject_reason"] == reason
         assert (row["source_system"], row["database"], row["table"]) == (parts or (None,) * 3)
+    known = n.work_requests(n.parse_notifications(df), ["other"])
+    assert known.count() == 0 and n.work_requests(n.parse_notifications(df), ["t"]).count() == 1
     unknown = got[-1]
     assert (unknown["event_name"], unknown["bucket_name"], unknown["object_key"]) == ("Unknown",) * 3
 
