@@ -10,9 +10,9 @@ from millrace.plans.golden import GOLDEN
 from millrace.plans.runner import INPUT_FRAME, apply_steps, run_pipeline
 
 
-def _golden(spark, d, dataset: str, raw, frame: str):
+def _golden(spark, d, dataset: str, raw, frame: str, **options):
     """Run a golden spec on ``raw``; timestamps come back without zone, as SQL has them."""
-    spec = GOLDEN[dataset]("unused")
+    spec = GOLDEN[dataset]("unused", **options)
     df = run_pipeline(spark, spec, source=raw)[frame]
     zoned = [f.name for f in df.schema.fields if f.dataType.simpleString() == "timestamp"]
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
@@ -93,10 +93,9 @@ def _raw_channels(spark, d):
 
 
 def r2_channels(spark, d):
-    """R2; the age depends on today and is left out"""
-    return _golden(
-        spark, d, "channels_information", _raw_channels(spark, d), "channels_df"
-    ).drop("channel_age_years")
+    """R2"""
+    raw = _raw_channels(spark, d)
+    return _golden(spark, d, "channels_information", raw, "channels_df", as_of="2024-06-01")
 
 
 def r2_countries(spark, d):
@@ -260,6 +259,7 @@ SQL = {
     "r2_channels": f"""
         SELECT channel_id, channel_name, published_at, subscribers, video_count, total_views,
                {key_sql('country')} AS country_id,
+               CAST(2024 - year(published_at) AS INTEGER) AS channel_age_years,
                total_views / nullif(video_count, 0) AS avg_views_per_video
         FROM ({_CHANNELS})""",
     "r2_countries": f"""

@@ -142,12 +142,21 @@ def categories(root: str) -> dict[str, Any]:
             _step("cast_columns", frame, type_mapping={"category_id": "int"}),
             _step("drop_duplicates", frame, subset=["category_id"]),
         ],
-        [_overwritten(frame, f"{root}/categories", ["category_id"], "categories_done")],
+        [
+            _overwritten(
+                frame,
+                f"{root}/categories",
+                ["category_id"],
+                "categories_done",
+                sort_by=["category_id"],
+            )
+        ],
     )
 
 
-def channels_information(root: str) -> dict[str, Any]:
-    """R2."""
+def channels_information(root: str, as_of: str | None = None) -> dict[str, Any]:
+    """R2.  ``as_of`` (a date) stands for today in the channel's age."""
+    today = f"DATE'{as_of}'" if as_of else "current_date()"
     return _spec(
         "channels_information",
         [
@@ -189,7 +198,7 @@ def channels_information(root: str) -> dict[str, Any]:
                 "add_columns",
                 "channels_df",
                 columns={
-                    "channel_age_years": "year(current_date()) - year(published_at)",
+                    "channel_age_years": f"year({today}) - year(published_at)",
                     "avg_views_per_video": "try_divide(total_views, video_count)",
                 },
             ),

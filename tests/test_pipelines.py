@@ -99,7 +99,7 @@ def lake(spark, tmp_path_factory):
         ledger.send_finish_event(spark, str(root / "events"), event)
 
     for dataset, (kind, stamp) in KINDS.items():
-        batch = m.Batch(str(root), "tube", "raw", dataset, "20240601", 1)
+        batch = m.Batch(str(root), "site", "raw", dataset, "20240601", 1)
         m.write_csv_batch(extract(spark, str(root / "dumps" / kind), kind, stamp), batch)
         written = m.write_raw_manifest(spark, batch)
         spec = m.with_manifest(GOLDEN[dataset](str(root / "golden")), written, str(root))
