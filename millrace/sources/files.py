@@ -34,6 +34,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(jvm_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this process has written."""
+    system, jvm_path = _file_system(spark, path)
+    system.delete(jvm_path, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> None:
     """Write one small file.  Without ``replace`` it is an error if there is one."""
     system, jvm_path = _file_system(spark, path)

@@ -26,6 +26,8 @@ def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
 
     ``path`` is one path or a list.  A ``schema`` (StructType or DDL) saves the extra
     pass over the data that inference takes.  ``select_columns`` reaches the reader.
+    ``repartition`` spreads the rows over that many tasks, for few and large files that
+    cannot be split (gzip).
     """
     kind = config.get("format", "csv")
     if kind not in FORMATS:
@@ -38,6 +40,8 @@ def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     columns = config.get("select_columns", "all")
     if columns != "all":
         df = df.select(*columns)
+    if config.get("repartition"):
+        df = df.repartition(int(config["repartition"]))
     if config.get("cache", False):
         level = config.get("data_persistence", "MEMORY_AND_DISK")
         df = df.persist(_LEVELS.get(level, StorageLevel.MEMORY_AND_DISK))

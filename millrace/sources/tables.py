@@ -14,7 +14,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
@@ -26,7 +27,7 @@ from millrace.functions.paths import decode_key
 from millrace.operators import scd
 from millrace.operators.joins import with_keys
 from millrace.operators.rows import ordering
-from millrace.sources.files import list_files, read_text, write_text
+from millrace.sources.files import list_files, read_text, remove, write_text
 from millrace.sources.readers import narrow
 
 LOG_SCHEMA = (
@@ -273,16 +274,20 @@ class VersionedTable:
         # a name that is not known as written would lose rows: rewrite everything instead
         return tuple(sorted(names)) if names <= set(found.live) else found.live
 
-    def stage(self, batch: DataFrame) -> DataFrame:
-        """The batch, computed once and written beside the table.
+    @contextmanager
+    def staged(self, batch: DataFrame) -> Iterator[DataFrame]:
+        """The batch, computed once and written beside the table for as long as it is used.
 
         A merge reads its batch several times; from files it is read, not computed, again.
         Their size is also what lets Spark decide whether the batch can be broadcast past
-        the table.  One batch is kept; the next one replaces it.
+        the table.
         """
-        path = f"{self.path}/batch"
-        batch.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(batch.schema).parquet(path)
+        path = f"{self.path}/batch/{uuid.uuid4().hex}"
+        batch.write.parquet(path)
+        try:
+            yield self.spark.read.schema(batch.schema).parquet(path)
+        finally:
+            remove(self.spark, path)
 
 
 def save(
@@ -305,7 +310,6 @@ def save(
     keys = list(output["primary_key"])
     tracking = list(output.get("tracking_columns") or [])
     choice = {"order_by": output.get("order_by"), "strict": output.get("strict", False)}
-    batch = table.stage(df)
 
     def change(stored: DataFrame | None, rows: DataFrame) -> DataFrame:
         if kind == "SCD2":
@@ -314,11 +318,12 @@ def save(
             return scd.scd3(stored, rows, keys, tracking, **choice)
         return scd.scd1(stored, rows, keys, **choice)
 
-    if kind == "SCD4":
-        changes_only = output.get("history_changes_only", False)
-        stored = table.read() if changes_only else None
-        rows = scd.scd4_history(batch, as_of, stored, keys, tracking, changes_only)
-        history = VersionedTable(spark, output["history_path"], output.get("partition_by"))
-        history.append(rows, tag=f"batch {(table.version() or 0) + 1}")
-    table.merge(batch, keys, change, kind)
+    with table.staged(df) as batch:
+        if kind == "SCD4":
+            changes_only = output.get("history_changes_only", False)
+            stored = table.read() if changes_only else None
+            rows = scd.scd4_history(batch, as_of, stored, keys, tracking, changes_only)
+            history = VersionedTable(spark, output["history_path"], output.get("partition_by"))
+            history.append(rows, tag=f"batch {(table.version() or 0) + 1}")
+        table.merge(batch, keys, change, kind)
     return table

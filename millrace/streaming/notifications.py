@@ -92,6 +92,13 @@ def work_requests(events: DataFrame, tables: Iterable[str] | None = None) -> Dat
     return routed.filter("reject_reason IS NULL").drop("reject_reason")
 
 
+def with_outcome(routed: DataFrame) -> DataFrame:
+    """Requests and rejects apart: write the result with ``partition_by=["outcome"]`` and
+    one pass over the stream fills two folders."""
+    outcome = F.when(F.col("reject_reason").isNull(), "request").otherwise("reject")
+    return routed.withColumn("outcome", outcome)
+
+
 def golden_requests(events: DataFrame) -> DataFrame:
     """ST2, golden side: dataset name (file name up to the first dot) of objects in a golden
     zone at least three parts deep."""

@@ -238,13 +238,16 @@ def rounds_stream(messages: DataFrame, mapping: Mapping[str, tuple[str, ...]]) -
     )
 
 
-def run_available(stream: DataFrame, checkpoint: str, path: str) -> None:
+def run_available(
+    stream: DataFrame, checkpoint: str, path: str, partition_by: list[str] | None = None
+) -> None:
     """Run a stream over all input there is and stop; results are added to ``path``.
 
     The file sink notes finished epochs, so a restart neither loses nor repeats rows.
     """
     query = (
         stream.writeStream.format("parquet")
+        .partitionBy(*(partition_by or []))
         .option("checkpointLocation", checkpoint)
         .option("path", path)
         .outputMode("append")

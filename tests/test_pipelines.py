@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from millrace.plans import insights, runner
 from millrace.plans.golden import GOLDEN
+from millrace.plans.raw import RAW_TABLES, build_raw
 from millrace.sources import catalog, ledger
 from millrace.sources import manifest as m
-from millrace.sources.responses import extract
 from millrace.sources.tables import VersionedTable
 from millrace.streaming import readiness as rd
 
@@ -77,16 +77,6 @@ def fill(folder):
     dump(folder, "comments", [reply("r1", "cid"), reply("r2", "ann")], comment_thread_id="t1")
 
 
-KINDS = {
-    "categories": ("categories", []),
-    "channels_information": ("channels", []),
-    "trending_videos": ("videos", []),
-    "related_category_videos": ("search", ["category_id"]),
-    "comment_threads": ("threads", []),
-    "replies": ("comments", ["comment_thread_id"]),
-}
-
-
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     """All six datasets from dumps to golden tables; returns reader, ledger and events."""
@@ -98,10 +88,9 @@ def lake(spark, tmp_path_factory):
     def announce(event):
         ledger.send_finish_event(spark, str(root / "events"), event)
 
-    for dataset, (kind, stamp) in KINDS.items():
+    for dataset, (kind, _) in RAW_TABLES.items():
         batch = m.Batch(str(root), "site", "raw", dataset, "20240601", 1)
-        m.write_csv_batch(extract(spark, str(root / "dumps" / kind), kind, stamp), batch)
-        written = m.write_raw_manifest(spark, batch)
+        written = build_raw(spark, str(root / "dumps" / kind), batch)
         spec = m.with_manifest(GOLDEN[dataset](str(root / "golden")), written, str(root))
         outputs += runner.execute(spark, spec, book, announce).outputs
 
@@ -263,6 +252,11 @@ def test_insights_are_exact_when_a_dimension_repeats_a_key(spark):
     assert rows(got) == [("x", 2, 12, 24, 36, 4.0), ("y", 1, 10, 20, 30, None)]
 
 
+def test_unknown_raw_table(spark):
+    with pytest.raises(ValueError, match="unknown raw table"):
+        build_raw(spark, "x", m.Batch("r", "s", "raw", "playlists", "d", 1))
+
+
 # --- the runner
 
 

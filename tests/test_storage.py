@@ -32,6 +32,8 @@ def test_read_input(spark, df, tmp_path):
     assert rd.read_input(spark, config).columns == ["i", "year"]
     narrow = rd.read_input(spark, {**config, "select_columns": ["year"], "path": [path]})
     assert narrow.columns == ["year"] and narrow.count() == 3
+    spread = rd.read_input(spark, {**config, "repartition": 5})
+    assert spread.rdd.getNumPartitions() == 5
     with pytest.raises(ValueError, match="unsupported input format"):
         rd.read_input(spark, {"format": "xml", "path": path})
 
@@ -242,6 +244,7 @@ def test_save_dispatch(spark, tmp_path):
         output["history_path"] = str(tmp_path / f"{kind}-history")
         for batch, day in ((one, "2024-01-01"), (two, "2024-01-02")):
             results[kind] = save(batch, output, as_of=f"{day} 00:00:00").read()
+    assert os.listdir(tmp_path / "SCD2" / "batch") == []
     assert rows(results["scd1"]) == rows(results["SCD4"]) == [
         ("k1", "y"), ("k2", None), ("k3", "z"),
     ]

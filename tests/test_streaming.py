@@ -184,6 +184,18 @@ def test_notification_stream_equals_batch(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(batch) and batch.count() == 1
 
 
+def test_rejects_go_to_a_folder_of_their_own(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.json").write_text("\n".join(v[0] for v in NOTES))
+    stream = n.route_notifications(n.parse_notifications(n.read_events(spark, str(folder))))
+    rd.run_available(
+        n.with_outcome(stream), str(tmp_path / "checkpoint"), str(tmp_path / "out"), ["outcome"]
+    )
+    out = spark.read.parquet(str(tmp_path / "out")).groupBy("outcome").count()
+    assert rows(out) == [("reject", len(NOTES) - 1), ("request", 1)]
+
+
 def test_golden_requests(spark):
     df = spark.createDataFrame(
         [(n.CREATED, "b", "s/golden/t/part.0.parquet"), (n.CREATED, "b", "golden/x"),
