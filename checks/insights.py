@@ -15,7 +15,7 @@ from millrace.operators.normalise import split_values
 from millrace.plans import insights
 
 
-def _figures(spark, d):
+def figures(spark, d):
     """Line items as trending videos: one row per sale, so a video has many rows."""
     items = table(spark, d, "lineitem")
     part = table(spark, d, "part").select(F.col("p_partkey").alias("video_id"), "p_name")
@@ -73,14 +73,14 @@ def _countries(spark, d):
 def i1_video_performance(spark, d):
     """I1 J2"""
     return insights.video_performance(
-        {"trending_videos": _figures(spark, d), "categories": _categories(spark, d)}
+        {"trending_videos": figures(spark, d), "categories": _categories(spark, d)}
     )
 
 
 def i2_category_popularity(spark, d):
     """I2 J2"""
     return insights.category_popularity(
-        {"trending_videos": _figures(spark, d), "categories": _categories(spark, d)}
+        {"trending_videos": figures(spark, d), "categories": _categories(spark, d)}
     )
 
 
@@ -88,7 +88,7 @@ def i3_channel_engagement(spark, d):
     """I3 J5"""
     return insights.channel_engagement(
         {
-            "trending_videos": _figures(spark, d),
+            "trending_videos": figures(spark, d),
             "channels": _channels(spark, d),
             "countries": _countries(spark, d),
         }
@@ -98,7 +98,7 @@ def i3_channel_engagement(spark, d):
 def i4_channel_growth(spark, d):
     """I4 A2 A3 A5"""
     return insights.channel_growth(
-        {"trending_videos": _figures(spark, d), "channels": _channels(spark, d)}
+        {"trending_videos": figures(spark, d), "channels": _channels(spark, d)}
     ).withColumn("avg_engagement_rate", F.round("avg_engagement_rate", 6))
 
 
@@ -158,7 +158,7 @@ def i7_related_network(spark, d):
     return insights.related_network(
         {
             "related_videos": related,
-            "trending_videos": _figures(spark, d),
+            "trending_videos": figures(spark, d),
             "categories": _categories(spark, d),
         }
     )
@@ -169,7 +169,7 @@ def i8_tag_performance(spark, d):
     part = table(spark, d, "part").select(F.col("p_partkey").alias("video_id"), "p_name")
     _, tags = split_values(part, "p_name", ["video_id"], ["video_id"], " ")
     return insights.tag_performance(
-        {"tags": tags, "trending_videos": _figures(spark, d)}
+        {"tags": tags, "trending_videos": figures(spark, d)}
     ).withColumn("avg_engagement_rate", F.round("avg_engagement_rate", 6))
 
 

@@ -75,8 +75,8 @@ def transitive_dim(spark, d):
     return _dependencies(spark, d)[1]
 
 
-def flatten_nested(spark, d):
-    """Every turn of every conversation as an item of a response"""
+def thread_responses(spark, d):
+    """Every turn of every conversation as a response of two comment threads."""
     turns = table(spark, d, "conversations")
 
     def thread(ident, text):
@@ -100,8 +100,12 @@ def flatten_nested(spark, d):
         thread(F.concat(F.lit(" "), ident, F.lit("-a ")), F.col("text")),
         thread(F.concat(ident, F.lit("-b")), F.nullif("role", F.lit("user"))),
     )
-    responses = turns.select("role", F.to_json(F.struct(items.alias("items"))).alias("body"))
-    return flatten(responses, "threads", stamp=["role"])
+    return turns.select("role", F.to_json(F.struct(items.alias("items"))).alias("body"))
+
+
+def flatten_nested(spark, d):
+    """S9 F14 P7"""
+    return flatten(thread_responses(spark, d), "threads", stamp=["role"])
 
 
 def flatten_videos(spark, d):

@@ -176,7 +176,7 @@ def r5_replies(spark, d):
     return _golden(spark, d, "replies", raw, "replies_df")
 
 
-def _raw_trending(spark, d):
+def raw_trending(spark, d):
     return table(spark, d, "part").select(
         F.col("p_partkey").cast("string").alias("video_id"),
         F.col("p_name").alias("title"),
@@ -203,18 +203,18 @@ def _raw_trending(spark, d):
 
 def r6_trending(spark, d):
     """Videos without tags stay"""
-    return _golden(spark, d, "trending_videos", _raw_trending(spark, d), "trending_videos_df")
+    return _golden(spark, d, "trending_videos", raw_trending(spark, d), "trending_videos_df")
 
 
 def r6_tags(spark, d):
     """R6"""
-    return _golden(spark, d, "trending_videos", _raw_trending(spark, d), "tags_df")
+    return _golden(spark, d, "trending_videos", raw_trending(spark, d), "tags_df")
 
 
 def r6_channel_names(spark, d):
     """R6"""
     return _golden(
-        spark, d, "trending_videos", _raw_trending(spark, d), "channels_basic_information_df"
+        spark, d, "trending_videos", raw_trending(spark, d), "channels_basic_information_df"
     )
 
 

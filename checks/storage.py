@@ -9,12 +9,21 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from checks import insights, normal, pipelines
+from checks.insights import figures
+from checks.normal import thread_responses
+from checks.pipelines import raw_trending
 from checks.tables import table
 from millrace.functions import clean_text
+from millrace.operators.normalise import split_values
+from millrace.plans.golden import GOLDEN
+from millrace.plans.insights import publish
+from millrace.plans.raw import build_raw
+from millrace.plans.runner import execute
 from millrace.sources import manifest as m
 from millrace.sources.catalog import create_or_repair
 from millrace.sources.files import work_folder
-from millrace.sources.readers import read_dependencies, read_input
+from millrace.sources.readers import distinct_keys, read_dependencies, read_input
 from millrace.sources.tables import VersionedTable, save
 
 
@@ -53,6 +62,62 @@ def manifest_spec(spark, d):
     return read_input(spark, merged["input"])
 
 
+def raw_build(spark, d):
+    """Dumps on disk, flattened to a raw batch, scanned by its manifest"""
+    root = work_folder(spark, "raw")
+    dumps = f"{root}/dumps"
+    thread_responses(spark, d).write.json(dumps)
+    batch = m.Batch(root, "site", "raw", "comment_threads", "20240102", 1)
+    manifest = build_raw(spark, dumps, batch)
+    spec = m.with_manifest(GOLDEN["comment_threads"](f"{root}/golden"), manifest, root)
+    return read_input(spark, spec["input"])
+
+
+def executed_spec(spark, d):
+    """A raw batch through the whole of its spec, read back from the golden table"""
+    root = work_folder(spark, "lake")
+    batch = m.Batch(root, "site", "raw", "trending_videos", "20240102", 1)
+    m.write_csv_batch(raw_trending(spark, d), batch)
+    manifest = m.write_raw_manifest(spark, batch)
+    spec = m.with_manifest(GOLDEN["trending_videos"](f"{root}/golden"), manifest, root)
+    execute(spark, spec)
+    rows = VersionedTable(spark, f"{root}/golden/trending_videos/current").read()
+    return rows.withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
+
+
+def published_insight(spark, d):
+    """Golden tables on disk, the job's result read through the catalog"""
+    root = work_folder(spark, "lake")
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("video_id"), "p_name")
+    _, tags = split_values(part, "p_name", ["video_id"], ["video_id"], " ")
+    VersionedTable(spark, f"{root}/golden/tags").replace(tags)
+    VersionedTable(spark, f"{root}/golden/trending_videos/current", ["category_id"]).replace(
+        figures(spark, d)
+    )
+    stored = publish(
+        spark, "tag_performance_metrics", f"{root}/golden", f"{root}/insights/tags"
+    )
+    name = f"tags_{uuid.uuid4().hex}"
+    create_or_repair(spark, "default", name, stored.snapshot().schema, stored.place()[0])
+    return spark.table(f"default.{name}").withColumn(
+        "avg_engagement_rate", F.round("avg_engagement_rate", 6)
+    )
+
+
+def sliced_write(spark, d):
+    """Files of at most 5,000 rows"""
+    stored = VersionedTable(
+        spark, f"{work_folder(spark, 'golden')}/lineitem", max_records_per_file=5000
+    )
+    stored.replace(table(spark, d, "lineitem"))
+    return stored.read()
+
+
+def fetch_keys(spark, d):
+    """S12"""
+    return distinct_keys(table(spark, d, "lineitem"), "l_partkey", "l_suppkey")
+
+
 def csv_roundtrip(spark, d):
     """K1 F1: whole cleaned texts with quotes, commas and letters of any kind"""
     batch = m.Batch(work_folder(spark, "raw"), "shop", "raw", "documents", "20240102", 1)
@@ -162,6 +227,11 @@ QUERIES = {
     for f in (
         manifest_scan,
         manifest_spec,
+        raw_build,
+        executed_spec,
+        published_insight,
+        sliced_write,
+        fetch_keys,
         csv_roundtrip,
         partition_scan,
         stored_current,
@@ -176,6 +246,15 @@ QUERIES = {
 _WS = r"[\x09-\x0d\x1c-\x1f\x{85}\p{Z}]"
 
 SQL = {
+    "raw_build": """
+        SELECT comment_thread_id, video_id, author_name, nullif(text, '') AS text,
+               CAST(like_count AS VARCHAR) AS like_count, published_at,
+               CAST(total_reply_count AS VARCHAR) AS total_reply_count
+        FROM (""" + normal.SQL["flatten_nested"] + ")",
+    "executed_spec": pipelines.SQL["r6_trending"],
+    "published_insight": insights.SQL["i8_tag_performance"],
+    "sliced_write": "SELECT * FROM lineitem",
+    "fetch_keys": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
     "manifest_scan": "SELECT * FROM part",
     "manifest_spec": "SELECT p_partkey, p_type FROM part",
     "csv_roundtrip": f"""
