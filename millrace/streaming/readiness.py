@@ -99,9 +99,9 @@ def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def needed_by(events: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Each event with every target that waits for it.  The mapping is the content of
-    one config file, so it is broadcast."""
-    return events.join(F.broadcast(mapping), "finish_event", "inner")
+    """Each event with every target that waits for it.  The mapping's rows are in the
+    plan itself, so Spark knows their size and broadcasts them without a hint."""
+    return events.join(mapping, "finish_event", "inner")
 
 
 def ready_targets(messages: DataFrame, mapping: DataFrame) -> DataFrame:

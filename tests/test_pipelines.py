@@ -252,6 +252,28 @@ def test_insights_are_exact_when_a_dimension_repeats_a_key(spark):
     assert rows(got) == [("x", 2, 12, 24, 36, 4.0), ("y", 1, 10, 20, 30, None)]
 
 
+def test_command_line(spark, lake, tmp_path):
+    from millrace.__main__ import main
+
+    spec = GOLDEN["comment_threads"](str(tmp_path / "golden"))
+    (tmp_path / "spec.json").write_text(json.dumps(spec))
+    batch = m.Batch(str(lake.root), "site", "raw", "comment_threads", "20240601", 1)
+    common = ["--spec", str(tmp_path / "spec.json"), "--root", str(lake.root)]
+    main(["spec", *common, "--manifest", batch.manifest_path,
+          "--ledger", str(tmp_path / "ledger"), "--events", str(tmp_path / "events")])
+    threads = VersionedTable(spark, str(tmp_path / "golden/comment_threads/current")).read()
+    assert rows(threads) == rows(lake("comment_threads/current"))
+    book = ledger.Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.status_of(book.rows(), "comment_threads_df") == "SUCCESS"
+    assert spark.read.text(str(tmp_path / "events")).count() == 2
+    (tmp_path / "empty.json").write_text('{"partitions": []}')
+    with pytest.raises(ValueError, match="names no files"):
+        main(["spec", *common, "--manifest", str(tmp_path / "empty.json")])
+    main(["insight", "--name", "author_activity_metrics",
+          "--golden", str(lake.root / "golden"), "--out", str(tmp_path / "out")])
+    assert VersionedTable(spark, str(tmp_path / "out")).read().count() == 4
+
+
 def test_unknown_raw_table(spark):
     with pytest.raises(ValueError, match="unknown raw table"):
         build_raw(spark, "x", m.Batch("r", "s", "raw", "playlists", "d", 1))
