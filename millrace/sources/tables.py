@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.paths import decode_key
 from millrace.operators import scd
-from millrace.operators.joins import with_keys
+from millrace.operators.joins import same_key, with_keys
 from millrace.operators.rows import ordering
 from millrace.sources.files import list_files, read_text, remove, write_text
 from millrace.sources.readers import narrow
@@ -219,9 +219,15 @@ class VersionedTable:
         ``change`` must leave rows alone whose key is not in the batch; it then gets only
         the partitions that can be affected.
         """
+        absent = [c for c in [*keys, *self.partition_by] if c not in batch.columns]
+        if absent:
+            raise ValueError(f"the batch lacks key or partition columns {absent}")
         found = self.snapshot()
         if found is None:
             return self.replace(change(None, batch), operation)
+        if batch.isEmpty():
+            return self._commit(found.version + 1, operation, found.live, found.schema)
+        batch = scd.aligned(batch, self.spark.createDataFrame([], found.schema))
         touched = self._touched(found, batch, keys)
         stored = self._scan(touched, found.schema).select(*found.schema.fieldNames())
         return self._rewrite(found, touched, change(stored, batch), operation)
@@ -290,6 +296,21 @@ class VersionedTable:
             remove(self.spark, path)
 
 
+def merge_in_place(
+    batch: DataFrame,
+    table: str,
+    keys: list[str],
+    order_by: list | None = None,
+    strict: bool = False,
+) -> None:
+    """K3 on a catalog table whose format has MERGE: the format rewrites the files that hold
+    a key of the batch and no others.  A Parquet table has none; use :func:`save` there."""
+    rows = scd.one_per_key(batch, keys, order_by, strict).alias("_batch")
+    name = table.split(".")[-1]
+    condition = same_key([f"{name}.{k}" for k in keys], [f"_batch.{k}" for k in keys])
+    rows.mergeInto(table, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def save(
     df: DataFrame, output: Mapping[str, Any], spark: SparkSession | None = None, as_of=None
 ) -> VersionedTable:

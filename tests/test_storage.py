@@ -13,7 +13,7 @@ from millrace.sources import catalog, files, ledger
 from millrace.operators import scd
 from millrace.sources import manifest as m
 from millrace.sources import readers as rd
-from millrace.sources.tables import VersionedTable, save, write_partitioned
+from millrace.sources.tables import VersionedTable, merge_in_place, save, write_partitioned
 
 
 @pytest.fixture()
@@ -192,6 +192,23 @@ def test_merge_adds_a_column(spark, tmp_path):
     assert rows(stored.read()) == [(1, 1, None), (2, 2, "n")]
 
 
+def test_merge_of_odd_batches(spark, tmp_path):
+    kind = "k int, p int, v string"
+    change = lambda old, new: scd.scd1(old, new, ["k"])
+    stored = VersionedTable(spark, str(tmp_path / "t"), ["p"])
+    stored.merge(spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], kind), ["k"], change)
+    live = stored.snapshot().live
+    stored.merge(spark.createDataFrame([], kind), ["k"], change)
+    assert stored.version() == 2 and stored.snapshot().live == live
+    with pytest.raises(ValueError, match=r"\['p'\]"):
+        stored.merge(spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], change)
+    # keys and partitions given as text are compared and stored in the table's types
+    text = spark.createDataFrame([("2", "1", "c")], "k string, p string, v string")
+    stored.merge(text, ["k"], change)
+    assert rows(stored.read()) == [(1, 1, "a"), (2, 1, "c")]
+    assert dict(stored.read().dtypes) == {"k": "int", "p": "int", "v": "string"}
+
+
 def test_append(spark, tmp_path):
     log = VersionedTable(spark, str(tmp_path / "t"), ["p"])
     one = spark.createDataFrame([(1, "01")], "k int, p string")
@@ -259,6 +276,12 @@ def test_save_dispatch(spark, tmp_path):
     assert default.version() == 1
 
 
+def test_merge_in_place_needs_a_format_with_merge(spark, df):
+    df.write.saveAsTable("plain_parquet")
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        merge_in_place(df, "plain_parquet", ["i"])
+
+
 # --- catalog
 
 def test_catalog(spark, df, tmp_path):
