@@ -5,7 +5,6 @@ Only metadata passes through here (a listing, one JSON object), never table rows
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -61,11 +60,12 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder that the driver and all executors see.
 
-    A temporary folder of this machine is used only where that setting is unset.
+    It lies below ``spark.checkpoint.dir`` and, where that is unset, below the warehouse,
+    which is shared by definition.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

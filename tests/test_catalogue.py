@@ -5,9 +5,10 @@ from conftest import SMALL
 from oracle import connect, differences
 
 import __spark_entry__ as catalogue
+import checks
 
-QUERIES = catalogue.queries()
-SQL = catalogue.oracle_sql()
+QUERIES = checks.all_queries()
+SQL = checks.all_sql()
 
 
 @pytest.fixture(scope="module")
