@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from millrace.llm import packing, token_files
+from millrace.llm import near_dup, packing, token_files
 from millrace.llm.common import table
 from millrace.sources.files import work_folder
 
@@ -24,5 +25,12 @@ def op4_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op4_packing)}
+def op7_simhash_classes(spark, d):
+    """Fingerprint and class of near copies of all documents."""
+    found = near_dup.duplicate_classes(table(spark, d, "documents"))
+    code = F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", code, "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op4_packing, op7_simhash_classes)}
 SQL: dict[str, str] = {}
