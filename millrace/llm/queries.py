@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import near_dup, packing, token_files
+from millrace.llm import html_text, near_dup, packing, token_files
 from millrace.llm.common import table
 from millrace.sources.files import work_folder
 
@@ -32,5 +32,10 @@ def op7_simhash_classes(spark, d):
     return found.select("doc_id", code, "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op4_packing, op7_simhash_classes)}
+def op10_main_text(spark, d):
+    """The main text of all pages."""
+    return html_text.extract(table(spark, d, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op4_packing, op7_simhash_classes, op10_main_text)}
 SQL: dict[str, str] = {}
