@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +12,19 @@ from pyspark.sql import functions as F
 from millrace.sources.files import work_folder
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it, as they would from
+    ``--py-files`` or an installed package."""
+    given = spark.sparkContext.environment
+    if ROOT not in given.get("PYTHONPATH", "").split(os.pathsep):
+        given["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, given.get("PYTHONPATH"))))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -25,6 +40,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` (as long), ``text`` (null: empty) and the named columns, no others."""
+    importable(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
@@ -32,6 +48,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def remainder(divisor: int):
+    """The crc32 of a document's id, as text, modulo ``divisor``: what to learn from and what to hold out."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
+
+
 def lower_ascii(text):
     """``text`` with A-Z, and no other letters, in lower case."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

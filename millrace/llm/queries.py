@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, near_dup, packing, token_files
-from millrace.llm.common import table
+from millrace.llm import html_text, language, near_dup, packing, quality, token_files
+from millrace.llm.common import remainder, table
 from millrace.sources.files import work_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -20,6 +20,13 @@ def op1_token_files(spark, d):
     return token_files.read_tokens(spark, folder)
 
 
+def op3_language(spark, d):
+    """The language of all documents, learned from two thirds of them."""
+    docs = table(spark, d, "documents")
+    found = language.predict(docs, language.fit(docs, remainder(3) != 1))
+    return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op4_packing(spark, d):
     """All documents in sequences of at most 2048 ids."""
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path(VOCABULARY))
@@ -32,10 +39,29 @@ def op7_simhash_classes(spark, d):
     return found.select("doc_id", code, "component_id")
 
 
+def op8_quality(spark, d):
+    """The quality of all documents, learned from three quarters of the labels."""
+    docs = table(spark, d, "documents")
+    model = quality.fit(docs, table(spark, d, "labels"), remainder(4) != 2)
+    found = quality.score(docs, model)
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", predicted)
+
+
 def op10_main_text(spark, d):
     """The main text of all pages."""
     return html_text.extract(table(spark, d, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op4_packing, op7_simhash_classes, op10_main_text)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_files,
+        op3_language,
+        op4_packing,
+        op7_simhash_classes,
+        op8_quality,
+        op10_main_text,
+    )
+}
 SQL: dict[str, str] = {}
