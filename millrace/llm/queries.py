@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, language, near_dup, packing, quality, token_files
+from millrace.llm import html_text, language, near_dup, packing, quality, secrets, suffix_tree, token_files
 from millrace.llm.common import remainder, table
 from millrace.sources.files import work_folder
 
@@ -20,6 +20,22 @@ def op1_token_files(spark, d):
     return token_files.read_tokens(spark, folder)
 
 
+def op2_secrets(spark, d):
+    """Secrets in all documents: matches of the base patterns, and runs that look random."""
+    docs = table(spark, d, "documents")
+    found = secrets.find(docs, secrets.train(docs))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind, *_ in secrets.BASE),
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_language(spark, d):
     """The language of all documents, learned from two thirds of them."""
     docs = table(spark, d, "documents")
@@ -32,6 +48,11 @@ def op4_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_suffix_tree(spark, d):
+    """Scores of all documents, learned from four fifths of them."""
+    return suffix_tree.score(table(spark, d, "documents"), remainder(5) != 1)
+
+
 def op7_simhash_classes(spark, d):
     """Fingerprint and class of near copies of all documents."""
     found = near_dup.duplicate_classes(table(spark, d, "documents"))
@@ -57,8 +78,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files,
+        op2_secrets,
         op3_language,
         op4_packing,
+        op6_suffix_tree,
         op7_simhash_classes,
         op8_quality,
         op10_main_text,
