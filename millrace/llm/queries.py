@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, language, near_dup, packing, quality, secrets, suffix_tree, token_files
+from millrace.llm import html_text, language, near_dup, packing, quality, secrets, suffix_tree, token_files, topk
 from millrace.llm.common import remainder, table
 from millrace.sources.files import work_folder
 
@@ -69,6 +69,11 @@ def op8_quality(spark, d):
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", predicted)
 
 
+def op9_top5(spark, d):
+    """The five best partners of every fiftieth vector among all vectors."""
+    return topk.top(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_main_text(spark, d):
     """The main text of all pages."""
     return html_text.extract(table(spark, d, "pages"))
@@ -84,7 +89,26 @@ QUERIES = {
         op6_suffix_tree,
         op7_simhash_classes,
         op8_quality,
+        op9_top5,
         op10_main_text,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_top5": """
+        WITH whole AS (
+            SELECT CAST(vec_id AS BIGINT) AS vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
