@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import importable
+
 ORDER = 4
 SAMPLE = 1000
 ALL_SAMPLES = 8_000
@@ -252,6 +254,21 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
                 [batch["doc_id"], *columns], names=["doc_id", "lang_pred", "score", "rejected"]
             )
 
+    importable(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         name, "doc_id long, lang_pred string, score double, rejected boolean"
     )
+
+
+def keep(docs: DataFrame, model: Languages) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text is not rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def known(batches):
+        of = shared.value
+        for batch in batches:
+            kept = [not of.predict(t)[2] for t in batch["text"].to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    importable(docs.sparkSession)
+    return docs.mapInArrow(known, docs.schema)

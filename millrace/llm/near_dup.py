@@ -29,7 +29,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import partitions, stored, texts
@@ -100,16 +100,16 @@ def masks(b: int) -> list[int]:
 
 
 def classes(prints: DataFrame) -> DataFrame:
-    """``code`` and ``component_id`` for each distinct code of ``fingerprints``."""
+    """``code``, ``component_id`` and ``class``, the code of its root, for each distinct code of ``fingerprints``."""
     entries = stored(
         prints.groupBy("code").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("least")), "codes"
     )
     roots = components(links(entries), "u", "v").select(
-        F.col("node.code").alias("linked"), F.col("root.least").alias("root")
+        F.col("node.code").alias("linked"), F.col("root.least").alias("root"), F.col("root.code").alias("root_code")
     )
     found = F.coalesce("root", "least")
     return entries.join(roots, F.col("code") == F.col("linked"), "left").select(
-        "code", F.when(found < NO_ID, found).alias("component_id")
+        "code", F.when(found < NO_ID, found).alias("component_id"), F.coalesce("root_code", "code").alias("class")
     )
 
 
@@ -273,7 +273,41 @@ def _descend(levels, level: int, a: np.ndarray, b: np.ndarray, radius: int, at_o
 
 
 def duplicate_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``code`` and ``component_id`` of each row."""
+    """``doc_id``, ``text_hash``, ``code``, ``component_id`` and ``class`` of each row."""
     prints = stored(fingerprints(docs), "prints")
     found = stored(classes(prints), "classes")
-    return prints.join(found, "code").select("doc_id", "text_hash", "code", "component_id")
+    return prints.join(found, "code").select("doc_id", "text_hash", "code", "component_id", "class")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each class, that of its smallest id."""
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = (
+        duplicate_classes(docs)
+        .where(first)
+        .groupBy("class")
+        .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("kept"))
+    )
+    # the same two keys in both, under names that docs doesn't have
+    name, text_hash, number = (_free(docs, n) for n in ("id", "hash", "number"))
+    kept = kept.select(F.col("kept.id").alias(name), F.col("kept.text_hash").alias(text_hash))
+    keyed = docs.withColumns(
+        {
+            name: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+            text_hash: F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
+        }
+    )
+    # of rows that are equal one stays
+    same = Window.partitionBy(name, text_hash).orderBy(name)
+    return (
+        keyed.join(kept, [name, text_hash], "left_semi")
+        .withColumn(number, F.row_number().over(same))
+        .where(F.col(number) == 1)
+        .select(*docs.columns)
+    )
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    while name in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return name

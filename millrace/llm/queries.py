@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, language, near_dup, packing, quality, secrets, suffix_tree, token_files, topk
+from millrace.llm import decontaminate, html_text, language, near_dup, packing, quality, secrets, suffix_tree, token_files, topk
 from millrace.llm.common import remainder, table
 from millrace.sources.files import work_folder
 
@@ -48,6 +48,17 @@ def op4_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_benchmark_links(spark, d):
+    """All documents with the benchmark items that they hold."""
+    found = decontaminate.links(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.size("links").cast("long").alias("n_items"),
+        F.array_sort("links.item_id").alias("item_ids"),
+        F.array_max("links.similarity").alias("similarity"),
+    )
+
+
 def op6_suffix_tree(spark, d):
     """Scores of all documents, learned from four fifths of them."""
     return suffix_tree.score(table(spark, d, "documents"), remainder(5) != 1)
@@ -86,6 +97,7 @@ QUERIES = {
         op2_secrets,
         op3_language,
         op4_packing,
+        op5_benchmark_links,
         op6_suffix_tree,
         op7_simhash_classes,
         op8_quality,
