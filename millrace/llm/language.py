@@ -35,7 +35,10 @@ ORDER = 4
 SAMPLE = 1000
 ALL_SAMPLES = 8_000
 LONGEST = 8_000
+#: A text is rejected this many spreads above the usual cross-entropy; a spread is at least
+#: ``SPREAD``, so that a text in two of the languages stays.
 REJECT = 8.0
+SPREAD = 0.15
 UNKNOWN = "und"
 OTHER = re.compile(r"[\W\d_]+")
 #: An odd multiplier for hashes of n-grams, which are taken modulo 2**64.
@@ -125,7 +128,7 @@ class Languages:
         best = int(np.argmin(entropy))
         odds = np.exp(-np.minimum(700, n**self.power * (entropy - entropy[best])))
         mean, spread, size = self.usual[best]
-        wide = max(spread, 0.01) * max(1.0, (size / n) ** 0.5)
+        wide = max(spread, SPREAD) * max(1.0, (size / n) ** 0.5)
         return self.names[best], float(1 / odds.sum()), bool(entropy[best] > mean + REJECT * wide)
 
 
