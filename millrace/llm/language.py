@@ -39,6 +39,8 @@ LONGEST = 8_000
 #: ``SPREAD``, so that a text in two of the languages stays.
 REJECT = 8.0
 SPREAD = 0.15
+#: The variance of the cross-entropy that one character adds to a short text's.
+NOISE = 3.0
 UNKNOWN = "und"
 OTHER = re.compile(r"[\W\d_]+")
 #: An odd multiplier for hashes of n-grams, which are taken modulo 2**64.
@@ -127,8 +129,8 @@ class Languages:
         entropy = self.entropies(codes)
         best = int(np.argmin(entropy))
         odds = np.exp(-np.minimum(700, n**self.power * (entropy - entropy[best])))
-        mean, spread, size = self.usual[best]
-        wide = max(spread, SPREAD) * max(1.0, (size / n) ** 0.5)
+        mean, spread = self.usual[best]
+        wide = (max(spread, SPREAD) ** 2 + NOISE / n) ** 0.5
         return self.names[best], float(1 / odds.sum()), bool(entropy[best] > mean + REJECT * wide)
 
 
@@ -159,10 +161,10 @@ def train(samples: dict[str, list[str]]) -> Languages:
             total += np.log(np.exp(x).sum()) - x[k]
         loss[power] = total
     model.power = min(POWERS, key=lambda p: loss[p])
-    model.usual = np.zeros((len(names), 3))
+    model.usual = np.zeros((len(names), 2))
     for k in range(len(names)):
-        own = np.array([(entropy[k], n) for language, n, entropy in seen if language == k])
-        model.usual[k] = own[:, 0].mean(), own[:, 0].std(), np.median(own[:, 1])
+        own = np.array([entropy[k] for language, _, entropy in seen if language == k])
+        model.usual[k] = own.mean(), own.std()
     return model
 
 
