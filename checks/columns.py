@@ -73,13 +73,19 @@ def group_aggregate(spark, d):
     )
 
 
-def _orders(spark, d, since=None):
-    df = table(spark, d, "orders").select(
+def _orders(spark, d):
+    return table(spark, d, "orders").select(
         F.col("o_custkey").alias("custkey"), "o_orderkey", "o_orderstatus", "o_orderdate"
     )
-    if since is None:
-        return df
-    return df.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+
+
+def _documents(spark, d):
+    """Some of them have labels."""
+    return table(spark, d, "documents").select("doc_id", "lang", "source")
+
+
+def _labels(spark, d):
+    return table(spark, d, "labels").select("doc_id", "quality", "toxic")
 
 
 def _customers(spark, d):
@@ -95,24 +101,24 @@ def join_using_inner(spark, d):
 
 def join_left(spark, d):
     """J4"""
-    return j.join_using(_customers(spark, d), _orders(spark, d, "2001-01-01"), ["custkey"], "left")
+    return j.join_using(_documents(spark, d), _labels(spark, d), ["doc_id"], "left")
 
 
 def join_left_fanout(spark, d):
     """J4 with a right side whose keys may be hot"""
-    return j.left_join_fanout(_customers(spark, d), _orders(spark, d, "2001-01-01"), ["custkey"])
+    return j.left_join_fanout(_documents(spark, d), _labels(spark, d), ["doc_id"])
 
 
 def join_semi(spark, d):
     """J1 semi"""
     return j.join_using(
-        _customers(spark, d), _orders(spark, d, "2001-01-01"), ["custkey"], "left_semi"
+        _documents(spark, d), _labels(spark, d), ["doc_id"], "left_semi"
     )
 
 
 def join_anti(spark, d):
     """J7"""
-    return j.orphans(_customers(spark, d), _orders(spark, d, "2001-01-01"), ["custkey"])
+    return j.orphans(_documents(spark, d), _labels(spark, d), ["doc_id"])
 
 
 def join_lookup(spark, d):
@@ -121,7 +127,6 @@ def join_lookup(spark, d):
         table(spark, d, "supplier"),
         table(spark, d, "nation"),
         {"s_nationkey": "n_nationkey"},
-        broadcast_rows=10_000,
     )
 
 
@@ -233,9 +238,8 @@ _K = "regexp_extract(props, '[0-9]+', 0)"
 # white space of any kind, as a DuckDB regular expression
 _WS = r"[\x09-\x0d\x1c-\x1f\x{85}\p{Z}]"
 _LEFT = """
-SELECT c_custkey AS custkey, c_name, c_nationkey, o_orderkey, o_orderstatus, o_orderdate
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') o
-  ON c_custkey = o_custkey
+SELECT d.doc_id, lang, source, quality, toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
 
 
@@ -279,13 +283,11 @@ SQL = {
     "join_left": _LEFT,
     "join_left_fanout": _LEFT,
     "join_semi": """
-        SELECT c_custkey AS custkey, c_name, c_nationkey FROM customer
-        WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
-                      AND o_orderdate >= TIMESTAMP '2001-01-01')""",
+        SELECT doc_id, lang, source FROM documents d
+        WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "join_anti": """
-        SELECT DISTINCT c_custkey AS custkey FROM customer
-        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
-                          AND o_orderdate >= TIMESTAMP '2001-01-01')""",
+        SELECT DISTINCT doc_id FROM documents d
+        WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "join_lookup": """
         SELECT s_nationkey, s_suppkey, s_name, s_acctbal, n_name, n_regionkey
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",

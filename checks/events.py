@@ -54,7 +54,7 @@ def readiness_batch(spark, d):
 
 
 def readiness_stream(spark, d):
-    """ST3 ST4 S10 as a stream over the same events"""
+    """ST3 S10 as a stream over the same events"""
     schema = table(spark, d, "events").schema
     events = (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
@@ -74,6 +74,7 @@ def event_validation(spark, d):
             F.when(kind != "signup", kind).alias("finish_event"),
             F.when(kind == "purchase", "").otherwise(kind).alias("dataset"),
             F.lit("COMPLETED").alias("status"),
+            F.when(F.col("value") < 2, "soon").otherwise(F.col("ts").cast("string")).alias("timestamp"),
         )
     )
     value = (
@@ -179,7 +180,9 @@ SQL = {
                     WHEN event_type <> 'error' THEN event_type END AS dataset,
                CASE event_type WHEN 'error' THEN 'not a JSON object'
                     WHEN 'signup' THEN 'finish_event is missing'
-                    WHEN 'purchase' THEN 'dataset is missing' END AS reject_reason,
+                    WHEN 'purchase' THEN 'dataset is missing'
+                    ELSE CASE WHEN value < 2 THEN 'timestamp is missing or no time' END
+               END AS reject_reason,
                count(*) AS count
         FROM events GROUP BY ALL""",
     "url_route": f"""{_ROUTED}

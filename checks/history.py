@@ -17,7 +17,7 @@ KEYS = ["custkey"]
 TRACKED = ["status", "priority"]
 
 
-def _profile(spark, d, since: str, until: str):
+def _profile(spark, d, since: str | None, until: str | None):
     orders = table(spark, d, "orders").select(
         F.col("o_custkey").alias("custkey"),
         F.col("o_orderstatus").alias("status"),
@@ -25,19 +25,20 @@ def _profile(spark, d, since: str, until: str):
         "o_orderdate",
         "o_orderkey",
     )
-    period = orders.filter(
-        (F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
-        & (F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
-    )
+    period = orders
+    if since:
+        period = period.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    if until:
+        period = period.filter(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
     newest = deduplicate(period, KEYS, ["o_orderdate desc", "o_orderkey desc"])
     return newest.select("custkey", "status", "priority")
 
 
 def _batches(spark, d):
     return [
-        _profile(spark, d, "1990-01-01", "1996-01-01"),
+        _profile(spark, d, None, "1996-01-01"),
         _profile(spark, d, "1996-01-01", "2000-01-01"),
-        _profile(spark, d, "2000-01-01", "2010-01-01"),
+        _profile(spark, d, "2000-01-01", None),
     ]
 
 
@@ -89,8 +90,8 @@ def scd4_history(spark, d):
 
 def scd4_changes(spark, d):
     """K6, history of changed rows only"""
-    before = _profile(spark, d, "1990-01-01", "1996-01-01")
-    batch = _profile(spark, d, "1996-01-01", "2010-01-01")
+    before = _profile(spark, d, None, "1996-01-01")
+    batch = _profile(spark, d, "1996-01-01", None)
     rows = scd.scd4_history(batch, "2002-01-02 00:00:00", before, KEYS, TRACKED, True)
     return rows.withColumn("record_timestamp", F.col("record_timestamp").cast("timestamp_ntz"))
 
@@ -117,19 +118,21 @@ QUERIES = {
 }
 
 
-def _profile_sql(since: str, until: str) -> str:
+def _profile_sql(since: str | None, until: str | None) -> str:
+    bounds = [f"o_orderdate >= TIMESTAMP '{since}'"] if since else []
+    bounds += [f"o_orderdate < TIMESTAMP '{until}'"] if until else []
     return f"""
       SELECT o_custkey AS custkey, o_orderstatus AS status,
              nullif(o_orderpriority, '5-LOW') AS priority
-      FROM orders WHERE o_orderdate >= TIMESTAMP '{since}' AND o_orderdate < TIMESTAMP '{until}'
+      FROM orders WHERE {' AND '.join(bounds)}
       QUALIFY row_number() OVER (PARTITION BY o_custkey
                                  ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
 
 
 _WITH = f"""
-WITH b1 AS ({_profile_sql('1990-01-01', '1996-01-01')}),
+WITH b1 AS ({_profile_sql(None, '1996-01-01')}),
      b2 AS ({_profile_sql('1996-01-01', '2000-01-01')}),
-     b3 AS ({_profile_sql('2000-01-01', '2010-01-01')}),
+     b3 AS ({_profile_sql('2000-01-01', None)}),
      b AS (SELECT *, 1 AS n, TIMESTAMP '2002-01-01' AS day FROM b1
            UNION ALL SELECT *, 2, TIMESTAMP '2002-01-02' FROM b2
            UNION ALL SELECT *, 3, TIMESTAMP '2002-01-03' FROM b3),
@@ -171,8 +174,8 @@ SQL = {
                CASE WHEN n = 3 THEN status = 'F' END AS checked FROM b""",
     "scd4_changes": f"""
         SELECT custkey, status, priority, TIMESTAMP '2002-01-02' AS record_timestamp FROM (
-          SELECT * FROM ({_profile_sql('1996-01-01', '2010-01-01')})
-          EXCEPT SELECT * FROM ({_profile_sql('1990-01-01', '1996-01-01')}))""",
+          SELECT * FROM ({_profile_sql('1996-01-01', None)})
+          EXCEPT SELECT * FROM ({_profile_sql(None, '1996-01-01')}))""",
     "delete_where": """
         SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders
         WHERE NOT coalesce(nullif(o_orderpriority, '5-LOW') < '3' OR o_orderstatus = 'P', false)""",

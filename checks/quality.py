@@ -52,31 +52,29 @@ def quality_summary(spark, d):
     return q.summarise(union_all(reports))
 
 
-def _late_orders(spark, d):
-    return table(spark, d, "orders").select(
-        F.nullif("o_custkey", F.lit(11)).alias("custkey"), "o_orderdate"
-    ).filter("o_orderdate >= TIMESTAMP_NTZ'2001-01-01'")
+def _labels(spark, d):
+    """Labels of some documents, one of them of none."""
+    return table(spark, d, "labels").select(F.nullif("doc_id", F.lit(11)).alias("doc_id"), "quality")
 
 
 def orphan_keys(spark, d):
     """Q7"""
-    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"))
-    return q.orphan_check(customers, _late_orders(spark, d), ["custkey"])
+    documents = table(spark, d, "documents").select("doc_id")
+    return q.orphan_check(documents, _labels(spark, d), ["doc_id"])
 
 
 def orphan_rules(spark, d):
     """Q8"""
     frames = {
-        "customers": table(spark, d, "customer").select(
-            F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey")
-        ),
-        "orders": _late_orders(spark, d),
+        "documents": table(spark, d, "documents").select("doc_id"),
+        "labels": _labels(spark, d),
+        "customers": table(spark, d, "customer").select(F.col("c_nationkey").alias("nationkey")),
         "nations": table(spark, d, "nation").select(F.col("n_nationkey").alias("nationkey")),
     }
     return q.check_joins(
         frames,
         [
-            {"source_table": "customers", "target_table": "orders", "keys": ["custkey"],
+            {"source_table": "documents", "target_table": "labels", "keys": ["doc_id"],
              "max_orphaned_ratio": 0.1},
             {"source_table": "customers", "target_table": "nations", "keys": ["nationkey"],
              "max_orphaned_ratio": 0.05},
@@ -144,16 +142,14 @@ _ORDERS = _report(
          f"count(*) FILTER (WHERE o_orderdate > TIMESTAMP '{AS_OF}')"),
     ],
 )
-_LATE = """
-    o AS (SELECT nullif(o_custkey, 11) AS custkey FROM orders
-          WHERE o_orderdate >= TIMESTAMP '2001-01-01'),
-    l AS (SELECT DISTINCT c_custkey AS custkey FROM customer),
-    r AS (SELECT DISTINCT custkey FROM o),
+_LABELLED = """
+    l AS (SELECT DISTINCT doc_id FROM documents),
+    r AS (SELECT DISTINCT nullif(doc_id, 11) AS doc_id FROM labels),
     n AS (SELECT (SELECT count(*) FROM l) AS left_keys, (SELECT count(*) FROM r) AS right_keys,
                  (SELECT count(*) FROM l WHERE NOT EXISTS
-                   (SELECT 1 FROM r WHERE r.custkey = l.custkey)) AS left_orphans,
+                   (SELECT 1 FROM r WHERE r.doc_id = l.doc_id)) AS left_orphans,
                  (SELECT count(*) FROM r WHERE NOT EXISTS
-                   (SELECT 1 FROM l WHERE r.custkey = l.custkey)) AS right_orphans)
+                   (SELECT 1 FROM l WHERE r.doc_id = l.doc_id)) AS right_orphans)
 """
 
 SQL = {
@@ -168,13 +164,13 @@ SQL = {
                  FILTER (WHERE NOT passed), '') AS failed,
                bool_and(passed) AS passed
         FROM ({_LINEITEM} UNION ALL {_PART} UNION ALL {_ORDERS}) GROUP BY "table\"""",
-    "orphan_keys": f"""WITH {_LATE}
+    "orphan_keys": f"""WITH {_LABELLED}
         SELECT left_keys, right_keys, left_orphans, right_orphans,
                left_orphans / left_keys AS left_ratio, right_orphans / right_keys AS right_ratio,
                greatest(left_orphans / left_keys, right_orphans / right_keys) <= 0.1 AS valid
         FROM n""",
-    "orphan_rules": f"""WITH {_LATE}
-        SELECT 'customers' AS source_table, 'orders' AS target_table, 'custkey' AS keys,
+    "orphan_rules": f"""WITH {_LABELLED}
+        SELECT 'documents' AS source_table, 'labels' AS target_table, 'doc_id' AS keys,
                left_keys AS source_keys, left_orphans AS orphans,
                left_orphans / left_keys AS orphan_ratio, left_orphans / left_keys <= 0.1 AS passed
         FROM n

@@ -5,7 +5,7 @@ Each query writes the given tables below the shared work folder and reads them b
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -21,10 +21,12 @@ from millrace.plans.insights import publish
 from millrace.plans.raw import build_raw
 from millrace.plans.runner import execute
 from millrace.sources import manifest as m
-from millrace.sources.catalog import create_or_repair
+from millrace.sources.catalog import create_or_repair, register_outputs
 from millrace.sources.files import work_folder
+from millrace.sources.ledger import Ledger, run_messages
 from millrace.sources.readers import distinct_keys, read_dependencies, read_input
-from millrace.sources.tables import VersionedTable, save
+from millrace.sources.tables import AppendTable, VersionedTable, save
+from millrace.streaming.readiness import load_mapping, mapping_rows, ready_targets
 
 
 def _part_batch(spark, d):
@@ -73,14 +75,19 @@ def raw_build(spark, d):
     return read_input(spark, spec["input"])
 
 
-def executed_spec(spark, d):
-    """A raw batch through the whole of its spec, read back from the golden table"""
-    root = work_folder(spark, "lake")
+def _trending_run(spark, d, root, batch_id):
+    """The spec of the trending videos over a raw batch, and an empty ledger."""
     batch = m.Batch(root, "site", "raw", "trending_videos", "20240102", 1)
     m.write_csv_batch(raw_trending(spark, d), batch)
     manifest = m.write_raw_manifest(spark, batch)
     spec = m.with_manifest(GOLDEN["trending_videos"](f"{root}/golden"), manifest, root)
-    execute(spark, spec)
+    return {**spec, "batch_id": batch_id}, Ledger(spark, f"{root}/ledger")
+
+
+def executed_spec(spark, d):
+    """A raw batch through the whole of its spec, read back from the golden table"""
+    root = work_folder(spark, "lake")
+    execute(spark, _trending_run(spark, d, root, None)[0])
     rows = VersionedTable(spark, f"{root}/golden/trending_videos/current").read()
     return rows.withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
 
@@ -97,9 +104,8 @@ def published_insight(spark, d):
     stored = publish(
         spark, "tag_performance_metrics", f"{root}/golden", f"{root}/insights/tags"
     )
-    name = f"tags_{uuid.uuid4().hex}"
-    create_or_repair(spark, "default", name, stored.snapshot().schema, stored.place()[0])
-    return spark.table(f"default.{name}").withColumn(
+    create_or_repair(spark, "default", "checked_tags", stored.snapshot().schema, stored.place()[0])
+    return spark.table("default.checked_tags").withColumn(
         "avg_engagement_rate", F.round("avg_engagement_rate", 6)
     )
 
@@ -160,7 +166,7 @@ def _stored_customers(spark, d):
         {"c_mktsegment": F.lit("DEBT"), "checked": F.lit(True)}
     )
     current = save(poor, output, as_of="2024-01-02 00:00:00")
-    return current, VersionedTable(spark, output["history_path"])
+    return current, AppendTable(spark, output["history_path"], output["partition_by"])
 
 
 def stored_current(spark, d):
@@ -216,10 +222,41 @@ def catalog_table(spark, d):
     parts = ["o_orderstatus"]
     stored = VersionedTable(spark, f"{work_folder(spark, 'golden')}/orders", parts)
     stored.replace(orders)
-    name = f"orders_{uuid.uuid4().hex}"
     location, folders = stored.place()
-    create_or_repair(spark, "default", name, orders.schema, location, parts, folders)
-    return spark.table(f"default.{name}")
+    create_or_repair(spark, "default", "checked_orders", orders.schema, location, parts, folders)
+    return spark.table("default.checked_orders").select(*orders.columns)
+
+
+def catalog_history(spark, d):
+    """Two batches of a history, all rows through the catalog"""
+    history = _stored_customers(spark, d)[1]
+    schema, parts = history.catalog_entry()
+    create_or_repair(spark, "default", "checked_history", schema, history.path, parts)
+    rows = spark.table("default.checked_history").select(*history.schema().fieldNames())
+    return rows.withColumn("record_timestamp", F.col("record_timestamp").cast("timestamp_ntz"))
+
+
+def registered_outputs(spark, d):
+    """The outputs of a run and their history, counted through the catalog"""
+    root = work_folder(spark, "lake")
+    spec, _ = _trending_run(spark, d, root, "r1")
+    done = execute(spark, spec).outputs
+    names = register_outputs(spark, "checked_golden", done)
+    counts = [
+        spark.table(f"checked_golden.{n}").agg(F.lit(n).alias("table"), F.count("*").alias("rows"))
+        for n in sorted(names)
+    ]
+    return reduce(lambda a, b: a.unionAll(b), counts)
+
+
+def run_readiness(spark, d):
+    """R0 K17 K18 ST3 ST7: a run writes its ledger, and the ledger says which insights can start"""
+    root = work_folder(spark, "lake")
+    spec, book = _trending_run(spark, d, root, "r1")
+    execute(spark, spec, book)
+    mapping = mapping_rows(spark, load_mapping({"trending_videos_done,tags_done": "tag_performance_metrics",
+                                                "channels_done,trending_videos_done": "channel_engagement_metrics"}))
+    return ready_targets(run_messages(book.rows()), mapping)
 
 
 QUERIES = {
@@ -229,6 +266,9 @@ QUERIES = {
         manifest_spec,
         raw_build,
         executed_spec,
+        catalog_history,
+        registered_outputs,
+        run_readiness,
         published_insight,
         sliced_write,
         fetch_keys,
@@ -247,7 +287,7 @@ _WS = r"[\x09-\x0d\x1c-\x1f\x{85}\p{Z}]"
 
 SQL = {
     "raw_build": """
-        SELECT comment_thread_id, video_id, author_name, nullif(text, '') AS text,
+        SELECT comment_thread_id, video_id, author_name, text,
                CAST(like_count AS VARCHAR) AS like_count, published_at,
                CAST(total_reply_count AS VARCHAR) AS total_reply_count
         FROM (""" + normal.SQL["flatten_nested"] + ")",
@@ -258,8 +298,8 @@ SQL = {
     "manifest_scan": "SELECT * FROM part",
     "manifest_spec": "SELECT p_partkey, p_type FROM part",
     "csv_roundtrip": f"""
-        SELECT doc_id, nullif(regexp_replace(translate(text, chr(10) || chr(13), '  '),
-                 '^{_WS}+|{_WS}+$', '', 'g'), '') AS text FROM documents""",
+        SELECT doc_id, regexp_replace(translate(text, chr(10) || chr(13), '  '),
+                 '^{_WS}+|{_WS}+$', '', 'g') AS text FROM documents""",
     "partition_scan": """
         SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
         WHERE year(o_orderdate) = 1998 AND o_totalprice > 1000""",
@@ -285,4 +325,15 @@ SQL = {
     "dependency_scan": """
         SELECT orders.*, c_name FROM orders JOIN customer ON o_custkey = c_custkey""",
     "catalog_table": "SELECT * FROM orders",
+    "run_readiness": "SELECT 'r1' AS batch_id, 'tag_performance_metrics' AS target",
 }
+SQL["catalog_history"] = SQL["stored_history"]
+SQL["registered_outputs"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", count(*) AS rows FROM ({pipelines.SQL[query]})"
+    for name, query in (
+        ("trending_videos", "r6_trending"),
+        ("trending_videos_history", "r6_trending"),
+        ("tags", "r6_tags"),
+        ("channels_basic_information", "r6_channel_names"),
+    )
+)

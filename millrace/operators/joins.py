@@ -23,23 +23,17 @@ def lookup_join(
     dimension: DataFrame,
     on: str | list[str] | dict[str, str],
     how: str = "inner",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Fact with a lookup table; ``on`` may map fact columns to dimension columns.
 
     Spark itself broadcasts a dimension that its statistics prove to be below
     ``spark.sql.autoBroadcastJoinThreshold`` (and adaptive execution does so from real
-    sizes), so no hint is needed.  ``broadcast_rows`` is for a caller who knows the row
-    width: the dimension is counted, no further than the limit, and the hint is given
-    only if it holds.  Beyond it the join shuffles and adaptive execution splits hot keys.
+    sizes), so no hint is needed.  Beyond it the join shuffles and adaptive execution
+    splits hot keys.
     """
     if isinstance(on, dict):
         dimension = dimension.withColumnsRenamed({d: f for f, d in on.items()})
         on = list(on)
-    if broadcast_rows is not None:
-        keys = [on] if isinstance(on, str) else on
-        if dimension.select(*keys).limit(broadcast_rows + 1).count() <= broadcast_rows:
-            dimension = F.broadcast(dimension)
     return fact.join(dimension, on, how)
 
 
@@ -50,8 +44,12 @@ def same_key(left_keys: list[str], right_keys: list[str]) -> Column:
 
 
 def orphans(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys of ``left`` with no partner; a null key never has one."""
-    return left.select(*keys).distinct().join(right.select(*keys), keys, "left_anti")
+    """Distinct keys of ``left`` with no partner; a null key never has one.
+
+    Both sides are reduced before they meet, so that a hot key is one row on either.
+    """
+    partners = right.select(*keys).distinct()
+    return left.select(*keys).distinct().join(partners, keys, "left_anti")
 
 
 def without_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,7 +67,8 @@ def with_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
 
 def _half_join(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
     names = [f"_other_{k}" for k in keys]
-    partner = other.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    # one row per key: adaptive execution cannot split the right side of these joins
+    partner = other.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
     return df.join(partner, same_key(keys, names), how)
 
 

@@ -3,11 +3,11 @@
 ``target`` is the stored table, or ``None`` before the first write.  Nothing is written
 here; :mod:`millrace.sources.tables` does that.
 
-The batch is expected to be small next to the table.  The table is therefore always the
-streamed side of a join with the batch: while the size Spark knows for the batch (that of
-its files) is below the broadcast threshold, the table is scanned and not shuffled; beyond
-it, both sides shuffle on the key.  The batch holds one row per key by then, so no key can
-be hot.
+The batch is expected to be small next to the table.  For type 1 the table is the streamed
+side of a join with the batch: while the size Spark knows for the batch (that of its files)
+is below the broadcast threshold, the table is scanned and not shuffled; beyond it, both
+sides shuffle on the key.  Types 2 and 3 read table and batch once, for one full outer join.
+The batch holds one row per key by then, so no key can be hot.
 """
 
 from __future__ import annotations
@@ -103,23 +103,45 @@ def _differs(columns: list[str], old: str, new: str) -> Column:
     return changed
 
 
-def _pair(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Every stored row as ``_old`` with the batch row of its key, or null, as ``_new``."""
-    old = target.select(F.struct(*target.columns).alias("_old"), *_keyed(keys, "_old_key"))
-    new = batch.select(F.struct(*batch.columns).alias("_new"), *_keyed(keys, "_new_key"))
+def _meet(target: DataFrame, batch: DataFrame, keys: list[str], joins: Column) -> DataFrame:
+    """Every stored row as ``_old`` beside the batch row of its key as ``_new``; either is null
+    where the other has no partner.
+
+    One full outer join reads table and batch once.  Stored rows for which ``joins`` is false
+    meet nothing; they are spread over the tasks, so that a key with many of them is not hot.
+    No full outer join can broadcast; while the size that Spark knows for the batch is below
+    its broadcast threshold, the table streams past the batch instead and isn't shuffled, and
+    a second look at its keys finds the batch rows without a partner.
+    """
+    spread = F.when(joins, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*target.columns), F.lit(1 << 20)))
+    old = target.select(
+        F.struct(*target.columns).alias("_old"), *_keyed(keys, "_old_key"), spread.alias("_old_spread")
+    )
+    new = batch.select(
+        F.struct(*batch.columns).alias("_new"), *_keyed(keys, "_new_key"), F.lit(0).cast("long").alias("_new_spread")
+    )
     names = range(len(keys))
-    condition = same_key([f"_old_key{i}" for i in names], [f"_new_key{i}" for i in names])
-    return old.join(new, condition, "left").select("_old", "_new")
+    condition = (F.col("_old_spread") == F.col("_new_spread")) & same_key(
+        [f"_old_key{i}" for i in names], [f"_new_key{i}" for i in names]
+    )
+    if not _is_broadcast(batch):
+        return old.join(new, condition, "full_outer").select("_old", "_new")
+    met = old.join(new, condition, "left").select("_old", "_new")
+    seen = with_keys(target.filter(joins).select(*keys), batch, keys)
+    alone = without_keys(batch, seen, keys)
+    absent = F.lit(None).cast(met.schema["_old"].dataType)
+    return met.union(alone.select(absent.alias("_old"), F.struct(*batch.columns).alias("_new")))
 
 
-def _keyed(keys: list[str], prefix: str) -> list[Column]:
-    return [F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
+def _is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's planner would broadcast ``df`` by what it knows of its size."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(size)) <= limit
 
 
-def _new_keys(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Batch rows whose key is not stored.  The stored keys are first cut to those of the
-    batch, so the table's keys are streamed past the batch rather than shuffled."""
-    return without_keys(batch, with_keys(target.select(*keys), batch, keys), keys)
+def _keyed(keys: list[str], prefix: str) -> list[Column]:
+    return [F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
 
 
 def scd2(
@@ -156,7 +178,6 @@ def scd2(
     stored = conform(target, fields)
     opened = conform(opened, fields)
     is_open = F.coalesce(F.col(current), F.lit(False))
-    open_rows = stored.filter(is_open)
 
     names = [f.name for f in fields]
     closed_row = F.struct(
@@ -167,16 +188,13 @@ def scd2(
             for c in names
         ]
     )
-    changed = F.col("_new").isNotNull() & _differs(compared, "_old", "_new")
-    versions = F.when(changed, F.array(closed_row, F.col("_new"))).otherwise(
-        F.array(F.col("_old"))
-    )
-    carried = _pair(open_rows, opened, keys).select(F.inline(versions)).toDF(*names)
-    return (
-        stored.filter(~is_open)
-        .unionByName(carried)
-        .unionByName(_new_keys(opened, open_rows, keys))
+    changed = _differs(compared, "_old", "_new")
+    versions = (
+        F.when(F.col("_old").isNull(), F.array(F.col("_new")))
+        .when(F.col("_new").isNotNull() & changed, F.array(closed_row, F.col("_new")))
+        .otherwise(F.array(F.col("_old")))
     )
+    return _meet(stored, opened, keys, is_open).select(F.inline(versions)).toDF(*names)
 
 
 def scd3(
@@ -203,20 +221,19 @@ def scd3(
     batch, fresh = aligned(batch, target), aligned(fresh, target)
     fields = merged_schema(target, fresh)
     stored = conform(target, fields)
-    found = F.col("_new").isNotNull()
+    added, found = F.col("_old").isNull(), F.col("_new").isNotNull()
 
     def value(name: str) -> Column:
-        old = F.col(f"_old.{name}")
+        old, new = F.col(f"_old.{name}"), F.col(f"_new.{name}")
         source = name.removeprefix(prefix)
         if name.startswith(prefix) and source in tracking:
             before, after = F.col(f"_old.{source}"), F.col(f"_new.{source}")
-            return F.when(found & ~before.eqNullSafe(after), before).otherwise(old)
-        if name in batch.columns:
-            return F.when(found, F.col(f"_new.{name}")).otherwise(old)
-        return old
+            kept = F.when(found & ~before.eqNullSafe(after), before).otherwise(old)
+            return F.when(added, new).otherwise(kept)
+        return F.when(found, new).otherwise(old) if name in batch.columns else old
 
-    carried = _pair(stored, batch, keys).select(*[value(f.name).alias(f.name) for f in fields])
-    return carried.unionByName(conform(_new_keys(fresh, stored, keys), fields))
+    pairs = _meet(stored, conform(fresh, fields), keys, F.lit(True))
+    return pairs.select(*[value(f.name).alias(f.name) for f in fields])
 
 
 def scd4_history(

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators import STEPS
 from millrace.operators.quality import check_schema, parse_rules, validate
@@ -87,6 +88,25 @@ def check_quality(
     return report
 
 
+def keep_report(report: DataFrame, spec: Mapping[str, Any]) -> DataFrame:
+    """Run the rules, keep their results as rows (at ``quality_path``, if given), and fail the run
+    if one fails that ``quality_blocking`` names, or any where it is true.
+
+    There is a row for each rule, so that the report can be held here.
+    """
+    rows = report.collect()
+    kept = report.sparkSession.createDataFrame(rows, report.schema)
+    if spec.get("quality_path"):
+        kept.withColumn("batch_id", F.lit(spec.get("batch_id")).cast("string")).write.mode("append").parquet(
+            spec["quality_path"]
+        )
+    blocking = spec.get("quality_blocking", False)
+    failed = [r["check"] for r in rows if not r["passed"] and (blocking is True or r["check"] in (blocking or ()))]
+    if failed:
+        raise ValueError(f"blocking quality rules fail: {failed}")
+    return kept
+
+
 def write_outputs(
     frames: Mapping[str, DataFrame],
     spec: dict[str, Any],
@@ -108,19 +128,21 @@ def write_outputs(
         frame = frames[name]
         if output.get("expected_schema"):
             check_schema(frame, output["expected_schema"], strict=True)
-        run_id = ledger.start(name) if ledger is not None else None
+        about = {"batch_id": spec.get("batch_id"), "finish_event": output.get("finish_event")}
+        run_id = ledger.start(name, **about) if ledger is not None else None
         try:
             save(frame, output)
         except Exception:
             if ledger is not None:
-                ledger.finish(run_id, name, "FAILED")
+                ledger.finish(run_id, name, "FAILED", **about)
             raise
         if ledger is not None:
-            ledger.finish(run_id, name, "SUCCESS")
+            ledger.finish(run_id, name, "SUCCESS", **about)
         if announce is not None and output.get("finish_event"):
             announce(
                 {
                     "finish_event": output["finish_event"],
+                    "batch_id": spec.get("batch_id"),
                     "dataset": name,
                     "source_system": spec.get("source_system"),
                     "config_file_path": spec.get("config_file_path"),
@@ -152,6 +174,8 @@ def execute(
     try:
         frames = run_pipeline(spark, spec, source)
         report = check_quality(frames, spec.get("quality", {}), as_of)
+        if report is not None:
+            report = keep_report(report, spec)
         outputs = write_outputs(
             frames, spec, lambda df, output: save(df, output, spark, as_of), ledger, announce
         )

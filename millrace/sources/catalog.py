@@ -9,11 +9,12 @@ from urllib.parse import unquote
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from millrace.sources.tables import VersionedTable
+from millrace.sources.tables import AppendTable, VersionedTable
 
 
 # Fixed value: the directory name Hive-style partitioning gives a null.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+PARTITIONS_AT_ONCE = 100
 
 
 def _quoted(*names: str) -> str:
@@ -40,7 +41,8 @@ def create_or_repair(
 
     Creates database and table when absent and takes in the partitions found there, or
     those of ``partition_dirs`` where the table's partitions lie in several places.  An
-    entry whose place has changed is made anew; only the catalog is touched, never data.
+    entry whose place has changed is pointed to the new one; only the catalog is touched,
+    never data.
     Returns ``"created"`` or ``"repaired"``.
     """
     parts = list(partition_by or [])
@@ -48,29 +50,43 @@ def create_or_repair(
     existed = spark.catalog.databaseExists(database) and spark.catalog.tableExists(
         f"{database}.{table}"
     )
-    anew = existed and (
-        partition_dirs is not None or _plain(_location(spark, name)) != _plain(location)
-    )
-    if anew:
-        spark.sql(f"DROP TABLE {name}")
-    if anew or not existed:
+    if not existed:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
         clause = f"PARTITIONED BY ({', '.join(_quoted(p) for p in parts)})" if parts else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(_columns(schema, parts))}) "
             f"USING parquet {clause} LOCATION {_text(location)}"
         )
-    if partition_dirs:
-        added = " ".join(
-            f"PARTITION ({_values(d, parts)}) LOCATION {_text(d)}" for d in partition_dirs
-        )
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
-    elif parts and partition_dirs is None:
-        spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+    else:
+        have = {f.name.lower() for f in spark.table(name).schema.fields}
+        new = [c for c, f in zip(_columns(schema, []), schema.fields) if f.name.lower() not in have]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+        if _plain(_location(spark, name)) != _plain(location):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(location)}")
+    if partition_dirs is not None:
+        _point_partitions(spark, name, parts, partition_dirs)
+    elif parts:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(f"{database}.{table}")
     return "repaired" if existed else "created"
 
 
+def _point_partitions(spark: SparkSession, name: str, parts: list[str], folders: list[str]) -> None:
+    """Give each partition its directory; readers find an entry at any time."""
+    wanted = {_values(d, parts): d for d in folders}
+    shown = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    have = {_values(r["partition"], parts) for r in shown}
+    for values in have & set(wanted):
+        spark.sql(f"ALTER TABLE {name} PARTITION ({values}) SET LOCATION {_text(wanted[values])}")
+    added = [f"PARTITION ({v}) LOCATION {_text(d)}" for v, d in sorted(wanted.items()) if v not in have]
+    for k in range(0, len(added), PARTITIONS_AT_ONCE):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[k : k + PARTITIONS_AT_ONCE])}")
+    gone = [f"PARTITION ({v})" for v in sorted(have - set(wanted))]
+    for k in range(0, len(gone), PARTITIONS_AT_ONCE):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone[k : k + PARTITIONS_AT_ONCE])}")
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -105,13 +121,12 @@ def register_outputs(
     spark: SparkSession,
     database: str,
     outputs: Iterable[Mapping[str, Any]],
-    locate: Callable[[Mapping[str, Any]], tuple[str, list[str] | None] | None] = lambda output: (
-        output["path"],
-        None,
-    ),
+    locate: Callable[[Mapping[str, Any]], tuple[str, list[str] | None] | None] | None = None,
 ) -> dict[str, str]:
-    """Register every output of a run.  ``locate`` gives the directory of an output and,
-    if its partitions lie apart, theirs."""
+    """Register every output of a run, and the history of those that keep one as
+    ``<name>_history``.  ``locate`` gives the directory of an output and, if its partitions
+    lie apart, theirs; without it outputs are stored tables in their newest version."""
+    locate = locate or stored_place(spark)
     done = {}
     for output in outputs:
         absent = [k for k in ("dataframe", "path", "schema") if not output.get(k)]
@@ -130,6 +145,13 @@ def register_outputs(
         done[name] = create_or_repair(
             spark, database, name, schema, place[0], output.get("partition_by"), place[1]
         )
+        if output.get("history_path"):
+            history = AppendTable(spark, output["history_path"], output.get("partition_by"))
+            entry = history.catalog_entry()
+            if entry is not None:
+                done[f"{name}_history"] = create_or_repair(
+                    spark, database, f"{name}_history", entry[0], history.path, entry[1]
+                )
     return done
 
 

@@ -40,13 +40,31 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> None:
-    """Write one small file.  Without ``replace`` it is an error if there is one."""
-    system, jvm_path = _file_system(spark, path)
-    stream = system.create(jvm_path, replace)
+    """Write one small file.  Without ``replace`` it is an error if there is one.
+
+    The text goes to a temporary name first and is then renamed, so that no reader meets
+    half of it and a job that dies leaves nothing under ``path``.  Where a store has no
+    rename that refuses to replace, two writers can both go on: use one writer there.
+    """
+    folder, name = path.rsplit("/", 1)
+    system, temporary = _file_system(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = system.create(temporary, False)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    given = spark.sparkContext._gateway.new_array(options, 1)
+    given[0] = options.OVERWRITE if replace else options.NONE
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        system.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    try:
+        context.rename(temporary, system.makeQualified(jvm_path), given)
+    except Exception:
+        system.delete(temporary, False)
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -17,7 +17,7 @@ ENTITIES = ("execution", "task_run", "task_event", "task_config", "dataset_run")
 
 LEDGER_SCHEMA = (
     "entity string, id string, parent string, dataset string, status string, "
-    "at timestamp, details string"
+    "at timestamp, batch_id string, finish_event string, details string"
 )
 EVENT_SCHEMA = (
     "finish_event string, dataset string, status string, source_system string, "
@@ -48,6 +48,8 @@ class Ledger:
         dataset: str | None = None,
         parent: str | None = None,
         details: dict[str, Any] | None = None,
+        batch_id: str | None = None,
+        finish_event: str | None = None,
     ) -> None:
         if entity not in ENTITIES:
             raise ValueError(f"unknown ledger entity {entity!r}")
@@ -58,22 +60,44 @@ class Ledger:
             "dataset": dataset,
             "status": status,
             "at": _now(),
+            "batch_id": batch_id,
+            "finish_event": finish_event,
             "details": json.dumps(details) if details is not None else None,
         }
         write_text(self.spark, f"{self.path}/{uuid.uuid4().hex}.json", json.dumps(row))
 
-    def start(self, dataset: str, parent: str | None = None) -> str:
+    def start(
+        self,
+        dataset: str,
+        parent: str | None = None,
+        batch_id: str | None = None,
+        finish_event: str | None = None,
+    ) -> str:
         run = uuid.uuid4().hex
-        self.note("dataset_run", run, "RUNNING", dataset, parent)
+        self.note("dataset_run", run, "RUNNING", dataset, parent, None, batch_id, finish_event)
         return run
 
-    def finish(self, run: str, dataset: str, status: str) -> None:
-        self.note("dataset_run", run, status, dataset)
+    def finish(
+        self,
+        run: str,
+        dataset: str,
+        status: str,
+        batch_id: str | None = None,
+        finish_event: str | None = None,
+    ) -> None:
+        self.note("dataset_run", run, status, dataset, None, None, batch_id, finish_event)
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(LEDGER_SCHEMA).json(self.path)
 
 
+def run_messages(ledger: DataFrame) -> DataFrame:
+    """Ledger rows of dataset runs as messages for :mod:`millrace.streaming.readiness`."""
+    return ledger.filter((F.col("entity") == "dataset_run") & F.col("finish_event").isNotNull()).select(
+        "batch_id", "finish_event", "dataset", "status", "at", F.xxhash64("id", "status").alias("id")
+    )
+
+
 def latest_status(
     ledger: DataFrame, keys: list[str], status: str = "status", order: list[str] | None = None
 ) -> DataFrame:

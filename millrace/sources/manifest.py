@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources.files import list_files, read_text, write_text
-from millrace.sources.readers import read_input
+from millrace.sources.readers import NULL_MARK, read_input
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,7 @@ def write_csv_batch(df: DataFrame, batch: Batch) -> None:
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("escape", '"')
+        .option("nullValue", NULL_MARK)
         .csv(batch.data_path)
     )
 
@@ -113,5 +114,5 @@ def with_manifest(
         raise ValueError(f"unknown process type {process!r}")
     merged = {**spec, "input": copy.copy(spec.get("input", {}))}
     if process == "r2g":
-        merged["input"]["path"] = [f"{root}/{f}" for f in manifest.get("partitions", [])]
+        merged["input"]["path"] = manifest_files(manifest, root)
     return merged

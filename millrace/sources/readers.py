@@ -21,6 +21,10 @@ _LEVELS = {
 }
 
 
+#: Stands for null in CSV files, so that an empty text (in quotes) stays one.
+NULL_MARK = r"\N"
+
+
 def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     """The configured scan.
 
@@ -32,7 +36,10 @@ def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     kind = config.get("format", "csv")
     if kind not in FORMATS:
         raise ValueError(f"unsupported input format {kind!r}; use one of {FORMATS}")
-    reader = spark.read.format(kind).options(**config.get("options", {}))
+    options = dict(config.get("options", {}))
+    if kind == "csv":
+        options.setdefault("nullValue", NULL_MARK)
+    reader = spark.read.format(kind).options(**options)
     if config.get("schema") is not None:
         reader = reader.schema(config["schema"])
     path = config["path"]

@@ -27,7 +27,7 @@ from millrace.functions.paths import decode_key
 from millrace.operators import scd
 from millrace.operators.joins import same_key, with_keys
 from millrace.operators.rows import ordering
-from millrace.sources.files import list_files, read_text, remove, write_text
+from millrace.sources.files import exists, list_files, read_text, remove, write_text
 from millrace.sources.readers import narrow
 
 LOG_SCHEMA = (
@@ -137,10 +137,17 @@ class VersionedTable:
 
     def place(self) -> tuple[str, list[str] | None] | None:
         """Where a catalog entry has to point: a directory and, for a partitioned table,
-        the directory of each partition."""
+        the directory of each partition.
+
+        An entry has one directory for each partition, so a table that was appended to, and
+        has several, can't be told by one: that is an error.  Use :class:`AppendTable`.
+        """
         found = self.snapshot()
         if found is None:
             return None
+        values = [d.partition("/")[2] for d in found.live]
+        if len(set(values)) != len(values):
+            raise ValueError(f"{self.path}: rows of one partition lie in several directories")
         where = [f"{self.data}/{d}" for d in found.live]
         return (self.data, where) if self.partition_by else (where[0], None)
 
@@ -277,8 +284,9 @@ class VersionedTable:
         path = decode_key("_file")
         folder = F.regexp_extract(path, FOLDER, 1).alias("_folder")
         names = {r["_folder"] for r in files.distinct().select(folder).distinct().collect()}
-        # a name that is not known as written would lose rows: rewrite everything instead
-        return tuple(sorted(names)) if names <= set(found.live) else found.live
+        if not names <= set(found.live):
+            raise ValueError(f"{self.path}: rows in unknown directories {sorted(names - set(found.live))[:3]}")
+        return tuple(sorted(names))
 
     @contextmanager
     def staged(self, batch: DataFrame) -> Iterator[DataFrame]:
@@ -296,6 +304,54 @@ class VersionedTable:
             remove(self.spark, path)
 
 
+class AppendTable:
+    """K6, K8: rows that are only added, in one folder with a partition for each batch.
+
+    A batch that is written again takes the place of its first attempt.  The folder is a
+    plain partitioned Parquet table, so a catalog entry over it is complete.
+    """
+
+    BATCH = "record_batch"
+
+    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None) -> None:
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.partition_by = list(partition_by or [])
+
+    def schema(self) -> T.StructType | None:
+        """Columns of all batches so far, or ``None`` before the first."""
+        name = f"{self.path}/_columns.json"
+        return T.StructType.fromJson(json.loads(read_text(self.spark, name))) if exists(self.spark, name) else None
+
+    def append(self, df: DataFrame, batch: str) -> None:
+        """Add a batch.  Columns may be new or absent."""
+        if self.BATCH in df.columns:
+            raise ValueError(f"the batch has a column {self.BATCH}")
+        before = self.schema()
+        fields = df.schema.fields
+        if before is not None:
+            stored = self.spark.createDataFrame([], before)
+            df = scd.aligned(df, stored)
+            fields = scd.merged_schema(stored, df)
+        write_partitioned(df, f"{self.path}/{self.BATCH}={batch}", self.partition_by)
+        write_text(self.spark, f"{self.path}/_columns.json", T.StructType(fields).json())
+
+    def read(self) -> DataFrame | None:
+        schema = self.schema()
+        if schema is None:
+            return None
+        whole = T.StructType([*schema.fields, T.StructField(self.BATCH, T.StringType())])
+        return self.spark.read.schema(whole).parquet(self.path).select(*schema.fieldNames())
+
+    def catalog_entry(self) -> tuple[T.StructType, list[str]] | None:
+        """Columns and partition columns of an entry over ``path``."""
+        schema = self.schema()
+        if schema is None:
+            return None
+        whole = T.StructType([*schema.fields, T.StructField(self.BATCH, T.StringType())])
+        return whole, [self.BATCH, *self.partition_by]
+
+
 def merge_in_place(
     batch: DataFrame,
     table: str,
@@ -344,7 +400,7 @@ def save(
             changes_only = output.get("history_changes_only", False)
             stored = table.read() if changes_only else None
             rows = scd.scd4_history(batch, as_of, stored, keys, tracking, changes_only)
-            history = VersionedTable(spark, output["history_path"], output.get("partition_by"))
-            history.append(rows, tag=f"batch {(table.version() or 0) + 1}")
+            history = AppendTable(spark, output["history_path"], output.get("partition_by"))
+            history.append(rows, f"{(table.version() or 0) + 1:08d}")
         table.merge(batch, keys, change, kind)
     return table

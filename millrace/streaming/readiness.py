@@ -17,7 +17,8 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from millrace.sources.files import exists, read_text
 
-SUCCESS = "SUCCESS"
+#: Statuses that end a component well: in the ledger, and in finish events.
+DONE = ("SUCCESS", "COMPLETED")
 MESSAGE = (
     "batch_id string, finish_event string, dataset string, status string, "
     "at timestamp, id bigint"
@@ -70,7 +71,11 @@ def mapping_rows(spark: SparkSession, mapping: Mapping[str, tuple[str, ...]]) ->
 
 
 def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
-    """ST5: messages as columns, with ``reject_reason`` for those that cannot be used."""
+    """ST5: messages as columns, with ``reject_reason`` for those that cannot be used.
+
+    ``id`` is a hash of the message, so that of two with one time the same one counts as
+    newest wherever they are read.
+    """
     event = F.from_json(
         F.col(value).cast("string"),
         "batch_id string, finish_event string, dataset string, status string, "
@@ -82,6 +87,7 @@ def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
         name: F.coalesce(F.col(f"e.{name}"), F.lit("")) == ""
         for name in ("finish_event", "dataset")
     }
+    at = F.col("e.timestamp").try_cast("timestamp")
     bad = F.col("e").isNull() | F.col("e._corrupt").isNotNull()
     bad = bad | ~F.ltrim("message").startswith("{")
     return parsed.select(
@@ -89,10 +95,12 @@ def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
         "e.finish_event",
         "e.dataset",
         "e.status",
-        F.col("e.timestamp").try_cast("timestamp").alias("at"),
+        at.alias("at"),
+        F.xxhash64("message").alias("id"),
         F.when(bad, "not a JSON object")
         .when(blank["finish_event"], "finish_event is missing")
         .when(blank["dataset"], "dataset is missing")
+        .when(at.isNull(), "timestamp is missing or no time")
         .alias("reject_reason"),
         "message",
     )
@@ -105,12 +113,15 @@ def needed_by(events: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def ready_targets(messages: DataFrame, mapping: DataFrame) -> DataFrame:
-    """ST3 on a batch frame: ``(batch_id, target)`` whose events' newest status is SUCCESS."""
+    """ST3 on a batch frame: ``(batch_id, target)`` whose events' newest status is done.
+
+    A message without a time is older than any with one.
+    """
     newest = messages.groupBy("batch_id", "finish_event").agg(
         F.max_by("status", F.struct("at", "id")).alias("status")
     )
     return (
-        needed_by(newest.filter(F.col("status") == SUCCESS), mapping)
+        needed_by(newest.filter(F.col("status").isin(*DONE)), mapping)
         .groupBy("batch_id", "target", "need")
         .agg(F.count(F.lit(1)).alias("have"))
         .filter("have = need")
@@ -119,122 +130,64 @@ def ready_targets(messages: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def newest_per_task(messages: DataFrame) -> DataFrame:
-    """Cut a stream to the newest message per batch and event within each task.
+    """Cut a stream to the newest message per batch and event within each Arrow batch of a task.
 
     A streaming query has no map-side combine before a state operator, so this is it: a
-    batch id with a third of all messages sends one row per event and task to its state.
+    batch id with a third of all messages sends some rows per event and task to its state.
     """
     columns = ["batch_id", "finish_event", "dataset", "status", "at", "id"]
 
     def reduce_task(frames: Iterator) -> Iterator:
-        import pandas as pd
-
-        kept = None
         for frame in frames:
-            both = frame if kept is None else pd.concat([kept, frame])
-            kept = both.sort_values(["at", "id"]).drop_duplicates(
-                ["batch_id", "finish_event"], keep="last"
-            )
-        if kept is not None:
-            yield kept
+            newest = frame.sort_values(["at", "id"], na_position="first")
+            yield newest.drop_duplicates(["batch_id", "finish_event"], keep="last")
 
     return messages.select(*columns).mapInPandas(reduce_task, MESSAGE)
 
 
 def readiness_stream(
-    messages: DataFrame, mapping: Mapping[str, tuple[str, ...]], keep: str = "24 hours"
+    messages: DataFrame, mapping: Mapping[str, tuple[str, ...]]
 ) -> DataFrame:
     """ST3: a stream of ``(batch_id, target)``, each pair once.
 
-    State per batch id: the newest ``(at, id, status)`` of each event and the targets that
-    fired.  It is dropped, and a message is late, when the stream's newest message is
-    ``keep`` past the batch's last one.
+    State per batch id: the newest ``(at, id, status)`` of each event that some target waits
+    for, and the targets that fired.  It is kept, so that a message counts however late it
+    is and no pair fires twice; ``mapping`` bounds its size, and there is one for each run of
+    the pipelines.
     """
     needs = {t: list(e) for t, e in mapping.items()}
+    wanted = sorted({e for events in needs.values() for e in events})
 
     def update(key, frames, state):
         import json as js
 
         import pandas as pd
 
-        if state.hasTimedOut:
-            state.remove()
-            return
         seen, fired = [js.loads(s) for s in state.get] if state.exists else ({}, [])
         for frame in frames:
             for event, status, at, number in zip(
                 frame["finish_event"], frame["status"], frame["at"], frame["id"]
             ):
-                stamp = [int(pd.Timestamp(at).value), int(number)]
+                time = -(1 << 63) if pd.isna(at) else int(pd.Timestamp(at).value)
+                stamp = [time, int(number)]
                 if event not in seen or stamp >= seen[event][:2]:
                     seen[event] = [*stamp, status]
-        done = {event for event, (_, _, status) in seen.items() if status == "SUCCESS"}
+        done = {event for event, (_, _, status) in seen.items() if status in DONE}
         new = [t for t, events in needs.items() if t not in fired and done.issuperset(events)]
         state.update((js.dumps(seen), js.dumps(fired + new)))
-        last = max(at for at, _, _ in seen.values()) // 1_000_000 + 1
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1))
         if new:
             yield pd.DataFrame({"batch_id": [key[0]] * len(new), "target": new})
 
     return (
-        newest_per_task(messages)
-        .withWatermark("at", keep)
+        newest_per_task(messages.filter(F.col("finish_event").isin(wanted)))
         .groupBy("batch_id")
         .applyInPandasWithState(
             update,
             "batch_id string, target string",
             "seen string, fired string",
             "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    )
-
-
-def rounds_stream(messages: DataFrame, mapping: Mapping[str, tuple[str, ...]]) -> DataFrame:
-    """ST4: readiness for messages that carry no batch id, as ``(round, target)``.
-
-    Messages count towards the open round in order of ``(at, id)``; when every target has
-    fired, all events are forgotten and the next round opens.  The rule depends on the
-    order of all messages, so one state holds it.  Use it for control messages, a handful
-    per pipeline run, with a bounded trigger (``maxFilesPerTrigger``); where messages are
-    many, give them a batch id and use :func:`readiness_stream`.
-    """
-    needs = {t: list(e) for t, e in mapping.items()}
-    wanted = sorted({e for events in needs.values() for e in events})
-
-    def update(key, frames, state):
-        import json as js
-
-        import pandas as pd
-
-        number, seen, fired = (
-            (state.get[0], js.loads(state.get[1]), set(js.loads(state.get[2])))
-            if state.exists
-            else (1, {}, set())
+            GroupStateTimeout.NoTimeout,
         )
-        out = []
-        arrived = pd.concat(list(frames)).sort_values(["at", "id"])
-        for event, status in zip(arrived["finish_event"], arrived["status"]):
-            seen[event] = status
-            for target, events in needs.items():
-                if target not in fired and all(seen.get(e) == "SUCCESS" for e in events):
-                    fired.add(target)
-                    out.append((number, target))
-            if len(fired) == len(needs):
-                number, seen, fired = number + 1, {}, set()
-        state.update((number, js.dumps(seen), js.dumps(sorted(fired))))
-        if out:
-            yield pd.DataFrame(out, columns=["round", "target"])
-
-    control = messages.filter(F.col("finish_event").isin(wanted)).select(
-        F.lit("all").alias("control"), "finish_event", "status", "at", "id"
-    )
-    return control.groupBy("control").applyInPandasWithState(
-        update,
-        "round bigint, target string",
-        "number bigint, seen string, fired string",
-        "append",
-        GroupStateTimeout.NoTimeout,
     )
 
 

@@ -11,7 +11,7 @@ from millrace.plans.golden import GOLDEN
 from millrace.plans.raw import RAW_TABLES, build_raw
 from millrace.sources import catalog, ledger
 from millrace.sources import manifest as m
-from millrace.sources.tables import VersionedTable
+from millrace.sources.tables import AppendTable, VersionedTable
 from millrace.streaming import readiness as rd
 
 
@@ -125,7 +125,7 @@ def test_golden_tables(lake):
 
 
 def test_history_and_ledger(spark, lake):
-    history = VersionedTable(spark, str(lake.root / "golden/trending_videos/history")).read()
+    history = AppendTable(spark, str(lake.root / "golden/trending_videos/history")).read()
     assert history.count() == 3 and "record_timestamp" in history.columns
     statuses = ledger.latest_status(lake.book.rows(), ["dataset"])
     assert rows(statuses.select("status").distinct()) == [("SUCCESS",)]
@@ -141,11 +141,10 @@ def test_events_make_insights_ready(spark, lake):
          "channels_done,countries_done,trending_videos_done": "channel_engagement_metrics"}
     )
     rd.check_mapping(mapping, sent)
-    messages = valid.select(
-        "batch_id", "finish_event", F.lit("SUCCESS").alias("status"), "at", F.lit(0).alias("id")
-    )
-    ready = rd.ready_targets(messages, rd.mapping_rows(spark, mapping))
-    assert rows(ready.select("target")) == [("channel_engagement_metrics",), ("tag_performance_metrics",)]
+    wanted = [("channel_engagement_metrics",), ("tag_performance_metrics",)]
+    for messages in (valid, ledger.run_messages(lake.book.rows())):
+        ready = rd.ready_targets(messages, rd.mapping_rows(spark, mapping))
+        assert rows(ready.select("target")) == wanted
 
 
 def test_outputs_are_registered(spark, lake):

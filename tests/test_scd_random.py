@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.operators import scd
-from millrace.sources.tables import save
+from millrace.sources.tables import AppendTable, save
 
 KIND = "k int, p string, v int"
 DAYS = [f"2024-01-0{i} 00:00:00" for i in range(1, 6)]
@@ -92,5 +92,5 @@ def test_stored_and_partitioned(spark, tmp_path, kind):
     if kind == "SCD4":
         from millrace.sources.tables import VersionedTable
 
-        history = VersionedTable(spark, output["history_path"]).read()
+        history = AppendTable(spark, output["history_path"]).read()
         assert len(rows(history)) == sum(len(b) for b in batches)

@@ -13,7 +13,7 @@ from millrace.sources import catalog, files, ledger
 from millrace.operators import scd
 from millrace.sources import manifest as m
 from millrace.sources import readers as rd
-from millrace.sources.tables import VersionedTable, merge_in_place, save, write_partitioned
+from millrace.sources.tables import AppendTable, VersionedTable, merge_in_place, save, write_partitioned
 
 
 @pytest.fixture()
@@ -267,7 +267,7 @@ def test_save_dispatch(spark, tmp_path):
     ]
     assert results["SCD2"].count() == 4 and results["SCD2"].filter("is_current").count() == 3
     assert ("k1", "y", "x") in rows(results["SCD3"])
-    assert VersionedTable(spark, str(tmp_path / "SCD4-history")).read().count() == 4
+    assert AppendTable(spark, str(tmp_path / "SCD4-history")).read().count() == 4
     with pytest.raises(ValueError, match="unsupported"):
         save(one, {**base, "path": "x", "store_type": "SCD9"})
     with pytest.raises(ValueError, match="history_path"):
@@ -326,19 +326,45 @@ def test_register_outputs(spark, df, tmp_path):
         "store_type": "SCD4",
         "schema": [{"name": f.name, "type": f.dataType.simpleString()} for f in df.schema.fields],
     }
-    locate = catalog.stored_place(spark)
-    assert catalog.register_outputs(spark, "lake", [output], locate) == {"things": "created"}
+    assert catalog.register_outputs(spark, "lake", [output]) == {"things": "created"}
     assert spark.table("lake.things").count() == 3
     stored.replace(df.limit(1))
-    assert catalog.register_outputs(spark, "lake", [output], locate) == {"things": "repaired"}
+    assert catalog.register_outputs(spark, "lake", [output]) == {"things": "repaired"}
     assert spark.table("lake.things").count() == 1
     with pytest.raises(ValueError, match="schema"):
         catalog.register_outputs(spark, "lake", [{"dataframe": "d", "path": "x"}])
     with pytest.raises(ValueError, match="nothing is stored"):
-        catalog.register_outputs(spark, "lake", [{**output, "path": str(tmp_path / "no")}], locate)
+        catalog.register_outputs(spark, "lake", [{**output, "path": str(tmp_path / "no")}])
     assert catalog.table_name("s3a://b/x/", "SCD1") == "x"
 
 
+def test_catalog_of_appended_tables(spark, df, tmp_path):
+    stored = VersionedTable(spark, str(tmp_path / "v"))
+    stored.append(df)
+    stored.append(df)
+    with pytest.raises(ValueError, match="several directories"):
+        stored.place()
+    history = AppendTable(spark, str(tmp_path / "h"), ["year"])
+    history.append(df, "1")
+    history.append(df.limit(1), "2")
+    history.append(df.withColumn("more", F.lit(1)), "2")  # again, with a further column
+    assert history.read().count() == 2 * df.count()
+    schema, parts = history.catalog_entry()
+    assert catalog.create_or_repair(spark, "lake", "kept", schema, history.path, parts) == "created"
+    assert rows(spark.table("lake.kept").select("i", "more")) == rows(history.read().select("i", "more"))
+
+
+def test_two_writers_and_half_a_text(spark, tmp_path):
+    path = str(tmp_path / "log/1.json")
+    files.write_text(spark, path, "{}", replace=False)
+    with pytest.raises(Exception):
+        files.write_text(spark, path, "[]", replace=False)
+    assert files.read_text(spark, path) == "{}"
+    files.write_text(spark, path, "[]")
+    assert files.read_text(spark, path) == "[]"
+    assert files.list_files(spark, str(tmp_path / "log"), "") == [f for f in files.list_files(spark, str(tmp_path / "log"), "1.json")]
+
+
 # --- ledger and events
 
 def test_ledger(spark, tmp_path):
