@@ -170,7 +170,7 @@ SQL = {
         SELECT p_partkey, p_brand, p_type, p_size, p_retailprice FROM part""",
     "extract_values_child": f"""
         SELECT p_partkey, value, {key_sql('p_partkey', 'value')} AS id FROM (
-          SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS value FROM part)""",
+          SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS value FROM part) WHERE value <> ''""",
     "entity_fact": f"""
         WITH c AS (SELECT * REPLACE (nullif(c_mktsegment, 'BUILDING') AS c_mktsegment)
                    FROM customer)

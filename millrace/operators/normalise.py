@@ -29,12 +29,13 @@ def split_values(
     """``(records, values)``: the other columns, one row per ``dedup_columns``; and
     one row per record id and distinct part of ``split_column``, with a stable key.
 
-    A record without values stays in ``records`` and has no row in ``values``.
+    A record without values stays in ``records`` and has no row in ``values``; an empty part
+    is no value.
     """
     records = deduplicate(df.drop(split_column), dedup_columns)
-    parts = F.explode(F.split(F.col(split_column), re.escape(delimiter)))
+    parts = F.filter(F.split(F.col(split_column), re.escape(delimiter)), lambda part: part != "")
     values = (
-        df.select(*id_columns, parts.alias(value_column))
+        df.select(*id_columns, F.explode(parts).alias(value_column))
         .distinct()
         .withColumn(key_column, entity_key(*id_columns, value_column))
     )

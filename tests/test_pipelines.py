@@ -148,8 +148,9 @@ def test_events_make_insights_ready(spark, lake):
 
 
 def test_outputs_are_registered(spark, lake):
-    done = catalog.register_outputs(spark, "golden", lake.outputs, catalog.stored_place(spark))
-    assert len(done) == 10
+    done = catalog.register_outputs(spark, "golden", lake.outputs)
+    assert len([n for n in done if not n.endswith("_history")]) == 10
+    assert spark.table("golden.trending_videos_history").count() == 3
     assert spark.table("golden.trending_videos").count() == 3
     assert spark.table("golden.channels").columns[-1] == "country_id"
 
@@ -196,7 +197,8 @@ def test_second_day(spark, lake, tmp_path):
     assert rows(read("trending_videos/current").select("video_id", "views")) == [
         ("v1", 200), ("v2", 5),
     ]
-    assert read("trending_videos/history").count() == 3 and read("tags").count() == 1
+    assert AppendTable(spark, f"{path}/trending_videos/history").read().count() == 3
+    assert read("tags").count() == 1
 
 
 def test_insights(spark, lake):
