@@ -329,11 +329,11 @@ SQL = {
 }
 SQL["catalog_history"] = SQL["stored_history"]
 SQL["registered_outputs"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS \"table\", count(*) AS rows FROM ({pipelines.SQL[query]})"
-    for name, query in (
-        ("trending_videos", "r6_trending"),
-        ("trending_videos_history", "r6_trending"),
-        ("tags", "r6_tags"),
-        ("channels_basic_information", "r6_channel_names"),
+    f"SELECT '{name}' AS \"table\", count(DISTINCT {key}) AS rows FROM ({pipelines.SQL[query]})"
+    for name, query, key in (
+        ("trending_videos", "r6_trending", "video_id"),
+        ("trending_videos_history", "r6_trending", "video_id"),
+        ("tags", "r6_tags", "(video_id, id)"),
+        ("channels_basic_information", "r6_channel_names", "channel_id"),
     )
 )
