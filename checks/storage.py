@@ -17,6 +17,7 @@ from checks.tables import table
 from millrace.functions import clean_text
 from millrace.operators.normalise import split_values
 from millrace.plans.golden import GOLDEN
+from millrace.plans import insights as insight_jobs
 from millrace.plans.insights import publish
 from millrace.plans.raw import build_raw
 from millrace.plans.runner import execute
@@ -254,8 +255,7 @@ def run_readiness(spark, d):
     root = work_folder(spark, "lake")
     spec, book = _trending_run(spark, d, root, "r1")
     execute(spark, spec, book)
-    mapping = mapping_rows(spark, load_mapping({"trending_videos_done,tags_done": "tag_performance_metrics",
-                                                "channels_done,trending_videos_done": "channel_engagement_metrics"}))
+    mapping = mapping_rows(spark, load_mapping(insight_jobs.TRIGGERS))
     return ready_targets(run_messages(book.rows()), mapping)
 
 

@@ -136,12 +136,9 @@ def test_events_make_insights_ready(spark, lake):
     valid = rd.validate_events(events)
     assert valid.filter("reject_reason IS NOT NULL").count() == 0
     sent = {r[0] for r in rows(valid.select("finish_event").distinct())}
-    mapping = rd.load_mapping(
-        {"tags_done,trending_videos_done": "tag_performance_metrics",
-         "channels_done,countries_done,trending_videos_done": "channel_engagement_metrics"}
-    )
+    mapping = rd.load_mapping(insights.TRIGGERS)
     rd.check_mapping(mapping, sent)
-    wanted = [("channel_engagement_metrics",), ("tag_performance_metrics",)]
+    wanted = [(name,) for name in sorted(insights.INSIGHTS)]
     for messages in (valid, ledger.run_messages(lake.book.rows())):
         ready = rd.ready_targets(messages, rd.mapping_rows(spark, mapping))
         assert rows(ready.select("target")) == wanted
