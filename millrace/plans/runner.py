@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import STEPS
 from millrace.operators.quality import check_schema, parse_rules, validate
+from millrace.sources.catalog import register_outputs
 from millrace.sources.readers import read_input
 from millrace.sources.tables import save
 
@@ -169,7 +170,8 @@ def execute(
     announce: Callable[[dict[str, Any]], None] | None = None,
     as_of=None,
 ) -> PipelineResult:
-    """Read, transform, check the ``quality`` rules and store every output."""
+    """Read, transform, check the ``quality`` rules, store every output and, where the spec
+    says ``register_in``, enter the outputs into that database of the catalog."""
     source = read_input(spark, spec["input"])
     try:
         frames = run_pipeline(spark, spec, source)
@@ -182,6 +184,8 @@ def execute(
     finally:
         if source.is_cached:
             source.unpersist()
+    if spec.get("register_in"):
+        register_outputs(spark, spec["register_in"], outputs)
     return PipelineResult(frames, outputs, report)
 
 

@@ -257,13 +257,19 @@ def test_command_line(spark, lake, tmp_path):
     (tmp_path / "spec.json").write_text(json.dumps(spec))
     batch = m.Batch(str(lake.root), "site", "raw", "comment_threads", "20240601", 1)
     common = ["--spec", str(tmp_path / "spec.json"), "--root", str(lake.root)]
-    main(["spec", *common, "--manifest", batch.manifest_path,
+    main(["spec", *common, "--batch-id", "b7", "--database", "shell", "--manifest", batch.manifest_path,
           "--ledger", str(tmp_path / "ledger"), "--events", str(tmp_path / "events")])
     threads = VersionedTable(spark, str(tmp_path / "golden/comment_threads/current")).read()
     assert rows(threads) == rows(lake("comment_threads/current"))
     book = ledger.Ledger(spark, str(tmp_path / "ledger"))
     assert ledger.status_of(book.rows(), "comment_threads_df") == "SUCCESS"
     assert spark.read.text(str(tmp_path / "events")).count() == 2
+    assert rows(book.rows().select("batch_id").distinct()) == [("b7",)]
+    assert spark.table("shell.comment_threads").count() == threads.count()
+    (tmp_path / "mapping.json").write_text('{"comment_threads_done,authors_done": "both"}')
+    main(["readiness", "--events", str(tmp_path / "events"), "--mapping", str(tmp_path / "mapping.json"),
+          "--checkpoint", str(tmp_path / "checkpoint"), "--out", str(tmp_path / "fired")])
+    assert rows(spark.read.parquet(str(tmp_path / "fired"))) == [("b7", "both")]
     (tmp_path / "empty.json").write_text('{"partitions": []}')
     with pytest.raises(ValueError, match="names no files"):
         main(["spec", *common, "--manifest", str(tmp_path / "empty.json")])
