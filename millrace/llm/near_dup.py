@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm import near_copies
 from millrace.llm.common import partitions, stored, texts
 from millrace.llm.components import components
 
@@ -280,10 +281,10 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class, that of its smallest id."""
+    """``docs`` with one row of each class of near copies by similarity (``near_copies``), that of its smallest id."""
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = (
-        duplicate_classes(docs)
+        near_copies.duplicate_classes(docs)
         .where(first)
         .groupBy("class")
         .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("kept"))
