@@ -3,10 +3,10 @@
 A document is its ids and an end id; one that is longer than a sequence is cut into pieces of
 that length, and only such a one.  The pieces are dealt to groups of about ``GROUP_SEQUENCES``
 sequences.  In each group, best fit in descending order gives a first packing, and a local
-search mends it: it moves a piece out of the emptiest sequence, exchanges it for a smaller one
-elsewhere, or exchanges one for two, always so that the sum of the squared fills rises, until
-sequences run empty and no exchange is left, or the free space is less than one sequence, when
-no packing of the group can be better.
+search mends it: it moves a piece out of a sequence, the emptiest first, exchanges it for a smaller
+one elsewhere, or exchanges two for one, always so that the sum of the squared fills rises, until
+no sequence has an exchange left, or the free space is less than one sequence, when no packing of
+the group can be better.
 
 The number of groups grows with the ids, so a group has about the same size at any input, and
 at most about one sequence in ``GROUP_SEQUENCES`` is lost to the borders between groups.
@@ -129,7 +129,11 @@ def best_fit(length: np.ndarray, size: int) -> tuple[list[list[int]], list[int]]
 
 
 def exchange(length: np.ndarray, size: int, bins: list[list[int]], free: list[int]) -> list[list[int]]:
-    """Local search between sequences that have room; each step raises the sum of squared fills."""
+    """Local search between sequences that have room; each step raises the sum of squared fills.
+
+    A sequence without an exchange stays a target and a partner of the others, and gets its turn
+    again after a change: the search ends when no sequence has an exchange left.
+    """
     open_bins = [b for b in range(len(bins)) if free[b]]
     kept = [bins[b] for b in range(len(bins)) if not free[b]]
     held = [list(bins[b]) for b in open_bins]
@@ -139,51 +143,74 @@ def exchange(length: np.ndarray, size: int, bins: list[list[int]], free: list[in
     size_of = length[item].astype(np.int64)
     place = np.repeat(np.arange(len(held)), [len(b) for b in held])
     where = {i: k for k, i in enumerate(item.tolist())}
-    closed = np.zeros(len(held), bool)  # emptied, or the search is done with it
-    while spare >= size and not closed.all():
-        donor = int(np.argmax(np.where(closed, -1, room)))
-        if _improve(donor, held, room, closed, item, size_of, place, where):
-            if not held[donor]:
-                closed[donor] = True
-                spare -= size
-        else:
-            closed[donor] = True
-            # what it holds stays there; the others no longer look at it
-            size_of[place == donor] = 0
+    waiting = np.ones(len(held), bool)
+    changed = False  # since all were put into the queue
+    while spare >= size:
+        if not waiting.any():
+            if not changed:
+                break
+            waiting, changed = room < size, False
+        donor = int(np.argmax(np.where(waiting, room, -1)))
+        to = _improve(donor, held, room, size, item, size_of, place, where)
+        if to is None:
+            waiting[donor] = False
+            continue
+        changed = waiting[to] = True
+        if not held[donor]:
+            waiting[donor] = False
+            spare -= size
     return kept + [b for b in held if b]
 
 
-def _improve(donor, held, room, closed, item, size_of, place, where) -> bool:
-    """One exchange that takes ids out of ``donor``; false if there is none."""
-    other = (place != donor) & (size_of > 0)
-    fits = room[place]
-    targets = np.where(closed, -1, room)
+def _improve(donor, held, room, size, item, size_of, place, where) -> int | None:
+    """One exchange that takes ids out of ``donor``: the partner's number, or none if there is no exchange.
+
+    The squares rise where the partner has less room afterwards than ``donor`` had before.
+    """
+    own = int(room[donor])
+    mine = sorted(held[donor], key=lambda i: -size_of[where[i]])
+    sizes = size_of[[where[i] for i in mine]]
+    # a move into the tightest sequence with room
+    targets = np.where(room < size, room, -1)
     targets[donor] = -1
-    for a in sorted(held[donor], key=lambda i: -size_of[where[i]]):
-        need = int(size_of[where[a]])
-        # a move into the tightest sequence with room
-        enough = np.flatnonzero(targets >= need)
+    for a, need in zip(mine, sizes.tolist()):
+        enough = np.flatnonzero((targets >= need) & (targets - need < own))
         if len(enough):
             to = int(enough[np.argmin(targets[enough])])
             _swap(donor, to, [a], [], held, room, size_of, place, where)
-            return True
-        # one for one: a smaller piece, as much smaller as the room allows
-        gain = np.where(other & (size_of < need) & (need - size_of <= fits), need - size_of, 0)
-        best = int(np.argmax(gain))
-        if gain[best]:
-            _swap(donor, int(place[best]), [a], [int(item[best])], held, room, size_of, place, where)
-            return True
-    # two of the donor for one elsewhere
-    mine = held[donor]
-    for x in range(len(mine)):
-        for y in range(x + 1, len(mine)):
-            both = int(size_of[where[mine[x]]] + size_of[where[mine[y]]])
-            gain = np.where(other & (size_of < both) & (both - size_of <= fits), both - size_of, 0)
-            best = int(np.argmax(gain))
-            if gain[best]:
-                _swap(donor, int(place[best]), [mine[x], mine[y]], [int(item[best])], held, room, size_of, place, where)
-                return True
-    return False
+            return to
+    # equal pieces in sequences with equal room are one choice
+    other = np.flatnonzero((place != donor) & (room[place] > 0))
+    _, first = np.unique(size_of[other] * (size + 1) + room[place[other]], return_index=True)
+    other = other[first]
+    # one for one: a smaller piece, as much smaller as the room allows
+    found = _largest(sizes, size_of[other], room[place[other]], own)
+    if found:
+        given, k = [mine[found[0]]], other[found[1]]
+    else:  # two of the donor for one elsewhere
+        x, y = np.triu_indices(len(mine), 1)
+        both, first = np.unique(sizes[x] + sizes[y], return_index=True)
+        found = _largest(both, size_of[other], room[place[other]], own)
+        if not found:
+            return None
+        pair = first[found[0]]
+        given, k = [mine[x[pair]], mine[y[pair]]], other[found[1]]
+    to = int(place[k])
+    _swap(donor, to, given, [int(item[k])], held, room, size_of, place, where)
+    return to
+
+
+def _largest(given, taken, room, own, at_once: int = 1 << 20) -> tuple[int, int] | None:
+    """Places in ``given`` and ``taken`` of the exchange that moves most, if there is one."""
+    best, found = 0, None
+    step = max(1, at_once // max(1, len(taken)))
+    for a in range(0, len(given) if len(taken) else 0, step):
+        gain = given[a : a + step, None] - taken[None, :]
+        gain[(gain > room) | (room - gain >= own)] = 0
+        k = int(np.argmax(gain))
+        if gain.flat[k] > best:
+            best, found = gain.flat[k], (a + k // len(taken), k % len(taken))
+    return found
 
 
 def _swap(donor, to, given, taken, held, room, size_of, place, where) -> None:
