@@ -1,8 +1,9 @@
 """Operator 2: secrets in texts, with DataFrame functions alone.
 
 Base spans are the matches of three patterns.  Spans of the kind ``random`` are added where a run
-of at least ``RUN`` key characters, with a letter and a digit and outside base spans, is more
-likely under a character Markov model of random strings than under one of ordinary words.
+of at least ``RUN`` key characters outside base spans is more likely under a character Markov
+model of random strings than under one of ordinary words.  The models alone decide, whatever
+characters a run has; of a run that a base span cuts, what is left is looked at.
 
 The models are trained on labelled samples from a bounded number of documents, chosen by a
 hash of their id: what the base patterns find is random, and the other runs are ordinary.  A
@@ -36,7 +37,7 @@ BASE = (
 LONG = {"access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0-9a-f]{32,}"}
 KEY = "A-Za-z0-9+/_-"
 RUN = 16
-RANDOM = rf"(?<![{KEY}])(?=[{KEY}]*[0-9])[{KEY}]{{{RUN},}}"
+RANDOM = rf"(?<![{KEY}])[{KEY}]{{{RUN},}}"
 ORDINARY = rf"[{KEY}]{{3,}}"
 #: The states of the models; zero is the start and what separates the words of an identifier.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -153,12 +154,22 @@ def random_spans(text: Column, base: Column, ratios: list[float]) -> Column:
 
     def likely(run):
         total = F.aggregate(_steps(run), F.lit(0.0), lambda sum_, step: sum_ + F.element_at(weights, step + 1))
-        return run.rlike("[A-Za-z]") & (total >= TOTAL) & (total >= MEAN * F.length(run))
+        return (total >= TOTAL) & (total >= MEAN * F.length(run))
 
-    found = _found(text, RANDOM, "random", len(BASE), likely)
-    return F.filter(
-        found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    )
+    return _found(_blanked(text, base), RANDOM, "random", len(BASE), likely)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with as many spaces in place of what the spans, sorted by start, hold."""
+
+    def blank(done, span):
+        start, end = (F.greatest(span[k].cast("int"), done["place"]) for k in ("start", "end"))
+        before = F.substr(text, done["place"] + 1, start - done["place"])
+        return F.struct(F.concat(done["out"], before, F.repeat(F.lit(" "), end - start)).alias("out"), end.alias("place"))
+
+    done = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("place")), blank)
+    rest = F.concat(done["out"], F.substr(text, done["place"] + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, rest).otherwise(text)
 
 
 def find(docs: DataFrame, ratios: list[float]) -> DataFrame:
