@@ -48,6 +48,20 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that ``docs`` has no column of."""
+    while name in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return name
+
+
+def in_slices(batches, rows: int = 256):
+    """The batches in slices of so many rows, so that what is made of long texts stays small."""
+    for batch in batches:
+        for a in range(0, len(batch), rows):
+            yield batch.slice(a, rows)
+
+
 def remainder(divisor: int):
     """The crc32 of a document's id, as text, modulo ``divisor``: what to learn from and what to hold out."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import importable
+from millrace.llm.common import importable, in_slices
 
 ORDER = 4
 SAMPLE = 1000
@@ -252,7 +252,7 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
 
     def name(batches):
         of = shared.value
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [of.predict(t) for t in batch["text"].to_pylist()]
             columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays(
@@ -271,7 +271,7 @@ def keep(docs: DataFrame, model: Languages) -> DataFrame:
 
     def known(batches):
         of = shared.value
-        for batch in batches:
+        for batch in in_slices(batches):
             kept = [not of.predict(t)[2] for t in batch["text"].to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 

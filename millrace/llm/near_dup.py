@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import near_copies
-from millrace.llm.common import partitions, stored, texts
+from millrace.llm.common import free, partitions, stored, texts
 from millrace.llm.components import components
 
 RADIUS = 3
@@ -290,7 +290,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("kept"))
     )
     # the same two keys in both, under names that docs doesn't have
-    name, text_hash, number = (_free(docs, n) for n in ("id", "hash", "number"))
+    name, text_hash, number = (free(docs, n) for n in ("id", "hash", "number"))
     kept = kept.select(F.col("kept.id").alias(name), F.col("kept.text_hash").alias(text_hash))
     keyed = docs.withColumns(
         {
@@ -306,9 +306,3 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .where(F.col(number) == 1)
         .select(*docs.columns)
     )
-
-
-def _free(docs: DataFrame, name: str) -> str:
-    while name in {c.lower() for c in docs.columns}:
-        name = f"_{name}"
-    return name

@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import texts
+from millrace.llm.common import free, texts
 
 #: Fixed patterns: kind, pattern, group that the length is of, and least length.
 BASE = (
@@ -148,15 +148,15 @@ def _logs(counts: dict[int, int]) -> list[float]:
     ]
 
 
-def random_spans(text: Column, base: Column, ratios: list[float]) -> Column:
-    """Spans of runs that are likely random and lie outside the base spans."""
+def random_spans(blanked: Column, ratios: list[float]) -> Column:
+    """Spans of runs that are likely random, in a text without its base spans."""
     weights = F.split(F.lit(",".join(f"{x:.6g}" for x in ratios)), ",").cast("array<double>")
 
     def likely(run):
         total = F.aggregate(_steps(run), F.lit(0.0), lambda sum_, step: sum_ + F.element_at(weights, step + 1))
         return (total >= TOTAL) & (total >= MEAN * F.length(run))
 
-    return _found(_blanked(text, base), RANDOM, "random", len(BASE), likely)
+    return _found(blanked, RANDOM, "random", len(BASE), likely)
 
 
 def _blanked(text: Column, spans: Column) -> Column:
@@ -174,9 +174,14 @@ def _blanked(text: Column, spans: Column) -> Column:
 
 def find(docs: DataFrame, ratios: list[float]) -> DataFrame:
     """``doc_id`` with ``base`` and ``spans``, all of them, as arrays of spans."""
-    found = texts(docs).withColumn("base", base_spans(F.col("text")))
-    added = random_spans(F.col("text"), F.col("base"), ratios)
-    return found.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    found = _with_spans(texts(docs), ratios, "base", "blanked", "spans")
+    return found.select("doc_id", "base", "spans")
+
+
+def _with_spans(docs: DataFrame, ratios: list[float], base: str, blanked: str, spans: str) -> DataFrame:
+    """``docs`` with columns of the base spans, the text without them and all spans, each worked out once."""
+    found = docs.withColumn(base, base_spans(F.col("text"))).withColumn(blanked, _blanked(F.col("text"), F.col(base)))
+    return found.withColumn(spans, F.array_sort(F.concat(base, random_spans(F.col(blanked), ratios))))
 
 
 def written(spans: Column) -> Column:
@@ -187,8 +192,9 @@ def written(spans: Column) -> Column:
 def redact(docs: DataFrame, ratios: list[float], mark: str = MARK) -> DataFrame:
     """``docs`` with each span, or group of spans that overlap, replaced by ``mark``."""
     text = F.col("text")
-    base = base_spans(text)
-    spans = F.array_sort(F.concat(base, random_spans(text, base, ratios)))
+    names = [free(docs, n) for n in ("base", "blanked", "spans")]
+    found = _with_spans(docs, ratios, *names)
+    spans = F.col(names[-1])
 
     def cut(done, span):
         start, end = span["start"].cast("int"), span["end"].cast("int")
@@ -200,9 +206,9 @@ def redact(docs: DataFrame, ratios: list[float], mark: str = MARK) -> DataFrame:
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("place"))
     done = F.aggregate(spans, begin, cut)
     clean = F.concat(done["out"], F.substr(text, done["place"] + 1, F.length(text)))
-    changed = text.rlike("|".join(p for p in (BASE[0][1], *LONG.values(), RANDOM)))
+    changed = F.size(spans) > 0
     new = {"text": F.when(changed, clean).otherwise(text)}
     if "n_chars" in docs.columns:
         size = F.length(clean).cast(docs.schema["n_chars"].dataType)
         new["n_chars"] = F.when(changed, size).otherwise(F.col("n_chars"))
-    return docs.withColumns(new)
+    return found.withColumns(new).select(*docs.columns)
