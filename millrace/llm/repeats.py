@@ -24,8 +24,8 @@ Hashes choose what is compared; bytes decide.  Exact copies of whole texts are s
 
 Cases: null text is empty; texts shorter than ``LENGTH`` bytes stay as they are; a null id comes after all
 others; of different texts with the same id, the one with the smaller 64-bit hash is the earlier; rows with the same id
-and text are the same document and get the same result; an empty table gives no rows; texts of many
-megabytes are cut into overlapping pieces for anchors; other columns are not read.
+and text are the same document and get the same result; an empty table gives no rows; long texts
+are cut into overlapping pieces for anchors; other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,14 +39,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import partitions, stored, texts
+from millrace.llm.common import in_slices, partitions, stored, texts
 
 LENGTH = 100
 GRAM = 32
 #: Members of a group that are compared at once.
 PART = 16_384
-#: Bytes of texts that are worked on at once.
-CHUNK = 4_000_000
+#: Bytes of texts that are compared with each other before the shuffle, and of which anchors are sought at once.
+CHUNK = 3_000_000
+PIECE = 400_000
 #: Halvings of the windows of an anchor until one is left.
 LEVELS = 7
 
@@ -86,6 +87,17 @@ def _grams(data: np.ndarray, gram: int) -> np.ndarray:
 
 def anchors(pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     """Piece, place there, least and greatest offset in its windows, and hash of each anchor, in order."""
+    found, first, size = [], 0, 0
+    for last, piece in enumerate(pieces):
+        size += len(piece)
+        if size >= PIECE or last == len(pieces) - 1:
+            which, *rest = _anchors(pieces[first : last + 1], length)
+            found.append((which + first, *rest))
+            first, size = last + 1, 0
+    return tuple(np.concatenate(columns) for columns in zip(*found))
+
+
+def _anchors(pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     sizes = np.array([len(p) for p in pieces], np.int64)
     data = np.frombuffer(b"".join(pieces), np.uint8)
     if not (sizes >= length).any():
@@ -115,11 +127,12 @@ def anchors(pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 
 
 def _chunks(rows, length: int):
-    """Lists of (key, offset in its text, bytes) of about ``CHUNK`` bytes; a longer text is cut so that no window is lost."""
+    """Lists of (key, offset in its text, bytes) of about ``CHUNK`` bytes; a text longer than ``PIECE`` is cut so that no
+    window is lost."""
     held, size = [], 0
     for key, text in rows:
-        for a in range(0, max(1, len(text) - length + 1), CHUNK):
-            piece = text if len(text) <= CHUNK else text[a : a + CHUNK + length - 1]
+        for a in range(0, max(1, len(text) - length + 1), PIECE):
+            piece = text if len(text) <= PIECE else text[a : a + PIECE + length - 1]
             held.append((key, a, piece))
             size += len(piece)
             if size >= CHUNK:
@@ -242,7 +255,7 @@ def _wanted(rows: DataFrame, length: int) -> DataFrame:
 
     def gather(batches):
         def pairs():
-            for batch in batches:
+            for batch in in_slices(batches):
                 yield from zip(batch["t"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist())
 
         for chunk in _chunks(pairs(), length):
@@ -298,7 +311,7 @@ def _packed(rows: DataFrame, length: int) -> DataFrame:
 
     def pack(batches):
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
+        for batch in in_slices(batches):
             small = pa.array([squeeze(t) for t in batch["text"].cast(pa.binary()).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "late", "doc", "t")), small], names=names)
 
