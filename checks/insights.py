@@ -13,6 +13,9 @@ from checks.tables import table
 from millrace.functions import ratio
 from millrace.operators.normalise import split_values
 from millrace.plans import insights
+from millrace.plans.incremental import ChannelGrowth, CommentInsights
+from millrace.sources.catalog import write_bucketed
+from millrace.sources.files import work_folder
 
 
 def figures(spark, d):
@@ -102,12 +105,12 @@ def i4_channel_growth(spark, d):
     ).withColumn("avg_engagement_rate", F.round("avg_engagement_rate", 6))
 
 
-def i5_comment_insights(spark, d):
-    """Line items as comments, customers as their authors"""
+def _comments(spark, d):
+    """Line items as comments, customers as their authors."""
     orders = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("author_id")
     )
-    comments = (
+    return (
         table(spark, d, "lineitem")
         .select("l_orderkey", "l_partkey", "l_quantity")
         .join(orders, "l_orderkey")
@@ -118,11 +121,48 @@ def i5_comment_insights(spark, d):
             "author_id",
         )
     )
+
+
+def i5_comment_insights(spark, d):
+    """I5 A4 A6"""
     return insights.comment_insights(
-        {"comment_threads": comments, "trending_videos": _videos(spark, d)}
+        {"comment_threads": _comments(spark, d), "trending_videos": _videos(spark, d)}
     )
 
 
+def _in_batches(job, facts, key):
+    """Three batches, the second one twice, and then what they add up to put in their place."""
+    for number in (0, 1, 1, 2):
+        job.add(facts.filter(F.pmod(F.xxhash64(*key), F.lit(3)) == number), f"batch-{number}")
+    job.partials.compact("all")
+    return job
+
+
+def incremental_growth(spark, d):
+    """I4 K2 A5: totals and exact distinct counts from the partial results of three batches"""
+    job = _in_batches(ChannelGrowth(spark, work_folder(spark, "growth")), figures(spark, d), ["video_id", "comments"])
+    return job.result(_channels(spark, d)).withColumn("avg_engagement_rate", F.round("avg_engagement_rate", 6))
+
+
+def incremental_comments(spark, d):
+    """The same for comments and their authors"""
+    job = _in_batches(CommentInsights(spark, work_folder(spark, "comments")), _comments(spark, d), ["comment_thread_id"])
+    return job.result(_videos(spark, d))
+
+
+def bucketed_insight(spark, d):
+    """Comments and videos in catalog tables bucketed by video; no shuffle on the video"""
+    frames = {
+        "comment_threads": write_bucketed(
+            _comments(spark, d), "checked_buckets", "comment_threads", ["video_id"], 8, work_folder(spark, "comments")
+        ),
+        "trending_videos": write_bucketed(
+            _videos(spark, d), "checked_buckets", "trending_videos", ["video_id"], 8, work_folder(spark, "videos")
+        ),
+    }
+    return insights.comment_insights(frames)
+
+
 def i6_author_activity(spark, d):
     """I6 J4"""
     threads = table(spark, d, "orders").select(
@@ -184,6 +224,9 @@ QUERIES = {
         i6_author_activity,
         i7_related_network,
         i8_tag_performance,
+        incremental_growth,
+        incremental_comments,
+        bucketed_insight,
     )
 }
 
@@ -250,3 +293,5 @@ SQL = {
         SELECT value, count(DISTINCT video_id) AS video_count, {_SUMS}
         FROM g JOIN t ON g.p_partkey = t.video_id GROUP BY value ORDER BY total_views DESC""",
 }
+SQL["incremental_growth"] = SQL["i4_channel_growth"]
+SQL["incremental_comments"] = SQL["bucketed_insight"] = SQL["i5_comment_insights"]

@@ -134,6 +134,87 @@ def flatten_videos(spark, d):
     return flatten(responses, "videos")
 
 
+def _responses(df, item, *stamp):
+    """One response for each row."""
+    return df.select(*stamp, F.to_json(F.struct(F.array(item).alias("items"))).alias("body"))
+
+
+def channel_responses(spark, d):
+    """Suppliers as channels; every seventh hides its counts."""
+    snippet = F.struct(
+        F.col("s_name").alias("title"),
+        F.when(F.col("s_suppkey") % 5 > 0, F.concat(F.lit(" a\nb "), "s_name")).alias("description"),
+        F.when(F.col("s_suppkey") % 3 > 0, F.lit("2010-01-01T00:00:00Z")).alias("publishedAt"),
+        F.when(F.col("s_nationkey") > 3, F.col("s_nationkey").cast("string")).alias("country"),
+    )
+    statistics = F.struct(
+        F.col("s_suppkey").cast("string").alias("viewCount"),
+        F.when(F.col("s_suppkey") % 7 > 0, F.col("s_nationkey").cast("string")).alias("subscriberCount"),
+        F.lit("12").alias("videoCount"),
+    )
+    item = F.struct(F.concat(F.lit(" s"), "s_suppkey").alias("id"), snippet.alias("snippet"), statistics.alias("statistics"))
+    return _responses(table(spark, d, "supplier"), item)
+
+
+def search_responses(spark, d):
+    """Parts as search results, fetched for a category."""
+    snippet = F.struct(
+        F.col("p_name").alias("title"),
+        F.concat(F.col("p_type"), F.lit(', "'), F.col("p_brand"), F.lit('"')).alias("description"),
+        F.lit("2024-01-01T00:00:00Z").alias("publishedAt"),
+        F.col("p_brand").alias("channelId"),
+        F.nullif("p_type", F.lit("PROMO")).alias("channelTitle"),
+        F.struct(F.struct(F.concat(F.lit("u/"), "p_partkey").alias("url")).alias("high")).alias("thumbnails"),
+        F.when(F.col("p_size") % 2 == 0, "live").alias("liveBroadcastContent"),
+    )
+    item = F.struct(F.struct(F.col("p_partkey").cast("string").alias("videoId")).alias("id"), snippet.alias("snippet"))
+    return _responses(table(spark, d, "part"), item, F.col("p_size").cast("string").alias("category_id"))
+
+
+def category_responses(spark, d):
+    """Nations as categories."""
+    item = F.struct(
+        F.col("n_nationkey").cast("string").alias("id"),
+        F.struct(F.when(F.col("n_nationkey") != 2, F.col("n_name")).alias("title")).alias("snippet"),
+    )
+    return _responses(table(spark, d, "nation"), item)
+
+
+def comment_responses(spark, d):
+    """Line items as replies, fetched for their order as thread."""
+    at = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    snippet = F.struct(
+        F.concat(F.lit("c"), "l_suppkey").alias("authorDisplayName"),
+        F.struct(F.nullif(F.col("l_suppkey").cast("string"), F.lit("1")).alias("value")).alias("authorChannelId"),
+        F.concat_ws("/", "l_returnflag", "l_linestatus").alias("textDisplay"),
+        F.col("l_linenumber").cast("string").alias("likeCount"),
+        at.alias("publishedAt"),
+        F.when(F.col("l_linenumber") > 1, at).alias("updatedAt"),
+    )
+    item = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), snippet.alias("snippet"))
+    return _responses(table(spark, d, "lineitem"), item, F.col("l_orderkey").cast("string").alias("comment_thread_id"))
+
+
+def flatten_channels(spark, d):
+    """S9"""
+    return flatten(channel_responses(spark, d), "channels")
+
+
+def flatten_search(spark, d):
+    """S9"""
+    return flatten(search_responses(spark, d), "search", stamp=["category_id"])
+
+
+def flatten_categories(spark, d):
+    """S9"""
+    return flatten(category_responses(spark, d), "categories")
+
+
+def flatten_comments(spark, d):
+    """S9"""
+    return flatten(comment_responses(spark, d), "comments", stamp=["comment_thread_id"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -148,6 +229,10 @@ QUERIES = {
         transitive_dim,
         flatten_nested,
         flatten_videos,
+        flatten_channels,
+        flatten_search,
+        flatten_categories,
+        flatten_comments,
     )
 }
 
@@ -211,4 +296,32 @@ SQL = {
                coalesce(nullif(CAST(p_size AS VARCHAR), '7'), 'N/A') AS category_id,
                'N/A' AS audio_language, 'normal' AS live_broadcast_content
         FROM part""",
+    "flatten_channels": """
+        SELECT 's' || s_suppkey AS channel_id, s_name AS title,
+               CASE WHEN s_suppkey % 5 > 0 THEN 'a b ' || s_name ELSE 'N/A' END AS description,
+               CASE WHEN s_suppkey % 3 > 0 THEN '2010-01-01T00:00:00Z' END AS published_at,
+               CAST(s_suppkey AS BIGINT) AS view_count,
+               CASE WHEN s_suppkey % 7 > 0 THEN CAST(s_nationkey AS BIGINT) END AS subscriber_count,
+               CAST(12 AS BIGINT) AS video_count,
+               CASE WHEN s_nationkey > 3 THEN CAST(s_nationkey AS VARCHAR) ELSE 'N/A' END AS country
+        FROM supplier""",
+    "flatten_search": """
+        SELECT CAST(p_partkey AS VARCHAR) AS video_id, p_name AS title,
+               p_type || ', "' || p_brand || '"' AS description, '2024-01-01T00:00:00Z' AS published_at,
+               p_brand AS channel_id, coalesce(nullif(p_type, 'PROMO'), 'N/A') AS channel_title,
+               'u/' || p_partkey AS thumbnails,
+               CASE WHEN p_size % 2 = 0 THEN 'live' ELSE 'N/A' END AS "liveBroadcastContent",
+               CAST(p_size AS VARCHAR) AS category_id
+        FROM part""",
+    "flatten_categories": """
+        SELECT CAST(n_nationkey AS VARCHAR) AS category_id,
+               CASE WHEN n_nationkey <> 2 THEN n_name ELSE 'N/A' END AS category_title FROM nation""",
+    "flatten_comments": """
+        SELECT l_orderkey || '-' || l_linenumber AS comment_id, 'c' || l_suppkey AS author_name,
+               nullif(CAST(l_suppkey AS VARCHAR), '1') AS author_channel_id,
+               l_returnflag || '/' || l_linestatus AS text_display, CAST(l_linenumber AS BIGINT) AS like_count,
+               strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
+               CASE WHEN l_linenumber > 1 THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') ELSE 'N/A' END AS updated_at,
+               CAST(l_orderkey AS VARCHAR) AS comment_thread_id
+        FROM lineitem""",
 }

@@ -26,8 +26,10 @@ from millrace.sources.catalog import create_or_repair, register_outputs
 from millrace.sources.files import work_folder
 from millrace.sources.ledger import Ledger, run_messages
 from millrace.sources.readers import distinct_keys, read_dependencies, read_input
-from millrace.sources.tables import AppendTable, VersionedTable, save
+from millrace.sources.tables import AppendTable, VersionedTable, save, stored_table
+from millrace.streaming.notifications import CREATED, read_events
 from millrace.streaming.readiness import load_mapping, mapping_rows, ready_targets
+from millrace.streaming.runs import Runs
 
 
 def _part_batch(spark, d):
@@ -93,6 +95,68 @@ def executed_spec(spark, d):
     return rows.withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
 
 
+def notified_runs(spark, d):
+    """S11 ST2 R0 K17: raw batches announced as messages, run by a stream; the second trigger announces
+    one of them again and another half of the rows, the third comes from a new checkpoint"""
+    root = work_folder(spark, "lake")
+    raw = raw_trending(spark, d).withColumn("half", F.pmod(F.xxhash64("video_id"), F.lit(2)))
+    keys = []
+    for half in (0, 1):
+        batch = m.Batch(root, "site", "raw", "trending_videos", f"2024010{half + 1}", 1)
+        m.write_csv_batch(raw.filter(F.col("half") == half).drop("half"), batch)
+        m.write_raw_manifest(spark, batch)
+        keys.append(batch.manifest_path.removeprefix(root).lstrip("/"))
+    runs = Runs(spark, root, f"{root}/golden", f"{root}/marks", ledger=Ledger(spark, f"{root}/ledger"))
+    for number, (told, checkpoint) in enumerate((([keys[0]], "a"), (keys, "a"), ([keys[1]], "b"))):
+        object_ = F.struct(F.struct(F.struct(F.lit("lake").alias("name")).alias("bucket"), F.struct(F.col("key")).alias("object")).alias("s3"))
+        message = F.struct(F.lit(CREATED).alias("EventName"), F.array(object_).alias("Records"))
+        told = spark.createDataFrame([(k,) for k in told], "key string")
+        told.select(F.to_json(message).alias("value")).write.text(f"{root}/inbox/{number}")
+        runs.follow(read_events(spark, f"{root}/inbox/*"), f"{root}/checkpoint-{checkpoint}")
+    current = stored_table(spark, f"{root}/golden/trending_videos/current").read()
+    history = AppendTable(spark, f"{root}/golden/trending_videos/history").read()
+    tags = stored_table(spark, f"{root}/golden/tags").read()
+    tables = {"current": current, "history": history, "tags": tags}
+    counts = [f.agg(F.lit(n).alias("table"), F.count("*").alias("rows"), F.sum("views" if n != "tags" else F.lit(None).cast("long")).alias("views")) for n, f in tables.items()]
+    return reduce(lambda a, b: a.unionAll(b), counts)
+
+
+def rejected_lines(spark, d):
+    """Parts as lines of CSV, some of them broken; what is read and what is rejected"""
+    root = work_folder(spark, "raw")
+    line = F.concat_ws(
+        ",", "p_partkey", F.concat(F.lit('"'), "p_name", F.lit('"')),
+        F.when(F.col("p_size") % 10 == 3, "unknown").otherwise(F.col("p_size").cast("string")),
+        F.when(F.col("p_size") % 10 == 7, F.lit("too,many")).otherwise(F.lit("x")),
+    )
+    line = F.when(F.col("p_size") % 10 == 9, F.col("p_partkey").cast("string")).otherwise(line)
+    table(spark, d, "part").select(line.alias("value")).write.text(f"{root}/lines")
+    spec = {
+        "batch_id": "1",
+        "input": {"path": f"{root}/lines", "schema": "p_partkey bigint, p_name string, p_size int, mark string",
+                  "options": {"escape": '"'}, "rejects": f"{root}/rejects"},
+        "output": [{"dataframe": "input_df", "path": f"{root}/parts", "primary_key": ["p_partkey"], "buckets": 4}],
+    }
+    execute(spark, spec)
+    good = stored_table(spark, f"{root}/parts").read().withColumn("line", F.lit(None).cast("string"))
+    bad = spark.read.parquet(f"{root}/rejects").select("line")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def bucketed_merges(spark, d):
+    """Orders by bucket of their key, three batches of which each has wider numbers"""
+    path = f"{work_folder(spark, 'golden')}/orders"
+    output = {"path": path, "store_type": "SCD3", "primary_key": ["o_orderkey"], "tracking_columns": ["cents"], "buckets": 16}
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("cents"))
+    small = orders.withColumns({"o_orderkey": F.col("o_orderkey").cast("int"), "cents": F.col("cents").cast("int")})
+    save(small.filter("o_orderkey % 7 <> 0"), output)
+    save(orders.filter("o_orderkey % 7 < 2").withColumn("cents", F.col("cents") + F.lit(10_000_000_000)), output)
+    wide = orders.filter("o_orderkey % 11 = 0").withColumn("cents", (F.col("cents") * F.lit(0.25)).cast("decimal(12,2)"))
+    stored = save(wide, output)
+    stored.delete("o_orderkey % 13 = 0")
+    return stored.read().withColumns({c: F.col(c).cast("double") for c in ("cents", "prev_cents")})
+
+
 def published_insight(spark, d):
     """Golden tables on disk, the job's result read through the catalog"""
     root = work_folder(spark, "lake")
@@ -270,6 +334,9 @@ QUERIES = {
         registered_outputs,
         run_readiness,
         published_insight,
+        notified_runs,
+        rejected_lines,
+        bucketed_merges,
         sliced_write,
         fetch_keys,
         csv_roundtrip,
@@ -293,6 +360,36 @@ SQL = {
         FROM (""" + normal.SQL["flatten_nested"] + ")",
     "executed_spec": pipelines.SQL["r6_trending"],
     "published_insight": insights.SQL["i8_tag_performance"],
+    "notified_runs": f"""
+        WITH r AS ({pipelines.SQL["r6_trending"]})
+        SELECT 'current' AS "table", count(*) AS rows, CAST(sum(views) AS BIGINT) AS views FROM r
+        UNION ALL SELECT 'history', count(*), CAST(sum(views) AS BIGINT) FROM r
+        UNION ALL SELECT 'tags', count(DISTINCT (video_id, id)), CAST(NULL AS BIGINT) FROM ({pipelines.SQL["r6_tags"]})""",
+    "rejected_lines": """
+        SELECT CASE WHEN p_size % 10 NOT IN (3, 7, 9) THEN p_partkey END AS p_partkey,
+               CASE WHEN p_size % 10 NOT IN (3, 7, 9) THEN p_name END AS p_name,
+               CASE WHEN p_size % 10 NOT IN (3, 7, 9) THEN CAST(p_size AS INTEGER) END AS p_size,
+               CASE WHEN p_size % 10 NOT IN (3, 7, 9) THEN 'x' END AS mark,
+               CASE WHEN p_size % 10 = 9 THEN CAST(p_partkey AS VARCHAR)
+                    WHEN p_size % 10 = 3 THEN p_partkey || ',"' || p_name || '",unknown,x'
+                    WHEN p_size % 10 = 7 THEN p_partkey || ',"' || p_name || '",' || p_size || ',too,many' END AS line
+        FROM part""",
+    "bucketed_merges": """
+        WITH one AS (
+            SELECT o_orderkey, o_orderstatus, CAST(o_custkey AS DOUBLE) AS cents, CAST(NULL AS DOUBLE) AS prev
+            FROM orders WHERE o_orderkey % 7 <> 0
+        ), two AS (
+            SELECT o.o_orderkey, o.o_orderstatus,
+                   CASE WHEN o.o_orderkey % 7 < 2 THEN CAST(o.o_custkey + 10000000000 AS DOUBLE) ELSE one.cents END AS cents,
+                   CASE WHEN o.o_orderkey % 7 < 2 THEN one.cents ELSE one.prev END AS prev
+            FROM orders o LEFT JOIN one ON one.o_orderkey = o.o_orderkey
+        ), three AS (
+            SELECT t.o_orderkey, t.o_orderstatus,
+                   CASE WHEN t.o_orderkey % 11 = 0 THEN CAST(CAST(o.o_custkey * 0.25 AS DECIMAL(12, 2)) AS DOUBLE) ELSE t.cents END AS cents,
+                   CASE WHEN t.o_orderkey % 11 = 0 THEN t.cents ELSE t.prev END AS prev
+            FROM two t JOIN orders o ON o.o_orderkey = t.o_orderkey
+        )
+        SELECT o_orderkey, o_orderstatus, cents, prev AS prev_cents FROM three WHERE o_orderkey % 13 <> 0""",
     "sliced_write": "SELECT * FROM lineitem",
     "fetch_keys": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
     "manifest_scan": "SELECT * FROM part",

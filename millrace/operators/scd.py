@@ -79,6 +79,61 @@ def aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+#: Whole-number types by size; each widens to all after it.
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_DIGITS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 20}
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """K8: the smallest type that holds every value of both exactly, in files that hold the one or
+    the other; ``None`` if there is none.
+
+    Whole numbers widen among themselves, to decimals with enough digits, and up to ``int`` to doubles;
+    ``float`` to ``double``; decimals to those with more digits on both sides of the point; dates to
+    timestamps without zone.  Nothing becomes text.
+    """
+    if a == b:
+        return a
+    for one, other in ((a, b), (b, a)):
+        if isinstance(one, T.NullType):
+            return other
+        if one in _WHOLE and other in _WHOLE and _WHOLE.index(one) < _WHOLE.index(other):
+            return other
+        if one in _WHOLE and isinstance(other, T.DecimalType):
+            digits = max(_DIGITS[one], other.precision - other.scale)
+            return T.DecimalType(digits + other.scale, other.scale) if digits + other.scale <= 38 else None
+        if one in _WHOLE[:3] and isinstance(other, T.DoubleType):
+            return other
+        if isinstance(one, T.FloatType) and isinstance(other, T.DoubleType):
+            return other
+        if isinstance(one, T.DateType) and isinstance(other, T.TimestampNTZType):
+            return other
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else None
+    return None
+
+
+def widened_schema(stored: T.StructType, batch: T.StructType, keys: list[str] | None = None) -> T.StructType:
+    """K8: the stored columns, each wide enough for the batch's column of that name; a batch column that
+    is stored under another type that doesn't widen is an error, found before any row is written.
+
+    A batch column that is narrower than the stored one is no change.  ``keys`` only widen among whole
+    numbers, since they are hashed as text.
+    """
+    have = {f.name: f.dataType for f in batch.fields}
+    fields = []
+    for field in stored.fields:
+        kind = have.get(field.name, field.dataType)
+        found = wider(field.dataType, kind)
+        whole = all(k in _WHOLE or (isinstance(k, T.DecimalType) and k.scale == 0) for k in (field.dataType, found))
+        if found is None or (field.name in (keys or []) and found != field.dataType and not whole):
+            raise ValueError(f"column {field.name}: {kind.simpleString()} does not fit {field.dataType.simpleString()}")
+        fields.append(T.StructField(field.name, found, True, field.metadata))
+    return T.StructType(fields)
+
+
 def scd1(
     target: DataFrame | None,
     batch: DataFrame,

@@ -11,70 +11,31 @@ from __future__ import annotations
 from typing import Any
 
 
-def _schema(**columns: str) -> str:
-    return ", ".join(f"{name} {kind}" for name, kind in columns.items())
-
-
-# Raw zone columns.  Numbers arrive as text, because an absent one is the text "N/A".
+# The raw zone's columns.  Numbers arrive as text, because an absent one is the text "N/A".
 RAW_SCHEMAS: dict[str, str] = {
-    "trending_videos": _schema(
-        video_id="string",
-        title="string",
-        view_count="string",
-        like_count="string",
-        comment_count="string",
-        published_at="string",
-        duration="double",
-        dimension="string",
-        definition="string",
-        licensed_content="boolean",
-        channel_id="string",
-        channel_title="string",
-        tags="string",
-        category_id="string",
-        audio_language="string",
-        live_broadcast_content="string",
+    "trending_videos": (
+        "video_id string, title string, view_count string, like_count string, "
+        "comment_count string, published_at string, duration double, dimension string, "
+        "definition string, licensed_content boolean, channel_id string, channel_title string, "
+        "tags string, category_id string, audio_language string, live_broadcast_content string"
     ),
-    "channels_information": _schema(
-        channel_id="string",
-        title="string",
-        description="string",
-        published_at="string",
-        view_count="string",
-        subscriber_count="string",
-        video_count="string",
-        country="string",
+    "channels_information": (
+        "channel_id string, title string, description string, published_at string, "
+        "view_count string, subscriber_count string, video_count string, country string"
     ),
-    "related_category_videos": _schema(
-        video_id="string",
-        title="string",
-        description="string",
-        published_at="string",
-        channel_id="string",
-        channel_title="string",
-        thumbnails="string",
-        liveBroadcastContent="string",
-        category_id="string",
+    "related_category_videos": (
+        "video_id string, title string, description string, published_at string, "
+        "channel_id string, channel_title string, thumbnails string, "
+        "liveBroadcastContent string, category_id string"
     ),
-    "categories": _schema(category_id="string", category_title="string"),
-    "comment_threads": _schema(
-        comment_thread_id="string",
-        video_id="string",
-        author_name="string",
-        text="string",
-        like_count="string",
-        published_at="string",
-        total_reply_count="string",
+    "categories": "category_id string, category_title string",
+    "comment_threads": (
+        "comment_thread_id string, video_id string, author_name string, text string, "
+        "like_count string, published_at string, total_reply_count string"
     ),
-    "replies": _schema(
-        comment_id="string",
-        author_name="string",
-        author_channel_id="string",
-        text_display="string",
-        like_count="string",
-        published_at="string",
-        updated_at="string",
-        comment_thread_id="string",
+    "replies": (
+        "comment_id string, author_name string, author_channel_id string, text_display string, "
+        "like_count string, published_at string, updated_at string, comment_thread_id string"
     ),
 }
 
@@ -89,6 +50,10 @@ def _step(name: str, target: str | None = None, into: list[str] | None = None, *
     return step
 
 
+#: Buckets of the golden entity tables, by key; a spec may have others under ``buckets``.
+ENTITY_BUCKETS = 32
+
+
 def _overwritten(frame: str, path: str, keys: list[str], event: str, **more: Any):
     return {
         "dataframe": frame,
@@ -220,7 +185,7 @@ def channels_information(root: str, as_of: str | None = None) -> dict[str, Any]:
                     "avg_views_per_video",
                 ],
             ),
-            _overwritten("countries_df", f"{root}/countries", ["country_id"], "countries_done"),
+            _overwritten("countries_df", f"{root}/countries", ["country_id"], "countries_done", buckets=ENTITY_BUCKETS),
         ],
     )
 
@@ -263,7 +228,7 @@ def _comments(
                 sort_by=["published_at"],
                 tracking_columns=tracking,
             ),
-            _overwritten("authors_df", f"{root}/authors", ["author_id"], "authors_done"),
+            _overwritten("authors_df", f"{root}/authors", ["author_id"], "authors_done", buckets=ENTITY_BUCKETS),
         ],
     )
 
@@ -313,6 +278,7 @@ def _channel_names_output(root: str) -> dict[str, Any]:
         ["channel_id"],
         "channels_basic_information_done",
         order_by=["channel_title"],
+        buckets=ENTITY_BUCKETS,
     )
 
 
@@ -393,7 +359,7 @@ def trending_videos(root: str) -> dict[str, Any]:
                 tracking_columns=["views", "likes", "comments"],
             ),
             _channel_names_output(root),
-            _overwritten("tags_df", f"{root}/tags", ["video_id", "id"], "tags_done"),
+            _overwritten("tags_df", f"{root}/tags", ["video_id", "id"], "tags_done", buckets=ENTITY_BUCKETS),
         ],
     )
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.operators.joins import left_join_fanout, lookup_join
 from millrace.operators.rows import sort_by_metric
 from millrace.sources.catalog import create_or_repair
-from millrace.sources.tables import VersionedTable
+from millrace.sources.tables import VersionedTable, stored_table
 
 Frames = Mapping[str, DataFrame]
 
@@ -311,7 +311,7 @@ def read_golden(spark: SparkSession, root: str, needed: Mapping[str, str]) -> Fr
     """The current version of each golden table; an absent table is an error."""
     frames = {}
     for name, path in needed.items():
-        frame = VersionedTable(spark, f"{root}/{path}").read()
+        frame = stored_table(spark, f"{root}/{path}").read()
         if frame is None:
             raise ValueError(f"golden table {path!r} does not exist")
         frames[name] = frame

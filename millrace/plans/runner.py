@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from contextlib import ExitStack
 from dataclasses import dataclass
 from typing import Any
 
@@ -16,25 +17,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import STEPS
-from millrace.operators.quality import check_schema, parse_rules, validate
+from millrace.operators.quality import Watch, check_schema, parse_rules, validate
+from millrace.operators.rows import union_all
 from millrace.sources.catalog import register_outputs
-from millrace.sources.readers import read_input
-from millrace.sources.tables import save
+from millrace.sources.readers import CORRUPT, ORIGIN, read_input
+from millrace.sources.tables import save, staged
 
 INPUT_FRAME = "input_df"
 log = logging.getLogger(__name__)
 
 
 def apply_steps(
-    frames: Mapping[str, DataFrame], steps: list[dict[str, Any]], start: str = INPUT_FRAME
+    frames: Mapping[str, DataFrame], steps: list[dict[str, Any]], start: str = INPUT_FRAME, first: int = 1
 ) -> tuple[dict[str, DataFrame], str]:
-    """All frames after the steps, and the name of the last one made.
+    """All frames after the steps, and the name of the last one made.  Steps count from ``first``.
 
     Nothing runs: the result is a set of lazy plans.
     """
     made = dict(frames)
     last = start
-    for number, step in enumerate(steps, 1):
+    for number, step in enumerate(steps, first):
         name = step["name"]
         target = step.get("target", last)
         if target not in made:
@@ -76,6 +78,26 @@ def run_pipeline(
     return frames
 
 
+def shared_steps(steps: list[dict[str, Any]]) -> int:
+    """How many of the first steps only change the input frame, so that all frames come after them."""
+    for number, step in enumerate(steps):
+        alone = not any(isinstance(step.get("params", {}).get(p), str) for p in STEPS.frame_parameters(step["name"]))
+        names = step.get("output_names") or [step.get("target", INPUT_FRAME)]
+        if step.get("multi_output", False) or not alone or step.get("target", INPUT_FRAME) != INPUT_FRAME or names != [INPUT_FRAME]:
+            return number
+    return len(steps)
+
+
+def rejected(df: DataFrame) -> DataFrame:
+    """The lines of an input that did not fit its schema, each with its file."""
+    return df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), F.col(ORIGIN).alias("file"))
+
+
+def accepted(df: DataFrame) -> DataFrame:
+    """The other rows."""
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, ORIGIN)
+
+
 def check_quality(
     frames: Mapping[str, DataFrame], rules: Mapping[str, list[dict[str, Any]]], as_of=None
 ) -> DataFrame | None:
@@ -90,7 +112,7 @@ def check_quality(
 
 
 def keep_report(report: DataFrame, spec: Mapping[str, Any]) -> DataFrame:
-    """Run the rules, keep their results as rows (at ``quality_path``, if given), and fail the run
+    """Keep the results of the rules as rows (at ``quality_path``, if given), and fail the run
     if one fails that ``quality_blocking`` names, or any where it is true.
 
     There is a row for each rule, so that the report can be held here.
@@ -171,22 +193,77 @@ def execute(
     as_of=None,
 ) -> PipelineResult:
     """Read, transform, check the ``quality`` rules, store every output and, where the spec
-    says ``register_in``, enter the outputs into that database of the catalog."""
+    says ``register_in``, enter the outputs into that database of the catalog.
+
+    The input is read once: where several frames come from it, what they share is written to the work
+    folder as columns.  Each output's rows are computed once as well, and its quality rules are measured as
+    they are written; all outputs are there, and all rules read, before the first table changes.
+    With ``rejects`` in the input, lines that don't fit the schema are added there, by ``batch_id``.
+    """
     source = read_input(spark, spec["input"])
     try:
-        frames = run_pipeline(spark, spec, source)
-        report = check_quality(frames, spec.get("quality", {}), as_of)
-        if report is not None:
-            report = keep_report(report, spec)
-        outputs = write_outputs(
-            frames, spec, lambda df, output: save(df, output, spark, as_of), ledger, announce
-        )
+        with ExitStack() as held:
+            frames = _frames_once(spark, spec, source, held)
+            batches, report = _batches(frames, spec, ledger, as_of, held)
+            outputs = write_outputs(
+                {**frames, **batches},
+                spec,
+                lambda df, output: save(df, {**output, "batch_id": spec.get("batch_id")}, spark, as_of, stored=True),
+                ledger,
+                announce,
+            )
     finally:
         if source.is_cached:
             source.unpersist()
     if spec.get("register_in"):
         register_outputs(spark, spec["register_in"], outputs)
-    return PipelineResult(frames, outputs, report)
+    whole = accepted(source) if spec["input"].get("rejects") else source
+    return PipelineResult(run_pipeline(spark, spec, whole), outputs, report)
+
+
+def _frames_once(spark: SparkSession, spec: dict[str, Any], source: DataFrame, held: ExitStack) -> dict[str, DataFrame]:
+    """The spec's frames over an input that is parsed once, however many of them are used."""
+    steps = spec.get("transformations", [])
+    used = {o.get("dataframe", "transformed_df") for o in spec.get("output", [])} | set(spec.get("quality", {}))
+    rejects = spec["input"].get("rejects")
+    if rejects:
+        source = held.enter_context(staged(source, "input"))
+        folder = f"{rejects.rstrip('/')}/batch={spec.get('batch_id') or 'none'}"
+        rejected(source).write.mode("overwrite").parquet(folder)
+        return apply_steps({INPUT_FRAME: accepted(source)}, steps)[0]
+    shared = shared_steps(steps) if len(used) > 1 else 0
+    frames, last = apply_steps({INPUT_FRAME: source}, steps[:shared])
+    if len(used) > 1 and not source.is_cached:
+        frames[last] = held.enter_context(staged(frames[last], "input"))
+    return apply_steps(frames, steps[shared:], last, shared + 1)[0]
+
+
+def _batches(
+    frames: Mapping[str, DataFrame], spec: dict[str, Any], ledger, as_of, held: ExitStack
+) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """The rows of every output, computed once, and the results of the spec's quality rules."""
+    rules, reports, batches = dict(spec.get("quality", {})), [], {}
+    for output in spec.get("output", []):
+        name = output.get("dataframe", "transformed_df")
+        if name not in frames:
+            raise ValueError(f"output names an unknown frame {name!r}")
+        if output.get("expected_schema"):
+            check_schema(frames[name], output["expected_schema"], strict=True)
+        if name in batches:
+            continue
+        watch = Watch(frames[name], parse_rules(rules.pop(name)), name, as_of) if name in rules else None
+        about = {"batch_id": spec.get("batch_id"), "finish_event": output.get("finish_event")}
+        try:
+            batches[name] = held.enter_context(staged(watch.frame if watch else frames[name]))
+        except Exception:
+            if ledger is not None:
+                ledger.finish(ledger.start(name, **about), name, "FAILED", **about)
+            raise
+        if watch:
+            reports.append(watch.report(batches[name]))
+    others = check_quality({**frames, **batches}, rules, as_of)
+    reports += [] if others is None else [others]
+    return batches, keep_report(union_all(reports), spec) if reports else None
 
 
 def schema_rows(df: DataFrame) -> list[dict[str, Any]]:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from millrace.sources.tables import AppendTable, VersionedTable
+from millrace.sources.tables import AppendTable, BucketedTable, VersionedTable
 
 
 # Fixed value: the directory name Hive-style partitioning gives a null.
@@ -72,12 +73,38 @@ def create_or_repair(
     return "repaired" if existed else "created"
 
 
+def write_bucketed(
+    df: DataFrame,
+    database: str,
+    table: str,
+    keys: list[str],
+    buckets: int,
+    location: str,
+    sort_by: list[str] | None = None,
+) -> DataFrame:
+    """``df`` as a catalog table whose files are dealt by ``keys``; returns its rows.
+
+    Tables bucketed alike by the columns of a join or grouping meet without a shuffle.  Rows go to their
+    buckets in one shuffle, so that there is a file for each bucket and not one for each task and bucket.
+    The table is replaced; each write has a directory of its own below ``location``.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
+    if sort_by:
+        writer = writer.sortBy(*sort_by)
+    path = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+    writer.option("path", path).saveAsTable(f"{database}.{table}")
+    return spark.table(f"{database}.{table}")
+
+
 def _point_partitions(spark: SparkSession, name: str, parts: list[str], folders: list[str]) -> None:
     """Give each partition its directory; readers find an entry at any time."""
     wanted = {_values(d, parts): d for d in folders}
     shown = spark.sql(f"SHOW PARTITIONS {name}").collect()
     have = {_values(r["partition"], parts) for r in shown}
-    for values in have & set(wanted):
+    placed = _partition_places(spark, name, have & set(wanted))
+    for values in sorted(v for v, place in placed.items() if place != _plain(wanted[v])):
         spark.sql(f"ALTER TABLE {name} PARTITION ({values}) SET LOCATION {_text(wanted[values])}")
     added = [f"PARTITION ({v}) LOCATION {_text(d)}" for v, d in sorted(wanted.items()) if v not in have]
     for k in range(0, len(added), PARTITIONS_AT_ONCE):
@@ -87,6 +114,15 @@ def _point_partitions(spark: SparkSession, name: str, parts: list[str], folders:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone[k : k + PARTITIONS_AT_ONCE])}")
 
 
+def _partition_places(spark: SparkSession, name: str, partitions: set[str]) -> dict[str, str]:
+    """Where the catalog has each of some partitions."""
+    places = {}
+    for values in partitions:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({values})").collect()
+        places[values] = next((_plain(r["data_type"]) for r in rows if r["col_name"] == "Location"), "")
+    return places
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -142,9 +178,10 @@ def register_outputs(
             else T.StructType.fromDDL(", ".join(f"{_quoted(r['name'])} {r['type']}" for r in rows))
         )
         name = table_name(output["path"], output.get("store_type", "SCD1"))
-        done[name] = create_or_repair(
-            spark, database, name, schema, place[0], output.get("partition_by"), place[1]
-        )
+        parts = output.get("partition_by")
+        if BucketedTable.is_at(spark, place[0]):
+            schema, parts = BucketedTable(spark, place[0]).catalog_entry()
+        done[name] = create_or_repair(spark, database, name, schema, place[0], parts, place[1])
         if output.get("history_path"):
             history = AppendTable(spark, output["history_path"], output.get("partition_by"))
             entry = history.catalog_entry()
@@ -157,6 +194,10 @@ def register_outputs(
 
 def stored_place(spark: SparkSession) -> Callable[[Mapping[str, Any]], Any]:
     """For :func:`register_outputs`: outputs that are stored tables, in their newest version."""
-    return lambda output: VersionedTable(
-        spark, output["path"], output.get("partition_by")
-    ).place()
+
+    def place(output):
+        if BucketedTable.is_at(spark, output["path"]):
+            return output["path"], None
+        return VersionedTable(spark, output["path"], output.get("partition_by")).place()
+
+    return place

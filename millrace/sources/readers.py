@@ -24,6 +24,9 @@ _LEVELS = {
 #: Stands for null in CSV files, so that an empty text (in quotes) stays one.
 NULL_MARK = r"\N"
 
+#: Columns of an input that keeps what does not fit: the line, and the file it is from.
+CORRUPT, ORIGIN = "_corrupt_record", "_input_file"
+
 
 def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     """The configured scan.
@@ -31,7 +34,8 @@ def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     ``path`` is one path or a list.  A ``schema`` (StructType or DDL) saves the extra
     pass over the data that inference takes.  ``select_columns`` reaches the reader.
     ``repartition`` spreads the rows over that many tasks, for few and large files that
-    cannot be split (gzip).
+    cannot be split (gzip).  With ``rejects`` a CSV or JSON line that does not fit the schema is kept
+    as text in :data:`CORRUPT`, with its file in :data:`ORIGIN`; without, what doesn't fit is null.
     """
     kind = config.get("format", "csv")
     if kind not in FORMATS:
@@ -40,13 +44,23 @@ def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     if kind == "csv":
         options.setdefault("nullValue", NULL_MARK)
     reader = spark.read.format(kind).options(**options)
-    if config.get("schema") is not None:
-        reader = reader.schema(config["schema"])
+    schema, extra = config.get("schema"), []
+    if config.get("rejects"):
+        if schema is None or kind == "parquet":
+            raise ValueError("rejects need a CSV or JSON input with a schema")
+        fields = (schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)).fields
+        schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        extra = [CORRUPT, F.col("_metadata.file_path").alias(ORIGIN)]
+    if schema is not None:
+        reader = reader.schema(schema)
     path = config["path"]
     df = reader.load(list(path) if isinstance(path, (list, tuple)) else path)
     columns = config.get("select_columns", "all")
+    if extra:
+        df = df.select(*(c for c in df.columns if c != CORRUPT), *extra)
     if columns != "all":
-        df = df.select(*columns)
+        df = df.select(*columns, *([CORRUPT, ORIGIN] if extra else []))
     if config.get("repartition"):
         df = df.repartition(int(config["repartition"]))
     if config.get("cache", False):

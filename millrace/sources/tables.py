@@ -6,7 +6,8 @@ a job that dies before it leaves the old version in force, and a table is never
 while it is read.  Of two writers of one version the second finds the entry taken and fails.
 
 A merge rewrites only the partitions it has to: those that hold a key of the batch, and
-those its rows belong to.  All others stay in force where they lie.
+those its rows belong to.  All others stay in force where they lie.  Entity tables without partition
+columns of their own are :class:`BucketedTable`, histories :class:`AppendTable`.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +28,8 @@ from millrace.functions.paths import decode_key
 from millrace.operators import scd
 from millrace.operators.joins import same_key, with_keys
 from millrace.operators.rows import ordering
-from millrace.sources.files import exists, list_files, read_text, remove, write_text
+from millrace.operators.scd import widened_schema
+from millrace.sources.files import exists, list_files, read_text, remove, work_folder, write_text
 from millrace.sources.readers import narrow
 
 LOG_SCHEMA = (
@@ -46,9 +48,12 @@ def write_partitioned(
     sort_by: list | None = None,
     max_records_per_file: int | None = None,
     mode: str = "overwrite",
+    dynamic: bool = False,
 ) -> None:
     """Hive-style directories, sorted within files, files capped by row count.
 
+    With ``dynamic``, only the directories that rows belong to are replaced.
+
     Rows are rebalanced by the partition columns: adaptive execution joins small
     partitions and splits large ones, so each directory gets few files and a value with a
     third of all rows is written by many tasks.
@@ -60,6 +65,8 @@ def write_partitioned(
     if order:
         df = df.sortWithinPartitions(*order)
     writer = df.write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if columns:
         writer = writer.partitionBy(*columns)
     if max_records_per_file:
@@ -203,7 +210,7 @@ class VersionedTable:
         kept: tuple[str, ...] = ()
         fields = df.schema.fields
         if found is not None:
-            stored = self.spark.createDataFrame([], found.schema)
+            stored = self.spark.createDataFrame([], widened_schema(found.schema, df.schema))
             df = scd.aligned(df, stored)
             fields = scd.merged_schema(stored, df)
             kept = found.live
@@ -234,9 +241,10 @@ class VersionedTable:
             return self.replace(change(None, batch), operation)
         if batch.isEmpty():
             return self._commit(found.version + 1, operation, found.live, found.schema)
-        batch = scd.aligned(batch, self.spark.createDataFrame([], found.schema))
+        schema = widened_schema(found.schema, batch.schema)
+        batch = scd.aligned(batch, self.spark.createDataFrame([], schema))
         touched = self._touched(found, batch, keys)
-        stored = self._scan(touched, found.schema).select(*found.schema.fieldNames())
+        stored = self._scan(touched, schema).select(*schema.fieldNames())
         return self._rewrite(found, touched, change(stored, batch), operation)
 
     def delete(self, condition: str) -> int | None:
@@ -288,21 +296,6 @@ class VersionedTable:
             raise ValueError(f"{self.path}: rows in unknown directories {sorted(names - set(found.live))[:3]}")
         return tuple(sorted(names))
 
-    @contextmanager
-    def staged(self, batch: DataFrame) -> Iterator[DataFrame]:
-        """The batch, computed once and written beside the table for as long as it is used.
-
-        A merge reads its batch several times; from files it is read, not computed, again.
-        Their size is also what lets Spark decide whether the batch can be broadcast past
-        the table.
-        """
-        path = f"{self.path}/batch/{uuid.uuid4().hex}"
-        batch.write.parquet(path)
-        try:
-            yield self.spark.read.schema(batch.schema).parquet(path)
-        finally:
-            remove(self.spark, path)
-
 
 class AppendTable:
     """K6, K8: rows that are only added, in one folder with a partition for each batch.
@@ -330,12 +323,22 @@ class AppendTable:
         before = self.schema()
         fields = df.schema.fields
         if before is not None:
-            stored = self.spark.createDataFrame([], before)
+            stored = self.spark.createDataFrame([], widened_schema(before, df.schema))
             df = scd.aligned(df, stored)
             fields = scd.merged_schema(stored, df)
         write_partitioned(df, f"{self.path}/{self.BATCH}={batch}", self.partition_by)
         write_text(self.spark, f"{self.path}/_columns.json", T.StructType(fields).json())
 
+    def replace(self, df: DataFrame, batch: str) -> None:
+        """``df``, under the name ``batch``, in place of all batches.  ``df`` must not read this table.
+
+        The new batch is there before the old ones go; a job that dies between can be run again.
+        """
+        old = [p for p in list_files(self.spark, self.path, ".parquet") if f"/{self.BATCH}={batch}/" not in p]
+        self.append(df, batch)
+        for folder in sorted({p[: p.index("/", p.index(f"/{self.BATCH}=") + 1)] for p in old}):
+            remove(self.spark, folder)
+
     def read(self) -> DataFrame | None:
         schema = self.schema()
         if schema is None:
@@ -352,6 +355,161 @@ class AppendTable:
         return whole, [self.BATCH, *self.partition_by]
 
 
+class BucketedTable:
+    """A table in which the place of a row is a function of its key.
+
+    A row lies in the partition ``BUCKET``, a hash of its key modulo a number that is fixed with the
+    first write.  A merge knows from the batch alone which partitions its keys are in: it
+    reads and replaces those and looks at no others, so that it costs what its buckets hold, not what the
+    table holds.  The folder is plain partitioned Parquet; the bucket is not a column of
+    :meth:`read`.  Keys are hashed as text, so that a key column may become wider.
+
+    Replacing partitions is Spark's dynamic partition overwrite: files are written aside and moved
+    when all tasks are done.  One writer at a time.
+    """
+
+    BUCKET = "key_bucket"
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: list[str] | None = None,
+        buckets: int = 32,
+        sort_by: list | None = None,
+        max_records_per_file: int | None = None,
+    ) -> None:
+        self.spark = spark
+        self.path = path.rstrip("/")
+        known = self._description()
+        self.keys = list(keys or (known or {}).get("keys") or [])
+        if known and keys and list(keys) != known["keys"]:
+            raise ValueError(f"{self.path} is bucketed by {known['keys']}, not by {list(keys)}")
+        self.buckets = known["buckets"] if known else int(buckets)
+        if not self.keys or self.buckets < 1:
+            raise ValueError("a bucketed table needs key columns and at least one bucket")
+        self.sort_by = list(sort_by or [])
+        self.max_records_per_file = max_records_per_file
+
+    @staticmethod
+    def is_at(spark: SparkSession, path: str) -> bool:
+        return exists(spark, f"{path.rstrip('/')}/_buckets.json")
+
+    # --- reading
+
+    def _description(self) -> dict[str, Any] | None:
+        name = f"{self.path}/_buckets.json"
+        return json.loads(read_text(self.spark, name)) if exists(self.spark, name) else None
+
+    def schema(self) -> T.StructType | None:
+        """The columns of :meth:`read`, or ``None`` before the first write."""
+        known = self._description()
+        return T.StructType.fromJson(known["schema"]) if known else None
+
+    def version(self) -> int | None:
+        """The number of writes so far, ``None`` before the first."""
+        known = self._description()
+        return known["writes"] if known else None
+
+    def _scan(self, schema: T.StructType, buckets: list[int] | None = None) -> DataFrame:
+        whole = T.StructType([*schema.fields, T.StructField(self.BUCKET, T.IntegerType())])
+        rows = self.spark.read.schema(whole).parquet(self.path)
+        if buckets is not None:
+            rows = rows.filter(F.col(self.BUCKET).isin(buckets))
+        return rows.select(*schema.fieldNames())
+
+    def read(
+        self, filter_conditions: str | None = None, partitions: Mapping[str, Any] | None = None
+    ) -> DataFrame | None:
+        """The rows, ``None`` before the first write."""
+        schema = self.schema()
+        return None if schema is None else narrow(self._scan(schema), filter_conditions, partitions)
+
+    def find(self, keys: Mapping[str, Any]) -> DataFrame | None:
+        """The rows of one key; only its bucket is read."""
+        schema = self.schema()
+        if schema is None:
+            return None
+        types = {f.name: f.dataType for f in schema.fields}
+        wanted = {k: F.lit(keys[k]).cast(types[k]) for k in self.keys}
+        rows = self._scan(schema, [self.spark.range(1).select(self._bucket(wanted.values())).first()[0]])
+        for name, value in wanted.items():
+            rows = rows.filter(F.col(name).eqNullSafe(value))
+        return rows
+
+    def catalog_entry(self) -> tuple[T.StructType, list[str]] | None:
+        """Columns and partition columns of an entry over ``path``."""
+        schema = self.schema()
+        if schema is None:
+            return None
+        return T.StructType([*schema.fields, T.StructField(self.BUCKET, T.IntegerType())]), [self.BUCKET]
+
+    # --- writing
+
+    def _bucket(self, keys) -> Column:
+        return F.pmod(F.xxhash64(*[k.cast("string") for k in keys]), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, writes: int) -> int:
+        """Replace the buckets that ``rows`` belong to."""
+        placed = rows.withColumn(self.BUCKET, self._bucket(F.col(k) for k in self.keys))
+        write_partitioned(
+            placed, self.path, [self.BUCKET], self.sort_by, self.max_records_per_file, dynamic=True
+        )
+        entry = {"keys": self.keys, "buckets": self.buckets, "writes": writes, "schema": json.loads(rows.schema.json())}
+        write_text(self.spark, f"{self.path}/_buckets.json", json.dumps(entry))
+        return writes
+
+    def touched(self, batch: DataFrame) -> list[int]:
+        """The buckets of a batch's keys, of which there are at most ``buckets``."""
+        number = self._bucket(F.col(k) for k in self.keys).alias(self.BUCKET)
+        return sorted(r[0] for r in batch.select(number).distinct().collect())
+
+    def merge(
+        self, batch: DataFrame, keys: list[str], change: Callable[[DataFrame | None, DataFrame], DataFrame], operation: str = "merge"
+    ) -> int:
+        """K3-K6: ``change(stored rows of the batch's buckets, batch)`` takes the place of those buckets.
+
+        Give a batch that is stored (:func:`staged`): it is read for its buckets and again for its rows.
+        """
+        if list(keys) != self.keys:
+            raise ValueError(f"{self.path} is bucketed by {self.keys}, not by {list(keys)}")
+        absent = [c for c in [*keys] if c not in batch.columns]
+        if absent:
+            raise ValueError(f"the batch lacks key columns {absent}")
+        if self.BUCKET in batch.columns:
+            raise ValueError(f"the batch has a column {self.BUCKET}")
+        known = self._description()
+        if known is None:
+            return self._write(change(None, batch), 1)
+        schema = widened_schema(T.StructType.fromJson(known["schema"]), batch.schema, self.keys)
+        batch = scd.aligned(batch, self.spark.createDataFrame([], schema))
+        touched = self.touched(batch)
+        if not touched:
+            return known["writes"]
+        return self._write(change(self._scan(schema, touched), batch), known["writes"] + 1)
+
+    def delete(self, condition: str) -> int | None:
+        """Take out the rows for which ``condition`` is true; buckets without such a row stay as they are."""
+        known = self._description()
+        if known is None:
+            return None
+        schema = T.StructType.fromJson(known["schema"])
+        hit = self.touched(self._scan(schema).filter(condition))
+        if not hit:
+            return known["writes"]
+        rows = scd.delete_where(self._scan(schema, hit), condition)
+        left = self.touched(rows)
+        writes = self._write(rows, known["writes"] + 1) if left else known["writes"] + 1
+        for number in sorted(set(hit) - set(left)):  # a bucket without rows is not overwritten
+            remove(self.spark, f"{self.path}/{self.BUCKET}={number}")
+        return writes
+
+
+def stored_table(spark: SparkSession, path: str) -> VersionedTable | BucketedTable:
+    """The table at ``path``, whichever kind it is."""
+    return BucketedTable(spark, path) if BucketedTable.is_at(spark, path) else VersionedTable(spark, path)
+
+
 def merge_in_place(
     batch: DataFrame,
     table: str,
@@ -367,40 +525,65 @@ def merge_in_place(
     rows.mergeInto(table, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
+@contextmanager
+def staged(batch: DataFrame, name: str = "batch") -> Iterator[DataFrame]:
+    """The batch, computed once and written to the shared folder for as long as it is used.
+
+    A merge reads its batch several times; from files it is read, not computed, again.
+    Their size is also what lets Spark decide whether the batch can be broadcast past
+    the table.
+    """
+    spark = batch.sparkSession
+    path = work_folder(spark, name)
+    batch.write.parquet(path)
+    try:
+        yield spark.read.schema(batch.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
 def save(
-    df: DataFrame, output: Mapping[str, Any], spark: SparkSession | None = None, as_of=None
-) -> VersionedTable:
-    """K7: store ``df`` as the output's ``store_type`` says (SCD1 when it says nothing)."""
+    df: DataFrame,
+    output: Mapping[str, Any],
+    spark: SparkSession | None = None,
+    as_of=None,
+    stored: bool = False,
+) -> VersionedTable | BucketedTable:
+    """K7: store ``df`` as the output's ``store_type`` says (SCD1 when it says nothing).
+
+    An output with ``buckets`` and no partition columns becomes a :class:`BucketedTable`.  ``stored``
+    says that ``df`` is read from files, and need not be written for the merge.  With ``batch_id`` in
+    the output, rows of the history go by it, so that a run that is repeated adds nothing twice.
+    """
     spark = spark or df.sparkSession
     kind = str(output.get("store_type", "SCD1")).upper()
     if kind not in ("SCD1", "SCD2", "SCD3", "SCD4"):
         raise ValueError(f"unsupported store_type {kind!r}")
     if kind == "SCD4" and not output.get("history_path"):
         raise ValueError("SCD4 needs history_path")
-    table = VersionedTable(
-        spark,
-        output["path"],
-        output.get("partition_by"),
-        output.get("sort_by"),
-        output.get("max_records_per_file"),
-    )
     keys = list(output["primary_key"])
+    sizes = (output.get("sort_by"), output.get("max_records_per_file"))
+    table: VersionedTable | BucketedTable
+    if output.get("buckets") and not output.get("partition_by"):
+        table = BucketedTable(spark, output["path"], keys, output["buckets"], *sizes)
+    else:
+        table = VersionedTable(spark, output["path"], output.get("partition_by"), *sizes)
     tracking = list(output.get("tracking_columns") or [])
     choice = {"order_by": output.get("order_by"), "strict": output.get("strict", False)}
 
-    def change(stored: DataFrame | None, rows: DataFrame) -> DataFrame:
+    def change(old: DataFrame | None, rows: DataFrame) -> DataFrame:
         if kind == "SCD2":
-            return scd.scd2(stored, rows, keys, tracking or None, as_of, **choice)
+            return scd.scd2(old, rows, keys, tracking or None, as_of, **choice)
         if kind == "SCD3":
-            return scd.scd3(stored, rows, keys, tracking, **choice)
-        return scd.scd1(stored, rows, keys, **choice)
+            return scd.scd3(old, rows, keys, tracking, **choice)
+        return scd.scd1(old, rows, keys, **choice)
 
-    with table.staged(df) as batch:
+    with nullcontext(df) if stored else staged(df) as batch:
         if kind == "SCD4":
             changes_only = output.get("history_changes_only", False)
-            stored = table.read() if changes_only else None
-            rows = scd.scd4_history(batch, as_of, stored, keys, tracking, changes_only)
+            old = table.read() if changes_only else None
+            rows = scd.scd4_history(batch, as_of, old, keys, tracking, changes_only)
             history = AppendTable(spark, output["history_path"], output.get("partition_by"))
-            history.append(rows, f"{(table.version() or 0) + 1:08d}")
+            history.append(rows, output.get("batch_id") or f"{(table.version() or 0) + 1:08d}")
         table.merge(batch, keys, change, kind)
     return table

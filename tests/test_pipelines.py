@@ -11,7 +11,7 @@ from millrace.plans.golden import GOLDEN
 from millrace.plans.raw import RAW_TABLES, build_raw
 from millrace.sources import catalog, ledger
 from millrace.sources import manifest as m
-from millrace.sources.tables import AppendTable, VersionedTable
+from millrace.sources.tables import AppendTable, VersionedTable, stored_table
 from millrace.streaming import readiness as rd
 
 
@@ -95,7 +95,7 @@ def lake(spark, tmp_path_factory):
         outputs += runner.execute(spark, spec, book, announce).outputs
 
     def read(name):
-        return VersionedTable(spark, str(root / "golden" / name)).read()
+        return stored_table(spark, str(root / "golden" / name)).read()
 
     read.root, read.book, read.outputs = root, book, outputs
     return read
@@ -190,7 +190,7 @@ def test_second_day(spark, lake, tmp_path):
     assert result.outputs[0]["schema"][0]["name"] == "video_id"
     report = {r["check"]: r["passed"] for r in result.quality.collect()}
     assert report == {"null": True, "min_value": True}
-    read = lambda name: VersionedTable(spark, f"{path}/{name}").read()
+    read = lambda name: stored_table(spark, f"{path}/{name}").read()
     assert rows(read("trending_videos/current").select("video_id", "views")) == [
         ("v1", 200), ("v2", 5),
     ]
