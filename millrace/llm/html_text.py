@@ -6,11 +6,14 @@ scripts, styles, reader comments, hidden elements) is left out first.  For the r
 
 * each path has two ratios: characters, and punctuation marks, for each of its text nodes;
 * both are smoothed along the page with a Gaussian weight and fused into one by their product;
-* nodes above a threshold, a share of the standard deviation, are content, and their characters
-  are the weight of the elements they lie in.
+* nodes above a threshold, one standard deviation of the page's values, are content, and so are the blocks of
+  text that hold one.
 
-The article is an article-like element with most of the weight or, where there is none, the
-innermost element that holds nearly all of it.  All blocks in it are kept, short ones and headings too.
+What is short stands on paths of low ratios even where it is content, so other blocks are rescued by where they
+are: between content blocks, beside them in the same element, or headings right before the first. Where
+article-like elements hold most of the content, these are the article, whole if they are nested or side by
+side, and the other blocks in them are rescued too.  Runs of blocks that are little but links are not
+rescued: a list of links in the article stays out by its paths.
 
 Cases: null and empty pages, and pages without text, give an empty string; a page that ends in
 the middle of a tag, a comment or a script is read up to there; repeated rows are read each
@@ -22,6 +25,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +54,12 @@ MARKS = frozenset(
     "popup promo promotion recommended related replies respond share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that may stand beside a mark; any other word says that the element is about something else.
+BESIDE = frozenset(
+    "area articles bar block bottom box buttons container content count foot form global group holder home inner item "
+    "items left links list main module outer page panel policy post posts reader readers right row section site slot top "
+    "unit user users wrap wrapper".split()
+)
 #: Words that, beside "header", mark the head of the article itself.
 OWN_HEAD = frozenset("article content entry post story".split())
 #: Elements that a start tag of the same row ends, up to the second set.
@@ -68,23 +79,33 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: A value without quotes at the end of a tag, which a slash is part of.
+UNQUOTED = re.compile(r"""=\s*[^\s"'=<>]*/$""")
 PUNCTUATION = re.compile(r"[.,;:!?…·。，、；：！？¿¡]")
 
 SMOOTH = (0.25, 1.0, 0.25)
-THRESHOLD = 0.1
-#: The innermost article-like element with this share of the heaviest one's weight is chosen.
-MOST = 0.6
-#: Where there is none, the innermost element with this share of the page's weight.
-SHARE = 0.9
+#: Standard deviations from which on a node is content.
+THRESHOLD = 1.0
+#: Share of the content's characters from which on article-like elements are the article.
+MOST = 0.5
+#: Share of characters in links from which on a block is little but links, and how many in a row are a list.
+LINKS = 0.8
+RUN = 2
 
 
 class _Page:
-    """Open elements, and text nodes as (element, block, text)."""
+    """Open elements, and text nodes as (element, block, text).
+
+    What an element has from those around it is noted with it, and how many of each tag are open, so that
+    no tag looks through all that are.
+    """
 
     def __init__(self):
         self.parent, self.tag, self.outside, self.path = [-1], ["#"], [False], [0]
+        self.article, self.link = [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.stack = [0]
+        self.opened: Counter = Counter()
         self.block = 0
         self.nodes: list[tuple[int, int, str]] = []
 
@@ -92,27 +113,38 @@ class _Page:
         if tag in BLOCK:
             self._end_paragraph()
             self.block += 1
-        if tag in CLOSES:
+        if tag in CLOSES and any(self.opened[name] for name in CLOSES[tag][0]):
             names, within = CLOSES[tag]
             for k in range(len(self.stack) - 1, 0, -1):
                 if self.tag[self.stack[k]] in within:
                     break
                 if self.tag[self.stack[k]] in names:
-                    del self.stack[k:]
+                    self._drop(k)
                     break
         above = self.stack[-1]
         key = (self.path[above], tag)
         self.parent.append(above)
         self.tag.append(tag)
         self.path.append(self.paths.setdefault(key, len(self.paths) + 1))
-        self.outside.append(self.outside[above] or self._outside(tag, attributes))
+        self.article.append(self.article[above] or tag in ARTICLE)
+        self.link.append(self.link[above] or tag == "a")
+        self.outside.append(self.outside[above] or self._outside(tag, attributes, self.article[-1]))
         self.stack.append(len(self.tag) - 1)
+        self.opened[tag] += 1
+
+    def _drop(self, k: int) -> None:
+        """End the open elements from the ``k``-th on."""
+        for element in self.stack[k:]:
+            self.opened[self.tag[element]] -= 1
+        del self.stack[k:]
 
     def _end_paragraph(self) -> None:
+        if not self.opened["p"]:
+            return
         for k in range(len(self.stack) - 1, 0, -1):
             name = self.tag[self.stack[k]]
             if name == "p":
-                del self.stack[k:]
+                self._drop(k)
                 return
             if name in BLOCK:
                 return
@@ -120,17 +152,18 @@ class _Page:
     def close(self, tag: str) -> None:
         if tag in BLOCK:
             self.block += 1
+        if not self.opened[tag]:
+            return
         for k in range(len(self.stack) - 1, 0, -1):
             if self.tag[self.stack[k]] == tag:
-                del self.stack[k:]
+                self._drop(k)
                 return
             if tag not in BLOCK and self.tag[self.stack[k]] in BLOCK:
                 return
 
-    def _outside(self, tag: str, attributes: str) -> bool:
+    def _outside(self, tag: str, attributes: str, inside: bool) -> bool:
         if tag in OUTSIDE:
             return True
-        inside = any(self.tag[e] in ARTICLE for e in self.stack)
         if tag == "header" and not inside:
             return True
         if not attributes or tag in ARTICLE or tag in ("html", "body") or tag in HEADINGS and inside:
@@ -145,8 +178,10 @@ class _Page:
                 return True
             if name in ("class", "id"):
                 for item in value.split():
-                    words = set(re.split(r"[^a-z0-9]+", item))
-                    if words & MARKS or "header" in words and not words & OWN_HEAD and not inside:
+                    words = {w for w in re.split(r"[^a-z]+", item) if w}
+                    if words & MARKS and words <= MARKS | BESIDE:
+                        return True
+                    if "header" in words and not words & OWN_HEAD and not inside:
                         return True
         return False
 
@@ -185,56 +220,113 @@ def _read(page: str) -> _Page:
             if tag in RAW:
                 last = re.compile(rf"</{tag}\b", re.I).search(page, place)
                 place = last.start() if last else end
-            elif attributes.endswith("/") and tag not in BLOCK:
+            elif attributes.endswith("/") and tag not in BLOCK and not UNQUOTED.search(attributes):
                 found.close(tag)
     if held and (raw := "".join(held)):
         found.text(raw)
     return found
 
 
+@dataclass
+class _Block:
+    """A block of text: its nodes' texts, characters, those in links, whether a node is content, and its elements."""
+
+    parts: list[str] = field(default_factory=list)
+    size: int = 0
+    linked: int = 0
+    content: bool = False
+    element: int = 0
+
+    @property
+    def links(self) -> bool:
+        return not self.content and self.linked >= LINKS * self.size
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one on each line."""
     if not page:
         return ""
     found = _read(page)
     nodes = [(e, b, html.unescape(t)) for e, b, t in found.nodes]
-    keep = _article(found, nodes)
-    blocks: dict[int, list[str]] = {}
-    for element, block, text in nodes:
-        if keep[element]:
-            blocks.setdefault(block, []).append(text)
-    lines = (" ".join("".join(parts).split()) for parts in blocks.values())
+    lines = (" ".join("".join(block.parts).split()) for block in _article(found, nodes))
     return "\n".join(line for line in lines if line)
 
 
-def _article(found: _Page, nodes: list) -> list[bool]:
-    """Which elements lie in the article."""
-    weight = [0.0] * len(found.tag)
+def _blocks(found: _Page, nodes: list) -> list[_Block]:
+    """The blocks with text in page order."""
     solid = [(e, t) for e, _, t in nodes if t.strip()]
-    for (element, text), value in zip(solid, _fused(found, solid)):
-        if value:
-            weight[element] += len(text)
-    for k in range(len(weight) - 1, 0, -1):  # an element comes after its parent
-        weight[found.parent[k]] += weight[k]
-    named = [k for k in range(len(weight)) if found.tag[k] in ARTICLE and weight[k]]
-    if named:
-        enough = MOST * max(weight[k] for k in named)
-        chosen = max(k for k in named if weight[k] >= enough)
-    else:
-        chosen = 0
-        for k in range(1, len(weight)):
-            if found.parent[k] == chosen and weight[k] >= SHARE * weight[0] > 0 and found.tag[k] not in HEADINGS:
-                chosen = k
-        if found.tag[chosen] in ("p", "b", "i", "span", "a") or not weight[0]:
-            chosen = max(0, found.parent[chosen])
-    keep = [False] * len(weight)
-    for k in range(len(weight)):
-        keep[k] = k == chosen or k > 0 and keep[found.parent[k]]
-    return keep
+    content = iter(_fused(found, solid))
+    blocks: dict[int, _Block] = {}
+    for element, number, text in nodes:
+        block = blocks.setdefault(number, _Block())
+        block.parts.append(text)
+        if text.strip():
+            size = len(text.strip())
+            block.size += size
+            block.linked += size * found.link[element]
+            block.content |= next(content)
+            block.element = block.element or element
+    return [b for b in blocks.values() if b.size]
+
+
+def _article(found: _Page, nodes: list) -> list[_Block]:
+    """The blocks that are the article's."""
+    blocks = _blocks(found, nodes)
+    if not any(b.content for b in blocks):
+        return blocks
+    lists = _lists(blocks)
+    inside = [found.article[b.element] for b in blocks]
+    weight = sum(b.size for b in blocks if b.content)
+    if sum(b.size for b, own in zip(blocks, inside) if b.content and own) >= MOST * weight:
+        tops = [_top(found, b.element) if own else -1 for b, own in zip(blocks, inside)]
+        with_content = {top for b, top in zip(blocks, tops) if b.content}
+        return [b for b, top, skip in zip(blocks, tops, lists) if top >= 0 and top in with_content and (b.content or not skip)]
+    places = [k for k, b in enumerate(blocks) if b.content]
+    first, last = places[0], places[-1]
+    while first and _home(found, blocks[first - 1].element)[0] in HEADINGS:
+        first -= 1
+    homes = {_home(found, blocks[k].element)[1] for k in places}
+    return [
+        b for k, b in enumerate(blocks)
+        if b.content or not lists[k] and (first <= k <= last or _home(found, b.element)[1] in homes)
+    ]
+
+
+def _lists(blocks: list[_Block]) -> list[bool]:
+    """Whether each block is one of some in a row that are little but links."""
+    out, k = [False] * len(blocks), 0
+    while k < len(blocks):
+        end = k
+        while end < len(blocks) and blocks[end].links:
+            end += 1
+        if end - k >= RUN:
+            out[k:end] = [True] * (end - k)
+        k = max(end, k + 1)
+    return out
+
+
+def _top(found: _Page, element: int) -> int:
+    """The outermost article-like element around an element."""
+    top = -1
+    while element > 0 and found.article[element]:
+        if found.tag[element] in ARTICLE:
+            top = element
+        element = found.parent[element]
+    return top
+
+
+def _home(found: _Page, element: int) -> tuple[str, int]:
+    """The tag of the block element that an element is or lies in, and the element around that."""
+    while element > 0 and found.tag[element] not in BLOCK:
+        element = found.parent[element]
+    return found.tag[element], found.parent[element]
 
 
 def _fused(found: _Page, solid: list) -> list[bool]:
-    """Whether each text node is content, by the fused ratios of its path."""
+    """Whether each text node is content, by the fused ratios of its path.
+
+    Neighbours lift a short node, but not one in a link above what its own path has.
+    """
     size: dict[int, int] = {}
     marks: dict[int, int] = {}
     count: dict[int, int] = {}
@@ -247,6 +339,9 @@ def _fused(found: _Page, solid: list) -> list[bool]:
     characters = _smooth([size[p] / count[p] for p in paths])
     punctuation = _smooth([marks[p] / count[p] for p in paths])
     fused = [c * (1 + p) for c, p in zip(characters, punctuation)]
+    for k, ((element, _), path) in enumerate(zip(solid, paths)):
+        if found.link[element]:
+            fused[k] = min(fused[k], size[path] / count[path] * (1 + marks[path] / count[path]))
     if not fused:
         return []
     mean = sum(fused) / len(fused)
