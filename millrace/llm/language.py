@@ -10,10 +10,12 @@ A part of the sample, not learned from, calibrates two things: the power of the
 which the cross-entropies become probabilities, and for each language the usual
 cross-entropy.  A text whose cross-entropy is far above the usual one is rejected.
 
-The fit uses a bounded sample: of each language some ``SAMPLE`` documents of at most
-``LONGEST`` characters, fewer where there are more than eight languages, chosen by a hash of their id.
+The fit uses a bounded sample: of each language ``SAMPLE`` documents, fewer where there are more than
+eight languages, chosen by a hash of their id and text; of a text longer than ``LONGEST`` characters, so many from
+a place that the hash chooses as well.  Of more than ``ALL_SAMPLES`` languages, the most frequent are learned.
 
-Cases: null texts and texts without a letter are ``und`` with score 0 and are rejected;
+Cases: a language all of whose texts are long is learned like any other; documents without id are chosen by their
+texts, and rows that are equal by the order of that hash; null texts and texts without a letter are ``und`` with score 0 and are rejected;
 documents without a language are not learned from; without any language everything is
 ``und``; of equal languages the first by name wins; repeated rows get the same result; an
 empty table gives no rows; other columns are not read.
@@ -26,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import importable, in_slices
@@ -232,16 +234,22 @@ def fit(docs: DataFrame, learn: Column) -> Languages:
     """Learn from the documents (doc_id, text, lang) that fulfil ``learn`` and have a language."""
     named = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")
-    ).where(learn & F.col("lang").isNotNull() & (F.length("text") <= LONGEST))
-    counts = {r.lang: r["count"] for r in named.groupBy("lang").count().collect()}
+    ).where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(ALL_SAMPLES).collect()
     if not counts:
         return Languages()
-    size = min(SAMPLE, max(20, ALL_SAMPLES // len(counts)))
-    shares = F.create_map(*(x for k, v in counts.items() for x in (F.lit(k), F.lit(min(1.0, size / v)))))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    chosen = named.where(place < F.try_element_at(shares, F.col("lang"))).select("doc_id", "lang", "text")
-    samples: dict[str, list[str]] = {name: [] for name in counts}
-    for row in sorted(chosen.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.text)):
+    size = max(1, min(SAMPLE, ALL_SAMPLES // len(counts)))
+    # twice as many as are wanted pass, and of these the first
+    passing = docs.sparkSession.createDataFrame([(r["lang"], 2.0 * size / r["count"]) for r in counts], "lang string, pass double")
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    length = F.length("text")
+    start = F.when(length > LONGEST, F.pmod(F.xxhash64("text", "doc_id"), length - (LONGEST - 1))).otherwise(0)
+    some = named.join(F.broadcast(passing), "lang").where(place / (1 << 30) < F.col("pass"))
+    some = some.select("doc_id", "lang", F.substring("text", (start + 1).cast("int"), F.lit(LONGEST)).alias("text"), place.alias("place"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "text"))
+    chosen = some.withColumn("rank", rank).where(F.col("rank") <= size)
+    samples: dict[str, list[str]] = {r["lang"]: [] for r in counts}
+    for row in sorted(chosen.collect(), key=lambda r: (r.lang, r["rank"])):
         samples[row.lang].append(row.text)
     return train(samples)
 
