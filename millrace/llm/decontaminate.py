@@ -9,7 +9,9 @@ Windows are looked at where a document has enough shingles that some item of tha
 since without them no window can be similar.  Each such window gets a SimHash over its shingles.
 A multi-index finds all items whose SimHash is within ``RADIUS`` bits: of ``BLOCKS`` blocks of the
 64 bits, one at least differs in no more than ``RADIUS // BLOCKS`` bits, and for each block all
-values that near are looked up.  Candidates are verified by the exact similarity.
+values that near are looked up.  There is a multi-index for each length, as only items of the window's length are compared
+with it, and windows are looked up some at a time, so that candidates stay within ``AT_ONCE``.  They
+are verified by the exact similarity.
 
 The index of a benchmark is sent to all executors as long as its texts are within
 ``SLICE_BYTES``; a larger one is dealt into slices by a hash, with a pass over the documents for
@@ -41,6 +43,8 @@ SIMILAR = 0.8
 RADIUS = 20
 BLOCKS = 8
 SLICE_BYTES = 16 << 20
+#: Pairs of window and item that are looked at at once.
+AT_ONCE = 1 << 18
 WORD = re.compile(r"[^\W_]+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,34 +98,47 @@ class Index:
         self.counts = [Counter(shingles(list(w), min(SHINGLE, len(w)))) for w in by_words]
         self.code = np.array([_simhash(list(c.elements())) for c in self.counts], np.uint64)
         # for each length, the keys of the shingles that items of that length have
-        self.keys: dict[int, np.ndarray] = {}
-        self.all_keys: dict[int, np.ndarray] = {}
+        own: dict[int, list[np.ndarray]] = {}
+        every: dict[int, list[np.ndarray]] = {}
         for words in by_words:
             size = min(SHINGLE, len(words))
-            own = _keys(np.array([self.numbers[w] for w in words], np.uint64), size)
-            for table, key in ((self.keys, len(words)), (self.all_keys, size)):
-                table[key] = np.union1d(table.get(key, np.empty(0, np.uint64)), own)
+            keys = _keys(np.array([self.numbers[w] for w in words], np.uint64), size)
+            own.setdefault(len(words), []).append(keys)
+            every.setdefault(size, []).append(keys)
+        self.keys = {length: np.unique(np.concatenate(k)) for length, k in own.items()}
+        self.all_keys = {size: np.unique(np.concatenate(k)) for size, k in every.items()}
         width = 64 // BLOCKS
         self.near = _near(width, RADIUS // BLOCKS)
-        self.blocks = []
-        for b in range(BLOCKS):
-            value = (self.code >> np.uint64(b * width)) & np.uint64((1 << width) - 1)
-            order = np.argsort(value, kind="stable")
-            first = np.searchsorted(value[order], np.arange((1 << width) + 1))
-            self.blocks.append((order, first))
-
-    def candidates(self, codes: np.ndarray) -> set[tuple[int, int]]:
-        """Pairs of window and item within the radius."""
-        width, found = 64 // BLOCKS, set()
-        for b, (order, first) in enumerate(self.blocks):
-            value = (codes >> np.uint64(b * width)) & np.uint64((1 << width) - 1)
-            wanted = (value[:, None] ^ self.near[None, :]).astype(np.int64)
-            start, n = first[wanted].ravel(), (first[wanted + 1] - first[wanted]).ravel()
-            window = np.repeat(np.repeat(np.arange(len(codes)), len(self.near)), n)
-            item = order[np.arange(len(window)) + np.repeat(start - np.cumsum(n) + n, n)]
-            close = np.bitwise_count(codes[window] ^ self.code[item]) <= RADIUS
-            found.update(zip(window[close].tolist(), item[close].tolist()))
-        return found
+        self.blocks: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        by_length = np.argsort(self.size, kind="stable")
+        for length, items in zip(*_groups(self.size[by_length], by_length)):
+            self.blocks[length] = []
+            for b in range(BLOCKS):
+                value = (self.code[items] >> np.uint64(b * width)) & np.uint64((1 << width) - 1)
+                order = np.argsort(value, kind="stable")
+                first = np.searchsorted(value[order], np.arange((1 << width) + 1))
+                self.blocks[length].append((items[order], first))
+
+    def candidates(self, codes: np.ndarray, length: int):
+        """Pairs of window and item of a length within the radius, window by window."""
+        width, blocks = 64 // BLOCKS, self.blocks[length]
+        wanted = [
+            (((codes >> np.uint64(b * width)) & np.uint64((1 << width) - 1))[:, None] ^ self.near[None, :]).astype(np.int64)
+            for b in range(BLOCKS)
+        ]
+        sizes = sum((first[w + 1] - first[w]).sum(axis=1) for w, (_, first) in zip(wanted, blocks))
+        part = np.cumsum(sizes) // AT_ONCE
+        for start, stop in zip(*_edges(part)):
+            found = []
+            for near, (order, first) in zip(wanted, blocks):
+                here = near[start:stop]
+                at, n = first[here].ravel(), (first[here + 1] - first[here]).ravel()
+                window = np.repeat(np.repeat(np.arange(start, stop), here.shape[1]), n)
+                item = order[np.arange(len(window)) + np.repeat(at - np.cumsum(n) + n, n)]
+                close = np.bitwise_count(codes[window] ^ self.code[item]) <= RADIUS
+                found.append(window[close] * len(self.size) + item[close])
+            pairs = np.unique(np.concatenate(found))
+            yield from zip((pairs // len(self.size)).tolist(), (pairs % len(self.size)).tolist())
 
     def links(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """Each item that the text is linked to, with its best window."""
@@ -158,9 +175,7 @@ class Index:
                     of[k] = xxhash.xxh64_intdigest(" ".join(words[k : k + size]))
         windows = [[of[k] for k in range(s, s + n - size + 1)] for s in starts.tolist()]
         codes = np.array([_simhash(w) for w in windows], np.uint64)
-        for window, item in sorted(self.candidates(codes)):
-            if self.size[item] != length:
-                continue
+        for window, item in self.candidates(codes, length):
             value = similarity(Counter(windows[window]), self.counts[item])
             if value >= SIMILAR and value > best.get(item, (0.0,))[0]:
                 best[item] = value, int(starts[window]), n
@@ -181,6 +196,18 @@ def _keys(number: np.ndarray, size: int) -> np.ndarray:
     return key
 
 
+def _edges(values: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where runs of equal values start and stop."""
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)]).tolist()
+    return starts, [*starts[1:], len(values)] if starts else []
+
+
+def _groups(values: np.ndarray, rows: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The different ones of sorted values, and the rows of each."""
+    starts, stops = _edges(values)
+    return [int(values[a]) for a in starts], [rows[a:b] for a, b in zip(starts, stops)]
+
+
 def _any_in(own: np.ndarray, keys: np.ndarray) -> bool:
     solid = own[own != 0]
     if not len(solid):
