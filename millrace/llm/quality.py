@@ -1,15 +1,16 @@
 """Operator 8: text quality by compression.
 
-Two zstandard dictionaries are built, from good and from bad labelled texts.  A text is cut
+Two zstandard dictionaries are built, from pieces of good and of bad labelled texts.  A text is cut
 into chunks, as a dictionary helps most at the start, and all chunks are compressed with
-either.  The normalised difference of the two sizes, with the compressed size for each byte,
-is turned into a probability by a logistic curve fitted on labelled texts that are in neither
-dictionary, weighted by how often each label occurs.
+either.  The difference of the two compressed sizes, normalised by the root of their sum, so that a long text's
+counts for more than a short one's and not in proportion, is turned into a probability by a logistic curve
+fitted on labelled texts that are in neither dictionary, weighted by how often each label occurs.
 
-The fit uses a bounded sample: for each label the ``SAMPLE`` labelled documents of at most
-``LONGEST`` characters that come first by a hash of their id.  Every text is scored in whole.
+The fit uses a bounded sample: for each label the ``SAMPLE`` labelled documents that come first by a hash
+of their id, of a text longer than ``LONGEST`` characters so many from a place that a hash chooses.  Every text
+is scored in whole.
 
-Cases: null text is empty and has the size of an empty frame; documents with labels that
+Cases: a label all of whose texts are long is learned like any other; null text is empty and has the size of an empty frame; documents with labels that
 contradict each other, or null, are not learned from; with one label only the score is its
 share, and 0.5 without any; repeated rows have the same score; an empty table gives no rows;
 other columns are not read.
@@ -30,6 +31,8 @@ from millrace.llm.common import texts
 SAMPLE = 1500
 LONGEST = 8_000
 DICTIONARY = 112 << 10
+#: Bytes of the pieces that a dictionary is built from, and of the chunks that are compressed.
+PIECE = 512
 CHUNK = 2048
 LEVEL = 3
 
@@ -49,7 +52,7 @@ class Compression:
         good, bad, curve = _compressor(self.good), _compressor(self.bad), self.curve
 
         def score(text: str) -> float:
-            x = sum(w * f for w, f in zip(curve, features(text, good, bad)))
+            x = curve[0] + curve[1] * difference(text, good, bad)
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
         return score
@@ -67,13 +70,12 @@ def _compressor(dictionary: bytes):
     )
 
 
-def features(text: str, good, bad) -> list[float]:
-    """One, the normalised difference of compressed sizes, and the compressed size for each byte."""
+def difference(text: str, good, bad) -> float:
+    """The normalised difference of compressed sizes, positive for text like the good texts."""
     raw = text.encode()
     chunks = [raw[k : k + CHUNK] for k in range(0, len(raw), CHUNK)] or [b""]
     a, b = (sum(len(c.compress(x)) for x in chunks) for c in (good, bad))
-    difference, per_byte = (b - a) / (a + b), math.log((a + b) / (2 * len(raw) + 16))
-    return [1.0, difference, per_byte, difference * difference, per_byte * per_byte]
+    return (b - a) / math.sqrt(a + b)
 
 
 def build(samples: list[str]) -> bytes:
@@ -81,7 +83,7 @@ def build(samples: list[str]) -> bytes:
     import zstandard
 
     raw = [t.encode() for t in samples]
-    chunks = [t[k : k + CHUNK] for t in raw for k in range(0, len(t), CHUNK)]
+    chunks = [t[k : k + PIECE] for t in raw for k in range(0, len(t), PIECE)]
     try:
         return zstandard.train_dictionary(DICTIONARY, chunks).as_bytes()
     except zstandard.ZstdError:
@@ -105,13 +107,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Compression:
     if len(counts) == 1:
         return Compression(b"", b"", None, share)
     order = F.xxhash64("doc_id")
-    # more ids than needed, as long texts are passed over; their number is bounded by the parameter
-    first = [marked.where(F.col("quality") == q).orderBy(order, "doc_id").limit(4 * SAMPLE) for q in (0, 1)]
+    # a label may have no document; twice as many ids as are wanted, whose number the parameter bounds
+    first = [marked.where(F.col("quality") == q).orderBy(order, "doc_id").limit(2 * SAMPLE) for q in (0, 1)]
+    length = F.length("text")
+    start = F.when(length > LONGEST, F.pmod(F.xxhash64("text", "doc_id"), length - (LONGEST - 1))).otherwise(0)
     found = (
         texts(docs)
-        .where(F.length("text") <= LONGEST)
         .join(F.broadcast(first[0].union(first[1])), "doc_id")
-        .select("doc_id", "text", "quality")
+        .select("doc_id", F.substring("text", (start + 1).cast("int"), F.lit(LONGEST)).alias("text"), "quality")
     )
     best = [found.where(F.col("quality") == q).orderBy(order, "doc_id", "text").limit(SAMPLE) for q in (0, 1)]
     rows = best[0].union(best[1]).collect()
@@ -122,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Compression:
     parts = {q: ([t for k, t in enumerate(by[q]) if k % 3], by[q][::3]) for q in by}
     good, bad = build(parts[1][0]), build(parts[0][0])
     compressors = _compressor(good), _compressor(bad)
-    x = np.array([features(t, *compressors) for q in (0, 1) for t in parts[q][1]])
+    x = np.array([[1.0, difference(t, *compressors)] for q in (0, 1) for t in parts[q][1]])
     y = np.repeat([0.0, 1.0], [len(parts[0][1]), len(parts[1][1])])
     weight = np.where(y == 1, share / len(parts[1][1]), (1 - share) / len(parts[0][1])) * len(y)
     return Compression(good, bad, logistic(x, y, weight).tolist(), share)
