@@ -6,13 +6,17 @@ batch it belongs to, and a value below 5 a failure.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from checks.tables import table
-from millrace.sources.files import work_folder
+from millrace.sources.files import work_folder, write_text
 from millrace.sources.ledger import dependencies_ready, latest_status
 from millrace.streaming import notifications as n
 from millrace.streaming import readiness as rd
+from millrace.streaming import rounds
+from millrace.streaming.rounds import FIRED, PROVIDER, ReadinessLoop
 
 # Which targets wait for which events.
 MAPPING = {
@@ -65,6 +69,36 @@ def readiness_stream(spark, d):
     return spark.read.schema("batch_id string, target string").parquet(f"{folder}/fired")
 
 
+def readiness_rounds(spark, d):
+    """ST3 ST4 as a stream with rounds: all messages in one trigger, so each pair fires in the first"""
+    schema = table(spark, d, "events").schema
+    events = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    )
+    folder, key = work_folder(spark, "rounds"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, PROVIDER)
+    try:
+        fired = rounds.readiness_rounds(_messages(events), rd.load_mapping(MAPPING))
+        rd.run_available(fired, f"{folder}/checkpoint", f"{folder}/fired")
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(FIRED).parquet(f"{folder}/fired")
+
+
+def readiness_loop(spark, d):
+    """ST7 J10 ST3: two triggers over the halves of the events; the second one meets a mapping with one more target"""
+    folder = work_folder(spark, "loop")
+    loop = ReadinessLoop(spark, folder, f"{folder}/targets.json", buckets=8)
+    for half in (1, 0):
+        write_text(spark, loop.mapping, json.dumps({e: t for e, t in MAPPING.items() if not half or t != "health"}))
+        part = table(spark, d, "events").filter(F.pmod(F.col("event_id"), F.lit(2)) == half)
+        part.write.parquet(f"{folder}/events/{half}")
+        events = spark.readStream.schema(part.schema).parquet(f"{folder}/events/*")
+        loop.follow(_messages(events), f"{folder}/checkpoint")
+    return loop.fired.read().select("batch_id", "target")
+
+
 def event_validation(spark, d):
     """ST5"""
     kind = F.col("event_type")
@@ -134,6 +168,8 @@ QUERIES = {
         dependency_tables,
         readiness_batch,
         readiness_stream,
+        readiness_rounds,
+        readiness_loop,
         event_validation,
         url_route,
         url_requests,
@@ -174,6 +210,11 @@ SQL = {
         FROM newest GROUP BY batch_id""",
     "readiness_batch": _READY,
     "readiness_stream": _READY,
+    "readiness_rounds": f"SELECT batch_id, CAST(0 AS BIGINT) AS round, target FROM ({_READY})",
+    "readiness_loop": f"""
+        SELECT batch_id, target FROM ({_READY.replace("FROM events", "FROM events WHERE event_id % 2 = 1")})
+        WHERE target <> 'health'
+        UNION SELECT batch_id, target FROM ({_READY})""",
     "event_validation": """
         SELECT CASE WHEN event_type NOT IN ('signup', 'error') THEN event_type END AS finish_event,
                CASE WHEN event_type = 'purchase' THEN ''

@@ -5,6 +5,7 @@ Each query writes the given tables below the shared work folder and reads them b
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from checks.pipelines import raw_trending
 from checks.tables import table
 from millrace.functions import clean_text
 from millrace.operators.normalise import split_values
+from millrace.operators.quality import RuleBook
 from millrace.plans.golden import GOLDEN
 from millrace.plans import insights as insight_jobs
 from millrace.plans.insights import publish
@@ -23,10 +25,11 @@ from millrace.plans.raw import build_raw
 from millrace.plans.runner import execute
 from millrace.sources import manifest as m
 from millrace.sources.catalog import create_or_repair, register_outputs
-from millrace.sources.files import work_folder
+from millrace.sources.datasource import read_responses
+from millrace.sources.files import work_folder, write_text
 from millrace.sources.ledger import Ledger, run_messages
-from millrace.sources.readers import distinct_keys, read_dependencies, read_input
-from millrace.sources.tables import AppendTable, VersionedTable, save, stored_table
+from millrace.sources.readers import distinct_keys, empty_frame, read_dependencies, read_if_exists, read_input
+from millrace.sources.tables import AppendTable, VersionedTable, save, stored_table, write_partitioned
 from millrace.streaming.notifications import CREATED, read_events
 from millrace.streaming.readiness import load_mapping, mapping_rows, ready_targets
 from millrace.streaming.runs import Runs
@@ -95,6 +98,54 @@ def executed_spec(spark, d):
     return rows.withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
 
 
+def checked_insight(spark, d):
+    """I4 Q4 Q5 Q7 Q8: an insight published under a rule file; what the rules on it and on its joins found"""
+    root = work_folder(spark, "lake")
+    channels = table(spark, d, "supplier").select(F.col("s_suppkey").alias("channel_id"), F.col("s_name").alias("channel_name"))
+    VersionedTable(spark, f"{root}/golden/channels/current").replace(channels.filter("channel_id % 3 > 0"))
+    VersionedTable(spark, f"{root}/golden/trending_videos/current").replace(figures(spark, d).filter("channel_id % 5 > 0"))
+    rules = [
+        {"column": "channel_id", "type": "numeric", "null_allowed": False, "unique": True, "min_value": 3},
+        {"column": "total_views", "type": "numeric", "max_value": 100_000},
+    ]
+    write_text(spark, f"{root}/rules.json", json.dumps({"channel_growth_metrics": {"rules": rules}}))
+    publish(
+        spark, "channel_growth_metrics", f"{root}/golden", f"{root}/insights/growth",
+        book=RuleBook.from_file(spark, f"{root}/rules.json"), report=f"{root}/report",
+    )
+    on_rows = spark.read.parquet(f"{root}/report/rules").select(F.concat_ws(".", "column", "check").alias("check"), "violations", "row_count")
+    on_joins = spark.read.parquet(f"{root}/report/joins")
+    name = F.concat_ws("-", "source_table", "target_table").alias("check")
+    return on_rows.unionAll(on_joins.select(name, F.col("orphans").alias("violations"), F.col("source_keys").alias("row_count")))
+
+
+def responses_source(spark, d):
+    """Dumps of thread responses read by format"""
+    path = work_folder(spark, "dumps")
+    thread_responses(spark, d).write.json(path)
+    return read_responses(spark, path, "threads", ["role"]).drop("extra")
+
+
+def golden_manifest(spark, d):
+    """A golden table read by the files that its manifest names"""
+    root = work_folder(spark, "lake")
+    write_partitioned(table(spark, d, "orders"), f"{root}/golden/orders", ["o_orderpriority"])
+    m.write_golden_manifest(spark, root, "golden/orders")
+    files = m.manifest_files(m.read_manifest(spark, f"{root}/golden/orders/control.json"), root)
+    schema = table(spark, d, "orders").schema
+    rows = spark.read.schema(schema).option("basePath", f"{root}/golden/orders").parquet(*files)
+    return rows.select(*schema.fieldNames())
+
+
+def spread_input(spark, d):
+    """Few files spread over more tasks, and an input that is not there"""
+    path = work_folder(spark, "raw")
+    table(spark, d, "lineitem").coalesce(1).write.parquet(path)
+    rows = read_input(spark, {"format": "parquet", "path": path, "repartition": 8})
+    absent = read_if_exists(spark, f"{path}-absent")
+    return rows.unionByName(empty_frame(spark, rows.schema) if absent is None else absent)
+
+
 def notified_runs(spark, d):
     """S11 ST2 R0 K17: raw batches announced as messages, run by a stream; the second trigger announces
     one of them again and another half of the rows, the third comes from a new checkpoint"""
@@ -334,6 +385,10 @@ QUERIES = {
         registered_outputs,
         run_readiness,
         published_insight,
+        checked_insight,
+        responses_source,
+        golden_manifest,
+        spread_input,
         notified_runs,
         rejected_lines,
         bucketed_merges,
@@ -360,6 +415,18 @@ SQL = {
         FROM (""" + normal.SQL["flatten_nested"] + ")",
     "executed_spec": pipelines.SQL["r6_trending"],
     "published_insight": insights.SQL["i8_tag_performance"],
+    "checked_insight": f"""
+        WITH g AS (SELECT * FROM ({insights.SQL["i4_channel_growth"]}) WHERE channel_id % 5 > 0 AND channel_id % 3 > 0),
+        t AS (SELECT DISTINCT l_suppkey AS k FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey % 5 > 0)
+        SELECT 'channel_id.null' AS "check", CAST(0 AS BIGINT) AS violations, count(*) AS row_count FROM g
+        UNION ALL SELECT 'channel_id.unique', CAST(0 AS BIGINT), count(*) FROM g
+        UNION ALL SELECT 'channel_id.min_value', count(*) FILTER (WHERE channel_id < 3), count(*) FROM g
+        UNION ALL SELECT 'total_views.max_value', count(*) FILTER (WHERE total_views > 100000), count(*) FROM g
+        UNION ALL SELECT 'channels-trending_videos', count(*) FILTER (WHERE s_suppkey NOT IN (SELECT k FROM t)), count(*)
+        FROM supplier WHERE s_suppkey % 3 > 0""",
+    "responses_source": normal.SQL["flatten_nested"],
+    "golden_manifest": "SELECT * FROM orders",
+    "spread_input": "SELECT * FROM lineitem",
     "notified_runs": f"""
         WITH r AS ({pipelines.SQL["r6_trending"]})
         SELECT 'current' AS "table", count(*) AS rows, CAST(sum(views) AS BIGINT) AS views FROM r

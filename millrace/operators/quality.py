@@ -6,6 +6,7 @@ passed)``, so two rules on one column stay apart.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.metrics import as_timestamp, days_before
 from millrace.operators.rows import union_all
+from millrace.sources.files import read_text
 
 RESULT_SCHEMA = (
     "`table` string, `column` string, rule string, `check` string, violations bigint, "
@@ -100,9 +102,29 @@ class RuleBook:
         }
         return cls(tables, list(config.get("join_validations", [])))
 
+    @classmethod
+    def from_file(cls, spark, path: str) -> RuleBook:
+        """A rule book from a JSON file or, where PyYAML is installed, a YAML file, anywhere Spark reads."""
+        text = read_text(spark, path)
+        if path.endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as error:
+                raise ValueError("a YAML rule file needs PyYAML; use JSON") from error
+            config = yaml.safe_load(text)
+        else:
+            config = json.loads(text)
+        if not isinstance(config, Mapping):
+            raise ValueError(f"{path} holds no rules by table")
+        return cls.from_config(config)
+
     def rules(self, table: str) -> list[Rule]:
         return self.tables.get(table, [])
 
+    def joins_of(self, tables) -> list[dict[str, Any]]:
+        """The join rules between some tables."""
+        return [r for r in self.joins if r["source_table"] in tables and r["target_table"] in tables]
+
 
 def _planned(df: DataFrame, rules: list[Rule], as_of) -> tuple[list[tuple[Rule, str, Column]], list[Rule]]:
     """The checks of rules on columns that ``df`` has, and the rules on columns it lacks."""

@@ -3,7 +3,8 @@
 ``target`` is the stored table, or ``None`` before the first write.  Nothing is written
 here; :mod:`millrace.sources.tables` does that.
 
-The batch is expected to be small next to the table.  For type 1 the table is the streamed
+The batch is expected to be small next to the table; :mod:`millrace.sources.tables` gives only those
+partitions of the table that it can change.  For type 1 the table is the streamed
 side of a join with the batch: while the size Spark knows for the batch (that of its files)
 is below the broadcast threshold, the table is scanned and not shuffled; beyond it, both
 sides shuffle on the key.  Types 2 and 3 read table and batch once, for one full outer join.
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.metrics import as_timestamp
-from millrace.operators.joins import same_key, with_keys, without_keys
+from millrace.operators.joins import same_key, without_keys
 from millrace.operators.rows import deduplicate
 
 Moment = dt.datetime | str | Column | None
@@ -164,9 +165,6 @@ def _meet(target: DataFrame, batch: DataFrame, keys: list[str], joins: Column) -
 
     One full outer join reads table and batch once.  Stored rows for which ``joins`` is false
     meet nothing; they are spread over the tasks, so that a key with many of them is not hot.
-    No full outer join can broadcast; while the size that Spark knows for the batch is below
-    its broadcast threshold, the table streams past the batch instead and isn't shuffled, and
-    a second look at its keys finds the batch rows without a partner.
     """
     spread = F.when(joins, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*target.columns), F.lit(1 << 20)))
     old = target.select(
@@ -179,20 +177,7 @@ def _meet(target: DataFrame, batch: DataFrame, keys: list[str], joins: Column) -
     condition = (F.col("_old_spread") == F.col("_new_spread")) & same_key(
         [f"_old_key{i}" for i in names], [f"_new_key{i}" for i in names]
     )
-    if not _is_broadcast(batch):
-        return old.join(new, condition, "full_outer").select("_old", "_new")
-    met = old.join(new, condition, "left").select("_old", "_new")
-    seen = with_keys(target.filter(joins).select(*keys), batch, keys)
-    alone = without_keys(batch, seen, keys)
-    absent = F.lit(None).cast(met.schema["_old"].dataType)
-    return met.union(alone.select(absent.alias("_old"), F.struct(*batch.columns).alias("_new")))
-
-
-def _is_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's planner would broadcast ``df`` by what it knows of its size."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(size)) <= limit
+    return old.join(new, condition, "full_outer").select("_old", "_new")
 
 
 def _keyed(keys: list[str], prefix: str) -> list[Column]:

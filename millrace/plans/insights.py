@@ -10,12 +10,15 @@ exact should a dimension repeat a key.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import left_join_fanout, lookup_join
+from millrace.operators.quality import RuleBook, Watch, check_joins
 from millrace.operators.rows import sort_by_metric
+from millrace.plans.rules import join_rules
 from millrace.sources.catalog import create_or_repair
 from millrace.sources.tables import VersionedTable, stored_table
 
@@ -318,14 +321,64 @@ def read_golden(spark: SparkSession, root: str, needed: Mapping[str, str]) -> Fr
     return frames
 
 
+@dataclass(frozen=True)
+class Checked:
+    """Q5, Q8: what the rules found when an insight was published."""
+
+    rules: DataFrame | None
+    joins: DataFrame | None
+
+    def failed(self) -> list[str]:
+        found = [] if self.rules is None else [f"{r['column']}.{r['check']}" for r in self.rules.collect() if not r["passed"]]
+        if self.joins is not None:
+            found += [f"{r['source_table']}-{r['target_table']}.{r['keys']}" for r in self.joins.collect() if not r["passed"]]
+        return found
+
+
+def check_insight(frames: Frames, name: str, watch: Watch | None, written: DataFrame | None, book: RuleBook) -> Checked:
+    """The rules on a job's result, measured as it was written, and the join rules between its tables."""
+    joins = check_joins(frames, [*join_rules(name), *book.joins_of(frames)])
+    if joins is not None:  # a row for each rule
+        joins = joins.sparkSession.createDataFrame(joins.collect(), joins.schema)
+    return Checked(watch.report(written) if watch else None, joins)
+
+
 def publish(
-    spark: SparkSession, name: str, golden: str, path: str, database: str | None = None
+    spark: SparkSession,
+    name: str,
+    golden: str,
+    path: str,
+    database: str | None = None,
+    book: RuleBook | None = None,
+    blocking: bool = False,
+    report: str | None = None,
 ) -> VersionedTable:
     """Run one insight job: read its golden tables, replace its result at ``path`` and, with
-    ``database``, enter it in the catalog under ``name``."""
-    result = INSIGHTS[name](read_golden(spark, golden, DEPENDENCIES[name]))
+    ``database``, enter it in the catalog under ``name``.
+
+    With a rule book, its rules on the result are measured while it is written, and the join rules between the
+    job's tables are checked; results are added below ``report``.  ``blocking`` keeps a result with a failed rule from
+    taking the place of the one before.
+    """
+    frames = read_golden(spark, golden, DEPENDENCIES[name])
+    result = INSIGHTS[name](frames)
     stored = VersionedTable(spark, path)
-    stored.replace(result)
+    if book is None:
+        stored.replace(result)
+    else:
+        watch = Watch(result, book.rules(name), name)
+
+        def check(written: DataFrame) -> None:
+            found = check_insight(frames, name, watch, written, book)
+            if report is not None:
+                found.rules.write.mode("append").parquet(f"{report.rstrip('/')}/rules")
+                if found.joins is not None:
+                    found.joins.write.mode("append").parquet(f"{report.rstrip('/')}/joins")
+            failed = found.failed()
+            if blocking and failed:
+                raise ValueError(f"blocking quality rules fail: {failed}")
+
+        stored.replace(watch.frame, check=check)
     if database is not None:
         location, _ = stored.place()
         create_or_repair(spark, database, name, result.schema, location)

@@ -39,8 +39,7 @@ class DenseIds:
     def _learn(self, seen: DataFrame) -> None:
         known, first, fresh = self.table.schema(), 1, seen
         if known is not None:
-            stored = self.table._scan(known, self.table.touched(seen))
-            fresh = seen.join(stored.select("value"), "value", "left_anti")
+            fresh = seen.join(self.table.near(seen).select("value"), "value", "left_anti")
             first = self.table.read().agg(F.max("number")).first()[0] + 1
         with staged(fresh.withColumn("place", F.monotonically_increasing_id()), "fresh") as rows:
             task, row = F.shiftright("place", ROW_BITS), F.col("place").bitwiseAND((1 << ROW_BITS) - 1)

@@ -33,7 +33,8 @@ def _now() -> str:
 class Ledger:
     """Rows are only added: a run is a RUNNING row and later a SUCCESS or FAILED row.
 
-    Each row is a file of its own, so a stream can read the ledger as it grows.
+    Rows lie in a folder for each day (UTC), so that a question about some days reads those; what is
+    noted together is one file, and a stream can read the ledger as it grows.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -51,20 +52,36 @@ class Ledger:
         batch_id: str | None = None,
         finish_event: str | None = None,
     ) -> None:
-        if entity not in ENTITIES:
-            raise ValueError(f"unknown ledger entity {entity!r}")
-        row = {
-            "entity": entity,
-            "id": id,
-            "parent": parent,
-            "dataset": dataset,
-            "status": status,
-            "at": _now(),
-            "batch_id": batch_id,
-            "finish_event": finish_event,
-            "details": json.dumps(details) if details is not None else None,
-        }
-        write_text(self.spark, f"{self.path}/{uuid.uuid4().hex}.json", json.dumps(row))
+        self.note_all(
+            [
+                {
+                    "entity": entity,
+                    "id": id,
+                    "parent": parent,
+                    "dataset": dataset,
+                    "status": status,
+                    "batch_id": batch_id,
+                    "finish_event": finish_event,
+                    "details": details,
+                }
+            ]
+        )
+
+    def note_all(self, rows: list[dict[str, Any]]) -> None:
+        """Note several things at once, in one file."""
+        unknown = sorted({str(r["entity"]) for r in rows} - set(ENTITIES))
+        if unknown:
+            raise ValueError(f"unknown ledger entity {unknown[0]!r}")
+        if not rows:
+            return
+        at, names = _now(), [f.split()[0] for f in LEDGER_SCHEMA.split(", ")]
+        lines = []
+        for row in rows:
+            filled = {**dict.fromkeys(names), "at": at, **row}
+            if filled["details"] is not None and not isinstance(filled["details"], str):
+                filled["details"] = json.dumps(filled["details"])
+            lines.append(json.dumps({n: filled[n] for n in names}))
+        write_text(self.spark, f"{self.path}/day={at[:10]}/{uuid.uuid4().hex}.json", "\n".join(lines))
 
     def start(
         self,
@@ -87,8 +104,14 @@ class Ledger:
     ) -> None:
         self.note("dataset_run", run, status, dataset, None, None, batch_id, finish_event)
 
-    def rows(self) -> DataFrame:
-        return self.spark.read.schema(LEDGER_SCHEMA).json(self.path)
+    def rows(self, since: str | None = None, until: str | None = None) -> DataFrame:
+        """All rows, or those noted from one day to another (``yyyy-mm-dd``, both included)."""
+        rows = self.spark.read.schema(f"{LEDGER_SCHEMA}, day date").json(self.path)
+        if since is not None:
+            rows = rows.filter(F.col("day") >= F.lit(since).cast("date"))
+        if until is not None:
+            rows = rows.filter(F.col("day") <= F.lit(until).cast("date"))
+        return rows.drop("day")
 
 
 def run_messages(ledger: DataFrame) -> DataFrame:

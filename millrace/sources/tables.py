@@ -194,10 +194,23 @@ class VersionedTable:
         write_text(self.spark, f"{self.path}/log/{version}.json", json.dumps(entry), replace=False)
         return version
 
-    def replace(self, df: DataFrame, operation: str = "overwrite") -> int:
-        """K2: ``df`` becomes the next version.  ``df`` may read the current one."""
+    def replace(
+        self, df: DataFrame, operation: str = "overwrite", check: Callable[[DataFrame], None] | None = None
+    ) -> int:
+        """K2: ``df`` becomes the next version.  ``df`` may read the current one.
+
+        ``check`` is given the written rows before they are in force; if it raises, they go.
+        """
         number = (self.version() or 0) + 1
-        return self._commit(number, operation, self._write(df, number), df.schema)
+        live = self._write(df, number)
+        if check is not None:
+            try:
+                check(self._scan(live, df.schema).select(*df.columns))
+            except Exception:
+                for folder in {d.split("/")[0] for d in live}:
+                    remove(self.spark, f"{self.data}/{folder}")
+                raise
+        return self._commit(number, operation, live, df.schema)
 
     def append(self, df: DataFrame, tag: str | None = None) -> int:
         """K6, K8: add rows.  Columns may be new or absent.
@@ -378,7 +391,10 @@ class BucketedTable:
         buckets: int = 32,
         sort_by: list | None = None,
         max_records_per_file: int | None = None,
+        bucket_by: list[str] | None = None,
     ) -> None:
+        """``bucket_by`` are the key columns that decide the bucket, if not all: rows that agree in
+        these lie together."""
         self.spark = spark
         self.path = path.rstrip("/")
         known = self._description()
@@ -386,6 +402,9 @@ class BucketedTable:
         if known and keys and list(keys) != known["keys"]:
             raise ValueError(f"{self.path} is bucketed by {known['keys']}, not by {list(keys)}")
         self.buckets = known["buckets"] if known else int(buckets)
+        self.bucket_by = (known or {}).get("bucket_by") or list(bucket_by or self.keys)
+        if not set(self.bucket_by) <= set(self.keys):
+            raise ValueError(f"buckets go by key columns, not by {self.bucket_by}")
         if not self.keys or self.buckets < 1:
             raise ValueError("a bucketed table needs key columns and at least one bucket")
         self.sort_by = list(sort_by or [])
@@ -425,6 +444,11 @@ class BucketedTable:
         schema = self.schema()
         return None if schema is None else narrow(self._scan(schema), filter_conditions, partitions)
 
+    def near(self, batch: DataFrame) -> DataFrame | None:
+        """The rows of the buckets that a batch's keys are in; other buckets are not read."""
+        schema = self.schema()
+        return None if schema is None else self._scan(schema, self.touched(batch))
+
     def find(self, keys: Mapping[str, Any]) -> DataFrame | None:
         """The rows of one key; only its bucket is read."""
         schema = self.schema()
@@ -432,7 +456,8 @@ class BucketedTable:
             return None
         types = {f.name: f.dataType for f in schema.fields}
         wanted = {k: F.lit(keys[k]).cast(types[k]) for k in self.keys}
-        rows = self._scan(schema, [self.spark.range(1).select(self._bucket(wanted.values())).first()[0]])
+        number = self._bucket(wanted[k] for k in self.bucket_by)
+        rows = self._scan(schema, [self.spark.range(1).select(number).first()[0]])
         for name, value in wanted.items():
             rows = rows.filter(F.col(name).eqNullSafe(value))
         return rows
@@ -451,17 +476,18 @@ class BucketedTable:
 
     def _write(self, rows: DataFrame, writes: int) -> int:
         """Replace the buckets that ``rows`` belong to."""
-        placed = rows.withColumn(self.BUCKET, self._bucket(F.col(k) for k in self.keys))
+        placed = rows.withColumn(self.BUCKET, self._bucket(F.col(k) for k in self.bucket_by))
         write_partitioned(
             placed, self.path, [self.BUCKET], self.sort_by, self.max_records_per_file, dynamic=True
         )
-        entry = {"keys": self.keys, "buckets": self.buckets, "writes": writes, "schema": json.loads(rows.schema.json())}
+        about = {"keys": self.keys, "bucket_by": self.bucket_by, "buckets": self.buckets}
+        entry = {**about, "writes": writes, "schema": json.loads(rows.schema.json())}
         write_text(self.spark, f"{self.path}/_buckets.json", json.dumps(entry))
         return writes
 
     def touched(self, batch: DataFrame) -> list[int]:
         """The buckets of a batch's keys, of which there are at most ``buckets``."""
-        number = self._bucket(F.col(k) for k in self.keys).alias(self.BUCKET)
+        number = self._bucket(F.col(k) for k in self.bucket_by).alias(self.BUCKET)
         return sorted(r[0] for r in batch.select(number).distinct().collect())
 
     def merge(
