@@ -14,7 +14,8 @@ the block's number; blocks are broadcast as long as they are within ``BROADCAST_
 shuffled beyond.  Each pair gives its best k for each query, and these are merged.
 
 Cases: vectors that are null or hold null or non-finite components take no part; shorter
-vectors are filled with zeros; rows with the query's own id are no candidates of it; a repeated
+vectors are filled with zeros; where components are so large that a score, or a sum of bounds, may pass
+63 bits, :func:`top` fails and says so; rows with the query's own id are no candidates of it; a repeated
 query row is answered each for itself, a repeated candidate may fill several ranks; fewer
 than k candidates give fewer rows; an empty table gives no rows; other columns are not read.
 """
@@ -32,6 +33,8 @@ from millrace.llm.common import importable, in_batches, stored
 SHARD = 4096
 BLOCK = 512
 BROADCAST_BYTES = 16 << 20
+#: Sums of products up to here, and their differences, fit into 64 bits.
+LIMIT = 1 << 61
 PACK = "pack long, size int, width int, ids binary, rows binary, vectors binary"
 
 
@@ -89,15 +92,22 @@ def packs(vectors: DataFrame, rows: int) -> DataFrame:
 def top(vectors: DataFrame, queries, k: int, scale: int = 256) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the k best for each row that fulfils ``queries``."""
     whole = integers(vectors, scale)
+    largest = whole.agg(
+        F.max(F.array_max(F.transform("vector", F.abs))).alias("value"), F.max(F.size("vector")).alias("width")
+    ).first()
+    if largest.value and largest.value**2 * largest.width > LIMIT:
+        raise ValueError(f"components up to {largest.value} in {largest.width} dimensions give scores beyond 63 bits")
     shards = packs(whole, SHARD)
     asked = stored(packs(whole.where(queries), BLOCK), "queries")
     total = asked.agg(F.sum(F.length("vectors"))).first()[0] or 0
-    # the numbers of the blocks, one for BLOCK queries; each shard meets each block once
-    names = [r.pack for r in asked.select("pack").collect()]
-    blocks = asked.select(*(F.col(c).alias(f"q_{c}") for c in asked.columns))
+    # the blocks, one for BLOCK queries, by a running number; each shard meets each block once
+    names = sorted(r.pack for r in asked.select("pack").collect())
+    numbers = vectors.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "pack long, q_pack long")
+    blocks = asked.join(F.broadcast(numbers), "pack")
+    blocks = blocks.select("q_pack", *(F.col(c).alias(f"q_{c}") for c in asked.columns if c != "pack"))
     if total <= BROADCAST_BYTES:
         blocks = F.broadcast(blocks)
-    every = F.array(*(F.lit(n) for n in names)).cast("array<long>")
+    every = F.sequence(F.lit(0), F.lit(max(len(names) - 1, 0))).cast("array<long>")
     pairs = shards.withColumn("q_pack", F.explode(every)).join(blocks, "q_pack")
     found = pairs.mapInArrow(_search(k), "query long, query_id long, vec_id long, row long, score long")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
