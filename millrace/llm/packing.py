@@ -30,6 +30,8 @@ from millrace.llm.common import in_batches, stored, texts
 from millrace.llm.encoding import encoder, with_end
 
 GROUP_SEQUENCES = 4096
+#: Where texts are so short that this comes first, a group has about so many pieces.
+GROUP_PIECES = 1 << 18
 
 PIECE = pa.schema(
     [
@@ -69,8 +71,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048) -> DataFrame:
     """Each piece with its sequence and its place there."""
     found = stored(pieces(docs, tokenizer, end_id, size), "pieces")
-    total = found.agg(F.sum("length")).first()[0] or 0
-    groups = -(-total // (GROUP_SEQUENCES * size)) or 1
+    ids, rows = found.agg(F.sum("length"), F.count("*")).first()
+    groups = max(-(-(ids or 0) // (GROUP_SEQUENCES * size)), -(-rows // GROUP_PIECES), 1)
     group = F.pmod(F.xxhash64("slot"), F.lit(groups)).alias("group")
 
     def place(key, frame):

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, html_text, language, quality
+from millrace.llm import decontaminate, html_text, language, packing, quality, topk
 
 P = "This is a long paragraph, with several sentences. It says much; and it goes on, and on, for quite some time. "
 WORDS = {
@@ -140,3 +140,37 @@ def test_candidates_are_all_items_within_the_radius(monkeypatch):
             close = np.bitwise_count(codes[:, None] ^ index.code[None, own]) <= decontaminate.RADIUS
             want = {(int(w), int(own[i])) for w, i in zip(*np.nonzero(close))}
             assert set(index.candidates(codes, length)) == want
+
+
+def test_scores_beyond_63_bits_are_refused(spark):
+    rows = [(0, [3e7, 3e7]), (50, [3e7, -1.0])]
+    with pytest.raises(ValueError, match="beyond 63 bits"):
+        topk.top(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, 5)
+    near = [(0, [3e6, 3e6]), (50, [3e6, -1.0])]
+    got = topk.top(spark.createDataFrame(near, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, 5).collect()
+    assert {r.score for r in got} == {768_000_000**2 - 256 * 768_000_000}
+
+
+def test_every_block_of_queries_meets_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 3)
+    monkeypatch.setattr(topk, "SHARD", 5)
+    draw = np.random.default_rng(1)
+    vectors = draw.normal(size=(40, 6)).round(2)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(3)
+    whole = np.floor(256 * vectors).astype(np.int64)
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr(topk, "BROADCAST_BYTES", limit)
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top(df, F.col("vec_id") % 4 == 0, 3).collect()}
+        for q in range(0, 40, 4):
+            order = sorted((-int(whole[q] @ whole[c]), c) for c in range(40) if c != q)
+            assert [got[q, k + 1] for k in range(3)] == [(c, -score) for score, c in order[:3]]
+
+
+def test_groups_of_very_short_pieces_have_a_bound(spark, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "GROUP_PIECES", 100)
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).toPandas()
+    sizes = found.groupby("sequence_id").length.sum()
+    assert len(found) == 1000 and 8 <= len(sizes) <= 10 and (sizes < 250).all()
