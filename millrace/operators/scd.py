@@ -7,8 +7,7 @@ The batch is expected to be small next to the table; :mod:`millrace.sources.tabl
 partitions of the table that it can change.  For type 1 the table is the streamed
 side of a join with the batch: while the size Spark knows for the batch (that of its files)
 is below the broadcast threshold, the table is scanned and not shuffled; beyond it, both
-sides shuffle on the key.  Types 2 and 3 read table and batch once, for one full outer join.
-The batch holds one row per key by then, so no key can be hot.
+sides shuffle on the key.  Types 2 and 3 meet the batch in the same way.  The batch holds one row per key by then, so no key can be hot.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.metrics import as_timestamp
-from millrace.operators.joins import same_key, without_keys
+from millrace.operators.joins import same_key, with_keys, without_keys
 from millrace.operators.rows import deduplicate
 
 Moment = dt.datetime | str | Column | None
@@ -120,14 +119,15 @@ def widened_schema(stored: T.StructType, batch: T.StructType, keys: list[str] |
     """K8: the stored columns, each wide enough for the batch's column of that name; a batch column that
     is stored under another type that doesn't widen is an error, found before any row is written.
 
-    A batch column that is narrower than the stored one is no change.  ``keys`` only widen among whole
+    A batch column that is text, or narrower than the stored one, is no change.  ``keys`` only widen among whole
     numbers, since they are hashed as text.
     """
     have = {f.name: f.dataType for f in batch.fields}
     fields = []
     for field in stored.fields:
         kind = have.get(field.name, field.dataType)
-        found = wider(field.dataType, kind)
+        # text is cast to the stored type, and fails the job where it doesn't fit
+        found = field.dataType if isinstance(kind, T.StringType) else wider(field.dataType, kind)
         whole = all(k in _WHOLE or (isinstance(k, T.DecimalType) and k.scale == 0) for k in (field.dataType, found))
         if found is None or (field.name in (keys or []) and found != field.dataType and not whole):
             raise ValueError(f"column {field.name}: {kind.simpleString()} does not fit {field.dataType.simpleString()}")
@@ -163,7 +163,9 @@ def _meet(target: DataFrame, batch: DataFrame, keys: list[str], joins: Column) -
     """Every stored row as ``_old`` beside the batch row of its key as ``_new``; either is null
     where the other has no partner.
 
-    One full outer join reads table and batch once.  Stored rows for which ``joins`` is false
+    The table streams past the batch, which Spark broadcasts or shuffles by its size; a second look at the keys
+    of the table, and no other column, finds the batch rows without a partner.  (A full outer join would read
+    the table once, but could never leave it where it is.)  Stored rows for which ``joins`` is false
     meet nothing; they are spread over the tasks, so that a key with many of them is not hot.
     """
     spread = F.when(joins, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*target.columns), F.lit(1 << 20)))
@@ -177,7 +179,11 @@ def _meet(target: DataFrame, batch: DataFrame, keys: list[str], joins: Column) -
     condition = (F.col("_old_spread") == F.col("_new_spread")) & same_key(
         [f"_old_key{i}" for i in names], [f"_new_key{i}" for i in names]
     )
-    return old.join(new, condition, "full_outer").select("_old", "_new")
+    met = old.join(new, condition, "left").select("_old", "_new")
+    seen = with_keys(target.filter(joins).select(*keys), batch, keys)
+    alone = without_keys(batch, seen, keys)
+    absent = F.lit(None).cast(met.schema["_old"].dataType)
+    return met.union(alone.select(absent.alias("_old"), F.struct(*batch.columns).alias("_new")))
 
 
 def _keyed(keys: list[str], prefix: str) -> list[Column]:

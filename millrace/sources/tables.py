@@ -552,15 +552,15 @@ def merge_in_place(
 
 
 @contextmanager
-def staged(batch: DataFrame, name: str = "batch") -> Iterator[DataFrame]:
-    """The batch, computed once and written to the shared folder for as long as it is used.
+def staged(batch: DataFrame, name: str = "batch", folder: str | None = None) -> Iterator[DataFrame]:
+    """The batch, computed once and written to ``folder``, or the shared work folder, for as long as it is used.
 
     A merge reads its batch several times; from files it is read, not computed, again.
     Their size is also what lets Spark decide whether the batch can be broadcast past
     the table.
     """
     spark = batch.sparkSession
-    path = work_folder(spark, name)
+    path = f"{folder}/{uuid.uuid4().hex}" if folder else work_folder(spark, name)
     batch.write.parquet(path)
     try:
         yield spark.read.schema(batch.schema).parquet(path)
@@ -604,7 +604,8 @@ def save(
             return scd.scd3(old, rows, keys, tracking, **choice)
         return scd.scd1(old, rows, keys, **choice)
 
-    with nullcontext(df) if stored else staged(df) as batch:
+    beside = f"{table.path}/batch" if isinstance(table, VersionedTable) else None
+    with nullcontext(df) if stored else staged(df, folder=beside) as batch:
         if kind == "SCD4":
             changes_only = output.get("history_changes_only", False)
             old = table.read() if changes_only else None

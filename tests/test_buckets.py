@@ -159,7 +159,7 @@ def test_three_batches_ever_wider(spark, tmp_path, make):
     assert dict(got.dtypes) == {"k": "bigint", "v": "decimal(22,2)", "f": "double"}
     assert [(r.k, float(r.v), r.f) for r in got.orderBy("k", "v").collect()] == want
     with pytest.raises(ValueError, match="does not fit"):
-        wrong(spark.createDataFrame([(4, "many", 1.0)], "k int, v string, f float"))
+        wrong(spark.createDataFrame([(4, 1.5, 1.0)], "k int, v double, f float"))
 
 
 # --- one pass
