@@ -36,7 +36,7 @@ from millrace.llm.common import importable, in_slices
 ORDER = 4
 SAMPLE = 1000
 ALL_SAMPLES = 8_000
-LONGEST = 8_000
+LONGEST = 4_000
 #: A text is rejected this many spreads above the usual cross-entropy; a spread is at least
 #: ``SPREAD``, so that a text in two of the languages stays.
 REJECT = 8.0
