@@ -6,6 +6,7 @@ import os
 from pathlib import Path
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,25 @@ def in_slices(batches, rows: int = 256):
             yield batch.slice(a, rows)
 
 
+def packed(rows: DataFrame, column: str = "text") -> DataFrame:
+    """The rows with a string column compressed, for a shuffle that carries whole texts."""
+
+    def pack(batches):
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in in_slices(batches):
+            small = pa.array([squeeze(t) for t in batch[column].cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([small if c == column else batch[c] for c in batch.schema.names], names=batch.schema.names)
+
+    kinds = ", ".join(f"`{c}` {'binary' if c == column else kind}" for c, kind in rows.dtypes)
+    return rows.mapInArrow(pack, kinds)
+
+
+def unpacked(column: pa.Array) -> list[str]:
+    """The strings of a compressed column."""
+    whole = zstandard.ZstdDecompressor().decompress
+    return [whole(x).decode() for x in column.to_pylist()]
+
+
 def remainder(divisor: int):
     """The crc32 of a document's id, as text, modulo ``divisor``: what to learn from and what to hold out."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
