@@ -12,15 +12,17 @@ is missed:
   ones the sample shows changes the work, not the result.
 * A pair is looked at only where both sets have enough left: of two sets with ``n`` and ``m`` shingles, the first
   one in common is at most at place ``n - 4/9 (n + m)`` of the one and ``m - 4/9 (n + m)`` of the other.
-* Below every shingle the texts are first compared with one of them, a hub, and where there are more than ``LARGE``
-  texts with ``HUBS`` of them, so that a group of ``n`` near copies costs some times ``n`` comparisons: a copy that is too
-  far from one hub is near another.  What that links is one class already.  Then
+* Sets with SimHash fingerprints that differ in few bits are compared first: the Gray-order index of ``near_dup``, over
+  fingerprints of the shingles here, gives a spanning forest of them.  At a similarity of 4/5 fingerprints differ
+  in 10 of 64 bits with a spread of 3, and a radius that misses none would hold a fixed share of all pairs of clean
+  texts, so the index alone is not enough.
+* Below every shingle the texts are compared with one of them, a hub, and where there are more than ``LARGE``
+  texts with up to ``HUBS`` of them, so that a group of ``n`` near copies costs some times ``n`` comparisons.  Shingles that
+  are common stand last in a prefix, so the text that has a shingle at the first place has the fewest of its own
+  before it: it is in the middle of its group, and near to most.  What index and hubs link is one class already.  Then
   texts of different classes below a shingle are candidates if what they share up to their
   last shingle in common, and what is left of both after it, still allow the similarity.
 
-A SimHash index is no help here: at this similarity fingerprints differ in 10 of 64 bits with a
-spread of 3, and a radius that misses none holds a fixed share of all pairs of clean texts.
-
 Cases: null and empty texts, and texts of white space, form a class; a null id never is the
 smallest, and a class of null ids has the id null; texts with the same set are one entry;
 an empty table gives no rows; other columns are not read.
@@ -36,6 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import near_dup
 from millrace.llm.common import in_slices, packed, partitions, stored, texts, unpacked
 from millrace.llm.components import components
 
@@ -100,7 +103,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def entries(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``code``, the number ``size`` of shingles and the ``prefix`` of each row."""
+    """``doc_id``, ``text_hash``, ``code``, ``print``, the number ``size`` of shingles and the ``prefix`` of each row."""
     order = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))  # bounded by COMMON
 
     def sets(batches):
@@ -109,17 +112,18 @@ def entries(docs: DataFrame) -> DataFrame:
             found = [shingles(t) for t in batch["text"].to_pylist()]
             columns = [
                 pa.array([code_of(s) for s in found], pa.int64()),
+                pa.array(np.fromiter(map(near_dup.majority, found), np.uint64, len(found)).view(np.int64)),
                 pa.array([len(s) for s in found], pa.int32()),
                 pa.array([prefix(s, common, rank).view(np.int64) for s in found], pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["text_hash"], *columns], names=["doc_id", "text_hash", "code", "size", "prefix"]
+                [batch["doc_id"], batch["text_hash"], *columns], names=["doc_id", "text_hash", "code", "print", "size", "prefix"]
             )
 
     return (
         texts(docs)
         .select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-        .mapInArrow(sets, "doc_id long, text_hash long, code long, size int, prefix array<long>")
+        .mapInArrow(sets, "doc_id long, text_hash long, code long, print long, size int, prefix array<long>")
     )
 
 
@@ -158,11 +162,23 @@ def _enough(one: str, other: str):
     )
 
 
+def _indexed(found: DataFrame) -> DataFrame:
+    """Pairs ``a`` and ``b`` that join all sets with fingerprints that the index links."""
+    sets = stored(found.groupBy("code").agg(F.min("print").alias("print")), "prints")
+    entries = stored(sets.groupBy(F.col("print").alias("code")).agg(F.min("code").alias("least")), "fingerprints")
+    # sets with one fingerprint are paired with the smallest of them
+    same = sets.join(entries.withColumnRenamed("code", "print"), "print").where("code <> least")
+    near = near_dup.links(entries).select(F.col("u.least").alias("a"), F.col("v.least").alias("b"))
+    pairs = near.union(same.select("code", "least"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _with_hubs(below: DataFrame) -> DataFrame:
-    """Pairs ``a`` and ``b`` of a text and a hub of a shingle that may be linked, each once."""
+    """Pairs ``a`` and ``b`` of a text and a hub of a shingle that may be linked."""
 
-    def hub(k):
-        return F.min(F.struct(F.xxhash64("code", F.lit(k)).alias("h"), "code", "size", "place")).alias(f"h{k}")
+    def hub(k):  # every other one by its place, the rest anywhere
+        first = F.lit(0) if k % 2 else F.col("place")
+        return F.min(F.struct(first.alias("p"), F.xxhash64("code", F.lit(k)).alias("h"), "code", "size", "place")).alias(f"h{k}")
 
     one = stored(below.groupBy("shingle").agg(F.count("*").alias("n"), hub(0)), "hubs")
     large = below.join(one.where(F.col("n") > LARGE).select("shingle"), "shingle", "left_semi")
@@ -171,7 +187,7 @@ def _with_hubs(below: DataFrame) -> DataFrame:
     hubs = one.select("shingle", F.col("h0").alias("h")).union(more).select("shingle", "h.code", "h.size", "h.place").distinct()
     a, b = below.alias("a"), hubs.alias("b")
     apart = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.code") != F.col("b.code")) & _enough("a", "b")
-    return a.join(b, apart).select(F.least("a.code", "b.code").alias("a"), F.greatest("a.code", "b.code").alias("b")).distinct()
+    return a.join(b, apart).select(F.least("a.code", "b.code").alias("a"), F.greatest("a.code", "b.code").alias("b"))
 
 
 def _open(below: DataFrame, roots: DataFrame) -> DataFrame:
@@ -235,7 +251,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Linked pairs ``a`` and ``b`` of codes; their components are those of all linked pairs."""
     below = stored(members(found), "members")
-    first = stored(_with_hubs(below), "pairs")
+    first = stored(_with_hubs(below).union(_indexed(found)).distinct(), "pairs")
     codes = stored(_codes(first).distinct(), "codes")
     sets = stored(_sets(docs, found, codes), "sets")
     good = stored(_verified(first, sets), "good")

@@ -52,11 +52,16 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     parts = zip(*(words[k:] for k in range(shingle))) if len(words) >= shingle else [words]
     hashes = map(xxhash.xxh64_intdigest, map(b" ".join, parts), repeat(seed))
     n = max(1, len(words) - shingle + 1)
-    found, counts = np.fromiter(hashes, "<u8", n), np.zeros(64, np.int64)
-    for a in range(0, n, 1 << 16):
-        bits = np.unpackbits(found[a : a + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return majority(np.fromiter(hashes, "<u8", n))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in more than half of the hashes, as an unsigned number; zero if there are none."""
+    counts = np.zeros(64, np.int64)
+    for a in range(0, len(hashes), 1 << 16):
+        bits = np.unpackbits(hashes[a : a + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -55,3 +55,27 @@ def test_stage_on_the_test_table(spark):
     label = brute([t for _, t in rows])
     kept = near_dup.keep_one(docs)
     assert sorted(r.doc_id for r in kept.collect()) == sorted({rows[k][0] for k in label})
+
+
+def test_a_group_of_near_copies_does_not_meet_pair_by_pair(spark):
+    """Texts that differ from one in up to three places, and hardly any two of them are near each other."""
+    drawn = random.Random(11)
+    base = [f"b{k}" for k in range(150)]
+    texts = [" ".join(base)] + [" ".join(changed(drawn, base, 3)) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near_copies.stored(near_copies.entries(docs), "entries")
+    below = near_copies.stored(near_copies.members(found), "members")
+    first = near_copies._verified(near_copies._with_hubs(below).distinct(), near_copies._sets(docs, found, found.select("code").distinct()))
+    roots = near_copies.components(first, "a", "b").withColumnRenamed("node", "code")
+    assert near_copies._close(near_copies._open(below, roots)).count() < len(texts)
+    assert len(set(brute(texts).tolist())) == near_dup.keep_one(docs).count() == 1
+
+
+def test_index_links_are_candidates(spark):
+    base = [f"b{k}" for k in range(400)]
+    texts = [" ".join(base), " ".join([*base[:-1], "x"]), " ".join(base[::-1])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near_copies.stored(near_copies.entries(docs), "entries")
+    code = {r.doc_id: r.code for r in found.collect()}
+    pairs = {(r.a, r.b) for r in near_copies._indexed(found).collect()}
+    assert pairs == {(min(code[0], code[1]), max(code[0], code[1]))}
