@@ -1,7 +1,9 @@
 """Insight jobs kept up to date batch by batch.
 
-Of each batch of facts a partial result is kept: sums, and the distinct values as bitmaps of
-their dense numbers.  Partial results merge, so the figures over all batches come from the partial
+Of each batch of facts a partial result is kept: sums, and the distinct values as bits of
+their dense numbers, ``WORD`` of them to a row, so that there never are more rows than groups have distinct
+values.  (Spark's bitmap aggregates keep 4 KB for each group and bucket, however few of its bits are set.)
+Partial results merge, so the figures over all batches come from the partial
 ones alone, and a new batch costs a pass over that batch.  A batch that is added again
 takes the place of its first attempt.
 """
@@ -10,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.rows import sort_by_metric
@@ -18,11 +20,16 @@ from millrace.sources.ids import DenseIds
 from millrace.sources.tables import AppendTable, staged
 
 
+#: Bits of a long.
+WORD = 64
+
+
 class Partials:
     """Sums and exact distinct counts per group over batches of rows.
 
     ``sums`` names aggregates by the columns they add up, ``counted`` those of which the values
-    that aren't null are counted, ``distinct`` the column whose distinct values are.
+    that aren't null are counted, ``distinct`` the column whose distinct values are.  Sums lie in ``totals``, a row for each
+    group and batch, and bits in ``parts``; a batch that dies between the two is to be added again, as any that dies.
     """
 
     def __init__(
@@ -31,42 +38,44 @@ class Partials:
         self.group, self.distinct, self.sums, self.counted = group, distinct, dict(sums), dict(counted)
         self.ids = DenseIds(spark, f"{path}/ids")
         self.parts = AppendTable(spark, f"{path}/partials")
+        self.totals = AppendTable(spark, f"{path}/totals")
 
     def add(self, facts: DataFrame, batch: str) -> None:
         """Keep the partial result of one batch of rows."""
         columns = list(dict.fromkeys([self.group, self.distinct, *self.sums.values(), *self.counted.values()]))
         with staged(facts.select(*columns), "facts") as rows:
-            numbered = self.ids.number(rows, self.distinct, "_number")
-            part = numbered.groupBy(self.group, F.bitmap_bucket_number("_number").alias("bucket")).agg(
-                *[F.sum(c).alias(n) for n, c in self.sums.items()],
-                *[F.count(c).alias(n) for n, c in self.counted.items()],
-                F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("bits"),
-            )
-            self.parts.append(part, batch)
+            sums = [F.sum(c).alias(n) for n, c in self.sums.items()]
+            counts = [F.count(c).alias(n) for n, c in self.counted.items()]
+            self.totals.append(rows.groupBy(self.group).agg(*sums, *counts), batch)
+            numbered = self.ids.number(rows.select(self.group, self.distinct), self.distinct, "_number")
+            # a value that is null has no number, and counts as none
+            place, bit = F.floor(F.col("_number") / WORD), F.expr(f"shiftleft(1L, CAST(_number % {WORD} AS INT))")
+            words = numbered.where("_number IS NOT NULL").groupBy(self.group, place.alias("word")).agg(F.bit_or(bit).alias("bits"))
+            self.parts.append(words, batch)
+
+    def _words(self) -> DataFrame:
+        return self.parts.read().groupBy(self.group, "word").agg(F.bit_or("bits").alias("bits"))
+
+    def _sums(self, *more: str) -> list[Column]:
+        return [F.sum(n).alias(n) for n in (*self.sums, *self.counted, *more)]
 
     def merged(self, distinct_as: str) -> DataFrame:
         """One row per group over all batches, the number of distinct values as ``distinct_as``."""
-        parts = self.parts.read()
-        if parts is None:
+        totals = self.totals.read()
+        if totals is None:
             raise ValueError("no batch has been added")
-        sums = [*self.sums, *self.counted]
-        by_bucket = parts.groupBy(self.group, "bucket").agg(
-            *[F.sum(n).alias(n) for n in sums], F.bitmap_or_agg("bits").alias("bits")
-        )
-        # a value that is null has no bucket, and counts as none
-        bits = F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits")).otherwise(0)
-        return by_bucket.groupBy(self.group).agg(*[F.sum(n).alias(n) for n in sums], F.sum(bits).alias(distinct_as))
+        values = self._words().groupBy(self.group).agg(F.sum(F.bit_count("bits")).alias(distinct_as))
+        both = totals.withColumn(distinct_as, F.lit(0).cast("long")).unionByName(values, allowMissingColumns=True)
+        return both.groupBy(self.group).agg(*self._sums(distinct_as))
 
     def compact(self, batch: str) -> None:
         """Put one merged partial result in place of all there are; ``batch`` names it."""
-        parts = self.parts.read()
-        if parts is None:
+        totals = self.totals.read()
+        if totals is None:
             return
-        merged = parts.groupBy(self.group, "bucket").agg(
-            *[F.sum(n).alias(n) for n in (*self.sums, *self.counted)], F.bitmap_or_agg("bits").alias("bits")
-        )
-        with staged(merged.select(*parts.columns), "compacted") as rows:
-            self.parts.replace(rows, batch)
+        for table, merged in ((self.totals, totals.groupBy(self.group).agg(*self._sums())), (self.parts, self._words())):
+            with staged(merged, "compacted") as rows:
+                table.replace(rows, batch)
 
 
 class ChannelGrowth:

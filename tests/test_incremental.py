@@ -69,6 +69,19 @@ def test_comments_equal_the_whole(spark, tmp_path):
     assert rows(job.result(some)) == rows(want)
 
 
+def test_partials_of_sparse_groups_stay_small(spark, tmp_path):
+    """A group with few of very many values keeps a few words, not a whole bitmap."""
+    job = CommentInsights(spark, str(tmp_path / "comments"))
+    job.add(spark.range(40_000).selectExpr("id", "id % 400", "1", "id").toDF("comment_thread_id", "video_id", "comment_likes", "author_id"), "0")
+    parts = job.partials.parts.read()
+    assert parts.count() <= 40_000
+    held = sum(f.stat().st_size for f in (tmp_path / "comments" / "partials").rglob("*.parquet"))
+    assert held < 24 * 40_000
+    assert parts.selectExpr("max(length(CAST(bits AS BINARY)))").first()[0] <= 8
+    got = job.partials.merged("authors")
+    assert got.selectExpr("count(*)", "min(authors)", "max(authors)").first() == (400, 100, 100)
+
+
 def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
     drawn = random.Random(6)
     some = videos(spark, drawn, 30).filter("video_id IS NOT NULL")
