@@ -14,7 +14,7 @@ from millrace.functions import ratio
 from millrace.operators.normalise import split_values
 from millrace.plans import insights
 from millrace.plans.incremental import ChannelGrowth, CommentInsights
-from millrace.sources.catalog import write_bucketed
+from millrace.sources.catalog import buckets_for, write_bucketed
 from millrace.sources.files import work_folder
 
 
@@ -152,12 +152,13 @@ def incremental_comments(spark, d):
 
 def bucketed_insight(spark, d):
     """Comments and videos in catalog tables bucketed by video; no shuffle on the video"""
+    buckets = buckets_for(table(spark, d, "lineitem").count(), 8)
     frames = {
         "comment_threads": write_bucketed(
-            _comments(spark, d), "checked_buckets", "comment_threads", ["video_id"], 8, work_folder(spark, "comments")
+            _comments(spark, d), "checked_buckets", "comment_threads", ["video_id"], buckets, work_folder(spark, "comments")
         ),
         "trending_videos": write_bucketed(
-            _videos(spark, d), "checked_buckets", "trending_videos", ["video_id"], 8, work_folder(spark, "videos")
+            _videos(spark, d), "checked_buckets", "trending_videos", ["video_id"], buckets, work_folder(spark, "videos")
         ),
     }
     return insights.comment_insights(frames)

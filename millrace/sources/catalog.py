@@ -73,6 +73,21 @@ def create_or_repair(
     return "repaired" if existed else "created"
 
 
+#: Rows that one task can group in memory, whatever their keys.
+ROWS_A_BUCKET = 500_000
+
+
+def buckets_for(rows: int, least: int) -> int:
+    """So many buckets, ``least`` times a power of two, that a bucket of evenly dealt keys has at most ``ROWS_A_BUCKET`` rows.
+
+    Give the larger of two tables that are to meet, and use the number for both.
+    """
+    n = least
+    while n * ROWS_A_BUCKET < rows:
+        n *= 2
+    return n
+
+
 def write_bucketed(
     df: DataFrame,
     database: str,
