@@ -140,7 +140,8 @@ def golden_manifest(spark, d):
 def spread_input(spark, d):
     """Few files spread over more tasks, and an input that is not there"""
     path = work_folder(spark, "raw")
-    table(spark, d, "lineitem").coalesce(1).write.parquet(path)
+    items = table(spark, d, "lineitem")
+    items.coalesce(-(-items.rdd.getNumPartitions() // 4)).write.parquet(path)
     rows = read_input(spark, {"format": "parquet", "path": path, "repartition": 8})
     absent = read_if_exists(spark, f"{path}-absent")
     return rows.unionByName(empty_frame(spark, rows.schema) if absent is None else absent)

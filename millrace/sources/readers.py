@@ -33,8 +33,8 @@ def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
 
     ``path`` is one path or a list.  A ``schema`` (StructType or DDL) saves the extra
     pass over the data that inference takes.  ``select_columns`` reaches the reader.
-    ``repartition`` spreads the rows over that many tasks, for few and large files that
-    cannot be split (gzip).  With ``rejects`` a CSV or JSON line that does not fit the schema is kept
+    ``repartition`` spreads the rows over that many tasks, or over as many as the scan has if that is more, for few
+    and large files that cannot be split (gzip): what a task reads does not grow with an input that can.  With ``rejects`` a CSV or JSON line that does not fit the schema is kept
     as text in :data:`CORRUPT`, with its file in :data:`ORIGIN`; without, what doesn't fit is null.
     """
     kind = config.get("format", "csv")
@@ -62,7 +62,7 @@ def read_input(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     if columns != "all":
         df = df.select(*columns, *([CORRUPT, ORIGIN] if extra else []))
     if config.get("repartition"):
-        df = df.repartition(int(config["repartition"]))
+        df = df.repartition(max(int(config["repartition"]), df.rdd.getNumPartitions()))
     if config.get("cache", False):
         level = config.get("data_persistence", "MEMORY_AND_DISK")
         df = df.persist(_LEVELS.get(level, StorageLevel.MEMORY_AND_DISK))

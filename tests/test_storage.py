@@ -404,3 +404,16 @@ def test_finish_event(spark, tmp_path):
 def test_missing_paths_raise(spark):
     with pytest.raises(AnalysisException):
         rd.read_input(spark, {"format": "parquet", "path": "/no/such/place"})
+
+
+def test_an_input_is_never_put_into_fewer_tasks(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(600).repartition(6).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(256 << 20))  # a task for each file
+    try:
+        few, more = (rd.read_input(spark, {"format": "parquet", "path": path, "repartition": n}) for n in (2, 9))
+        assert (few.rdd.getNumPartitions(), more.rdd.getNumPartitions()) == (6, 9)
+        assert few.count() == more.count() == 600
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
