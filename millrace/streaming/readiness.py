@@ -196,9 +196,21 @@ def run_available(
 ) -> None:
     """Run a stream over all input there is and stop; results are added to ``path``.
 
-    The file sink notes finished epochs, so a restart neither loses nor repeats rows.
+    The file sink notes finished epochs, so a restart neither loses nor repeats rows.  Batches without data are off,
+    as state with a time to live asks for another one after each, without end; what has expired is not read anyway.
     """
-    query = (
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        query = _start(stream, checkpoint, path, partition_by)
+    finally:
+        conf.set(key, before)
+    query.awaitTermination()
+
+
+def _start(stream: DataFrame, checkpoint: str, path: str, partition_by: list[str] | None):
+    return (
         stream.writeStream.format("parquet")
         .partitionBy(*(partition_by or []))
         .option("checkpointLocation", checkpoint)
@@ -207,4 +219,3 @@ def run_available(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()

@@ -13,8 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Mapping
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -28,35 +27,40 @@ FIRED = "batch_id string, round long, target string"
 
 
 class _Rounds(StatefulProcessor):
+    """State of a batch id is one value, read and written once in a trigger: each call to a state costs
+    a round trip to the JVM, and there are as many batch ids as runs."""
+
     def __init__(self, needs: Mapping[str, tuple[str, ...]], ttl_ms: int | None) -> None:
         self.needs = {t: list(e) for t, e in needs.items()}
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "event string", "at long, id long, status string", self.ttl_ms)
-        self.fired = handle.getMapState("fired", "target string", "done boolean", self.ttl_ms)
+        # as JSON: for each event its newest time, id, status and when it came, for each target that fired when it did
+        self.seen = handle.getValueState("seen", "events string, fired string", self.ttl_ms)
         self.round = handle.getValueState("round", "number long", self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            for event, status, at, number in zip(frame["finish_event"], frame["status"], frame["at"], frame["id"]):
-                stamp = (-(1 << 63) if pd.isna(at) else int(pd.Timestamp(at).value), int(number))
-                known = self.seen.getValue((event,)) if self.seen.containsKey((event,)) else None
-                if known is None or stamp >= (known[0], known[1]):
-                    self.seen.updateValue((event,), (*stamp, status))
-        # state has one row for each event that a target waits for, and one for each target
-        done = {k[0] for k, v in self.seen.iterator() if v[2] in DONE}
-        fired = {k[0] for k in self.fired.keys()}
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs() if self.ttl_ms else 0
+        seen, fired = (json.loads(text) for text in self.seen.get() or ("{}", "{}"))
+        if self.ttl_ms:  # each event and target expires by itself
+            seen = {event: v for event, v in seen.items() if v[3] + self.ttl_ms > now}
+            fired = {target: at for target, at in fired.items() if at + self.ttl_ms > now}
+        for row in rows:
+            stamp = [-(1 << 63) if row.at is None else row.at, row.id]
+            known = seen.get(row.finish_event)
+            if known is None or stamp >= known[:2]:
+                seen[row.finish_event] = [*stamp, row.status, now]
+        done = {event for event, v in seen.items() if v[2] in DONE}
         new = [t for t, events in self.needs.items() if t not in fired and done.issuperset(events)]
-        number = self.round.get()[0] if self.round.exists() else 0
-        for target in new:
-            self.fired.updateValue((target,), (True,))
-        if len(fired) + len(new) == len(self.needs):
+        number = (self.round.get() or (0,))[0] if new else 0
+        fired |= dict.fromkeys(new, now)
+        if len(fired) == len(self.needs):
             self.seen.clear()
-            self.fired.clear()
             self.round.update((number + 1,))
-        if new:
-            yield pd.DataFrame({"batch_id": [key[0]] * len(new), "round": [number] * len(new), "target": new})
+        else:
+            self.seen.update((json.dumps(seen), json.dumps(fired)))
+        for target in new:
+            yield Row(batch_id=key[0], round=number, target=target)
 
     def close(self) -> None:
         pass
@@ -70,8 +74,9 @@ def readiness_rounds(messages: DataFrame, mapping: Mapping[str, tuple[str, ...]]
     wanted = sorted({e for events in mapping.values() for e in events})
     return (
         newest_per_task(messages.filter(F.col("finish_event").isin(wanted)))
+        .select("batch_id", "finish_event", "status", F.unix_micros("at").alias("at"), "id")
         .groupBy("batch_id")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=_Rounds(mapping, ttl_ms),
             outputStructType=FIRED,
             outputMode="Append",

@@ -5,10 +5,11 @@ import time
 
 import pytest
 from conftest import rows
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from millrace.streaming import readiness as rd
-from millrace.streaming.rounds import PROVIDER, ReadinessLoop, readiness_rounds
+from millrace.streaming.rounds import PROVIDER, ReadinessLoop, _Rounds, readiness_rounds
 
 KIND = "batch_id string, finish_event string, dataset string, status string, at timestamp, id long"
 MAPPING = {"ab": ("a", "b"), "b": ("b",), "ca": ("c", "a")}
@@ -80,6 +81,59 @@ def test_state_expires(rocks, tmp_path):
     assert run() == [("1", "b"), ("2", "ab"), ("2", "b")]  # a of batch 1 has been forgotten
 
 
+class Counted:
+    """States of one key without a stream; counts the calls, each of which is a round trip."""
+
+    def __init__(self):
+        self.calls, self.now = 0, 0
+
+    def getValueState(self, name, *_):
+        handle = self
+
+        class Value:
+            held = None
+
+            def get(self):
+                handle.calls += 1
+                return self.held
+
+            def update(self, value):
+                handle.calls += 1
+                self.held = value
+
+            def clear(self):
+                self.update(None)
+
+        return Value()
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_calls_to_the_state_do_not_grow_with_the_events():
+    needs = {f"t{k}": (f"e{k}",) for k in range(40)} | {"never": ("x",)}
+    handle, rounds = Counted(), _Rounds(needs, None)
+    rounds.init(handle)
+    batch = [Row(finish_event=f"e{k}", status="SUCCESS", at=None, id=k) for k in range(40)]
+    assert len(list(rounds.handleInputRows(("1",), iter(batch), handle))) == 40
+    assert handle.calls <= 3
+    assert list(rounds.handleInputRows(("1",), iter(batch), handle)) == []
+    assert handle.calls <= 5
+
+
+def test_each_event_expires_by_itself():
+    handle, rounds = Counted(), _Rounds({"ab": ("a", "b"), "abc": ("a", "b", "c")}, 1000)
+    rounds.init(handle)
+
+    def put(now, event):
+        handle.now = now
+        made = rounds.handleInputRows(("1",), iter([Row(finish_event=event, status="SUCCESS", at=None, id=1)]), handle)
+        return [r.target for r in made]
+
+    assert put(0, "a") == put(800, "c") == put(1500, "b") == []  # a is forgotten by then
+    assert put(1600, "a") == ["ab", "abc"]
+
+
 def test_a_target_added_between_triggers_fires(spark, tmp_path):
     inbox = Inbox(spark, tmp_path / "in")
     mapping = tmp_path / "mapping.json"
