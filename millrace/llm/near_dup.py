@@ -247,7 +247,7 @@ def _first_row(levels, level: int, node: np.ndarray) -> np.ndarray:
     return node
 
 
-def _descend(levels, level: int, a: np.ndarray, b: np.ndarray, radius: int, at_once: int = 1 << 14):
+def _descend(levels, level: int, a: np.ndarray, b: np.ndarray, radius: int, at_once: int = 1 << 11):
     low, high, _, edge = levels[level]
     same_a, same_b = ~(low[a] ^ high[a]), ~(low[b] ^ high[b])
     differ = (low[a] ^ low[b]) & same_a & same_b

@@ -1,6 +1,7 @@
 """Near copies of the pipeline against brute force over all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -79,3 +80,17 @@ def test_index_links_are_candidates(spark):
     code = {r.doc_id: r.code for r in found.collect()}
     pairs = {(r.a, r.b) for r in near_copies._indexed(found).collect()}
     assert pairs == {(min(code[0], code[1]), max(code[0], code[1]))}
+
+
+def test_descent_holds_little_at_once():
+    """64 nodes of 1,024 codes that share some of their bits, as upper nodes of the index are."""
+    drawn = np.random.default_rng(1)
+    group = np.repeat(np.arange(64), 1024)
+    code = drawn.integers(0, 1 << 40, 1 << 16, dtype=np.uint64) | group.astype(np.uint64) << np.uint64(50)
+    code = code[np.lexsort((near_dup.gray_rank(code), group))]
+    tracemalloc.start()
+    for _ in near_dup.near_pairs(code, group, near_dup.RADIUS):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
