@@ -10,7 +10,7 @@ scripts, styles, reader comments, hidden elements) is left out first.  For the r
   text that hold one.
 
 What is short stands on paths of low ratios even where it is content, so other blocks are rescued by where they
-are: between content blocks, beside them in the same element, or headings right before the first. Where
+are: between content blocks, beside them in the same element, as items of a list there too, or headings right before the first. Where
 article-like elements hold most of the content, these are the article, whole if they are nested or side by
 side, and the other blocks in them are rescued too.  Runs of blocks that are little but links are not
 rescued: a list of links in the article stays out by its paths.
@@ -71,6 +71,8 @@ CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+#: Lists and their items.
+LISTED = frozenset("ul ol dl li dt dd".split())
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 TOKEN = re.compile(
@@ -288,7 +290,7 @@ def _article(found: _Page, nodes: list) -> list[_Block]:
     homes = {_home(found, blocks[k].element)[1] for k in places}
     return [
         b for k, b in enumerate(blocks)
-        if b.content or not lists[k] and (first <= k <= last or _home(found, b.element)[1] in homes)
+        if b.content or not lists[k] and (first <= k <= last or _home(found, b.element)[1] in homes or _around(found, b.element) in homes)
     ]
 
 
@@ -322,6 +324,14 @@ def _home(found: _Page, element: int) -> tuple[str, int]:
     return found.tag[element], found.parent[element]
 
 
+def _around(found: _Page, element: int) -> int:
+    """The element around the block element that an element is or lies in; of an item, the one around its lists."""
+    around = _home(found, element)[1]
+    while around > 0 and found.tag[around] in LISTED:
+        around = found.parent[around]
+    return around
+
+
 def _fused(found: _Page, solid: list) -> list[bool]:
     """Whether each text node is content, by the fused ratios of its path.
 

@@ -131,6 +131,16 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("end, more", [
+    ("<ul><li>A<li><p>B</p><ol><li>C</ol></ul>", "\nA\nB\nC"), ("<dl><dt>A<dd>B</dl>", "\nA\nB"),
+    ("<ul><li><a href=x>More</a><li><a href=y>News</a></ul>", ""),
+])
+def test_lists_at_the_end_of_the_text(end, more):
+    text = "Long text, here it is, with a good many words. And more of it, as is fit."
+    page = f"<div><div><p>{text}</p><p>{text}</p>{end}</div><div><ul><li>Off<li>Out</ul></div></div>"
+    assert html_text.main_text(page) == f"{text}\n{text}{more}"
+
+
 def test_shard():
     drawn = np.random.default_rng(0)
     for trial in range(60):
