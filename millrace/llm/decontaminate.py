@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import importable, texts
+from millrace.llm.common import importable, in_slices, texts
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -257,7 +257,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def keep(batches, index=index):
             of = index.value
-            for batch in batches:
+            for batch in in_slices(batches):
                 yield batch.filter(pa.array([not of.links(t) for t in batch["text"].to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)

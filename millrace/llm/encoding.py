@@ -36,9 +36,9 @@ BYTE_LETTERS = _byte_letters()
 
 
 class Encoder:
-    """Ids of texts.  ``kept`` bounds the words that a worker remembers."""
+    """Ids of texts.  ``kept`` bounds the words that a worker remembers, ``slice_bytes`` the texts it encodes at once."""
 
-    def __init__(self, path: str, kept: int = 600_000, longest: int = 64, slice_bytes: int = 6 << 20):
+    def __init__(self, path: str, kept: int = 100_000, longest: int = 64, slice_bytes: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -56,7 +56,7 @@ class Encoder:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def documents(self, texts: pa.Array):
-        """The ids of each text, one array after the other; some megabytes at a time."""
+        """The ids of each text, one array after the other; about a megabyte at a time."""
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         a = 0
         while a < len(texts):

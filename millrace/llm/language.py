@@ -240,7 +240,9 @@ def fit(docs: DataFrame, learn: Column) -> Languages:
         return Languages()
     size = max(1, min(SAMPLE, ALL_SAMPLES // len(counts)))
     # twice as many as are wanted pass, and of these the first
-    passing = docs.sparkSession.createDataFrame([(r["lang"], 2.0 * size / r["count"]) for r in counts], "lang string, pass double")
+    # (an Arrow table, which needs no Python worker on the executors)
+    wanted = {"lang": [r["lang"] for r in counts], "pass": [2.0 * size / r["count"] for r in counts]}
+    passing = docs.sparkSession.createDataFrame(pa.table(wanted))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     length = F.length("text")
     start = F.when(length > LONGEST, F.pmod(F.xxhash64("text", "doc_id"), length - (LONGEST - 1))).otherwise(0)

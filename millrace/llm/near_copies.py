@@ -91,7 +91,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     chosen = texts(docs).distinct().where(place < min(1.0, SAMPLE / max(rows, 1)))
 
     def each(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             for text in batch["text"].to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(text).view(np.int64))], names=["shingle"])
 
@@ -231,7 +231,9 @@ def _sets(docs: DataFrame, found: DataFrame, codes: DataFrame) -> DataFrame:
             )
 
     whole = packed(texts(docs).select(F.xxhash64("text").alias("h"), "text"))
-    return whole.join(wanted, "h", "left_semi").select("text").mapInArrow(sets, "code long, shingles binary").dropDuplicates(["code"])
+    # written between the two, so that no stage has two Python workers for each task
+    chosen = stored(whole.join(wanted, "h", "left_semi").select("text"), "chosen")
+    return chosen.mapInArrow(sets, "code long, shingles binary").dropDuplicates(["code"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
