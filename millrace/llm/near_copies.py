@@ -6,12 +6,14 @@ least 4/5, and a class is what links reach.  Every link is verified on the whole
 is missed:
 
 * With the shingles of all texts in one order, two linked sets of ``n`` and ``m`` shingles have
-  one in common among the first ``n - ceil(4n/5) + 1`` and ``m - ceil(4m/5) + 1`` (prefix filter).
-  Texts meet below the shingles of these prefixes.  Shingles that a bounded sample of texts
-  shows to be common are last in the order, so that they hardly ever stand in a prefix; which
-  ones the sample shows changes the work, not the result.
+  one in common among the first ``n - ceil(4n/5) + 1`` and ``m - ceil(4m/5) + 1`` (prefix filter), and
+  one more for each by which both prefixes are longer.  Texts meet below the shingles of prefixes that are
+  longer by ``more(n)``.  Shingles that a bounded sample of texts shows to be common are last in the order, so that
+  they hardly ever stand in a prefix; which ones the sample shows changes the work, not the result.
 * A pair is looked at only where both sets have enough left: of two sets with ``n`` and ``m`` shingles, the first
-  one in common is at most at place ``n - 4/9 (n + m)`` of the one and ``m - 4/9 (n + m)`` of the other.
+  one in common is at most at place ``n - 4/9 (n + m)`` of the one and ``m - 4/9 (n + m)`` of the other.  Up to
+  ``more(n)`` and ``more(m)`` places further they have one more in common for each place of the lesser.  Long texts
+  that share a phrase by chance, whose pairs grow with the square of the corpus, share one shingle there, not several.
 * Sets with SimHash fingerprints that differ in few bits are compared first: the Gray-order index of ``near_dup``, over
   fingerprints of the shingles here, gives a spanning forest of them.  At a similarity of 4/5 fingerprints differ
   in 10 of 64 bits with a spread of 3, and a radius that misses none would hold a fixed share of all pairs of clean
@@ -19,10 +21,13 @@ is missed:
 * Below every shingle the texts are compared with one of them, a hub, and where there are more than ``LARGE``
   texts with up to ``HUBS`` of them, so that a group of ``n`` near copies costs some times ``n`` comparisons.  Shingles that
   are common stand last in a prefix, so the text that has a shingle at the first place has the fewest of its own
-  before it: it is in the middle of its group, and near to most.  What index and hubs link is one class already.  Then
+  before it: it is in the middle of its group, and near to most.  A text and a hub whose fingerprints differ in more than
+  ``ALIKE`` bits are left for later.  What index and hubs link is one class already.  Then
   texts of different classes below a shingle are candidates if what they share up to their
   last shingle in common, and what is left of both after it, still allow the similarity.
 
+A table is deleted when nothing reads it any more, so the disk holds what one step needs and not all of them.
+
 Cases: null and empty texts, and texts of white space, form a class; a null id never is the
 smallest, and a class of null ids has the id null; texts with the same set are one entry;
 an empty table gives no rows; other columns are not read.
@@ -39,12 +44,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import near_dup
-from millrace.llm.common import in_slices, packed, partitions, stored, texts, unpacked
+from millrace.llm.common import in_slices, packed, partitions, scratch, stored, texts, unpacked
 from millrace.llm.components import components
 
 SHINGLE = 5
 LARGE = 64
 HUBS = 12
+#: Bits in which the fingerprints of a text and a hub may differ; at a similarity of 4/5 they differ in 10, by chance in 32.
+ALIKE = 20
+#: One more shingle in a prefix for so many of a set.
+PER_MORE = 50
 #: Texts of the sample for the order of shingles, and the most shingles that it may put last.
 SAMPLE = 16_000
 COMMON = 200_000
@@ -66,8 +75,13 @@ def code_of(found: np.ndarray) -> int:
     return int(np.array([xxhash.xxh64_intdigest(found.tobytes())], np.uint64).view(np.int64)[0])
 
 
+def more(n: int) -> int:
+    """By how many shingles the prefix of a set is longer than it has to be for one in common."""
+    return 1 + n // PER_MORE
+
+
 def prefix(found: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The shingles of which a linked set has one in its own prefix; common ones come last, by rank."""
+    """The shingles of which a linked set has ``more`` and one in its own prefix; common ones come last, by rank."""
     n = len(found)
     if not n:
         return found
@@ -75,7 +89,7 @@ def prefix(found: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarra
     if len(common):
         row = np.minimum(np.searchsorted(common, found), len(common) - 1)
         late = np.where(common[row] == found, rank[row], 0)
-    return found[np.argsort(late, kind="stable")[: n - -(-4 * n // 5) + 1]]
+    return found[np.argsort(late, kind="stable")[: n - -(-4 * n // 5) + 1 + more(n)]]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -154,12 +168,16 @@ def _shared(batches):
         last, told = batch.slice(len(batch) - 1), bool(keep[-1])
 
 
-def _enough(one: str, other: str):
-    """Whether what both sets have from their places on still allows the similarity."""
+def _enough(one: str, other: str, further=lambda size: F.lit(0)):
+    """Whether what both sets have from their places on, or from so much further to the front, still allows the similarity."""
     need = 4 * (F.col(f"{one}.size") + F.col(f"{other}.size"))
-    return (9 * (F.col(f"{one}.size") - F.col(f"{one}.place")) >= need) & (
-        9 * (F.col(f"{other}.size") - F.col(f"{other}.place")) >= need
-    )
+    left = [9 * (F.col(f"{x}.size") - F.col(f"{x}.place") + further(F.col(f"{x}.size"))) for x in (one, other)]
+    return (left[0] >= need) & (left[1] >= need)
+
+
+def _more(size):
+    """``more`` of a column."""
+    return 1 + F.floor(size / PER_MORE)
 
 
 def _indexed(found: DataFrame) -> DataFrame:
@@ -202,19 +220,23 @@ def _close(below: DataFrame) -> DataFrame:
     """Pairs ``a`` and ``b`` of texts of different classes (``root``) that may be linked, each once.
 
     What two sets share up to their last shingle in common here is what is counted; beyond it
-    they share at most what is left of the shorter one.
+    they share at most what is left of the shorter one.  All that they share in the first places of both is
+    counted, and linked sets share one there and ``more`` of the lesser, or all that they need.
     """
     a, b = below.alias("a"), below.alias("b")
-    apart = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root")) & _enough("a", "b")
+    sizes = (5 * F.col("a.size") >= 4 * F.col("b.size")) & (5 * F.col("b.size") >= 4 * F.col("a.size"))
+    apart = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root")) & sizes & _enough("a", "b", _more)
     found = (
         a.join(b, apart)
         .groupBy(F.least("a.code", "b.code").alias("a"), F.greatest("a.code", "b.code").alias("b"))
         .agg(
             F.count("*").alias("shared"), F.max(F.col("a.size") + F.col("b.size")).alias("sum"),
+            F.min(F.least("a.size", "b.size")).alias("lesser"),
             F.min(F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) - 1).alias("left"),
         )
     )
-    return found.where(9 * (F.col("shared") + F.col("left")) >= 4 * F.col("sum")).select("a", "b")
+    several = F.col("shared") >= F.least(F.ceil(4 * F.col("sum") / 9), 1 + _more(F.col("lesser")))
+    return found.where(several & (9 * (F.col("shared") + F.col("left")) >= 4 * F.col("sum"))).select("a", "b")
 
 
 def _sets(docs: DataFrame, found: DataFrame, codes: DataFrame) -> DataFrame:
@@ -250,17 +272,32 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def links(docs: DataFrame, found: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose fingerprints differ in ``ALIKE`` bits at most; ``_close`` looks at the others."""
+    prints = stored(found.groupBy("code").agg(F.min("print").alias("print")), "prints")
+    a, b = (prints.select(F.col("code").alias(x), F.col("print").alias(f"{x}_print")) for x in ("a", "b"))
+    bits = F.bit_count(F.col("a_print").bitwiseXOR(F.col("b_print")))
+    return pairs.distinct().join(a, "a").join(b, "b").where(bits <= ALIKE).select("a", "b")
+
+
+def _good(docs: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The linked ones of ``pairs``, stored."""
+    with scratch() as keep:
+        with scratch() as keep_sets:
+            codes = stored(_codes(pairs).distinct(), "codes")
+            sets = keep_sets(stored(_sets(docs, found, codes), "sets"))
+        return keep(stored(_verified(pairs, sets), "good"))
+
+
+def links(docs: DataFrame, found: DataFrame, below: DataFrame) -> DataFrame:
     """Linked pairs ``a`` and ``b`` of codes; their components are those of all linked pairs."""
-    below = stored(members(found), "members")
-    first = stored(_with_hubs(below).union(_indexed(found)).distinct(), "pairs")
-    codes = stored(_codes(first).distinct(), "codes")
-    sets = stored(_sets(docs, found, codes), "sets")
-    good = stored(_verified(first, sets), "good")
-    roots = stored(components(good, "a", "b"), "roots").withColumnRenamed("node", "code")
-    rest = stored(_close(_open(below, roots)).join(first, ["a", "b"], "left_anti"), "rest")
-    more = stored(_sets(docs, found, _codes(rest).distinct().join(codes, "code", "left_anti")), "sets")
-    return good.union(stored(_verified(rest, sets.union(more)), "more"))
+    with scratch() as keep:
+        first = keep(stored(_alike(_with_hubs(below), found).union(_indexed(found)).distinct(), "pairs"))
+    good = _good(docs, found, first)
+    with scratch() as keep:
+        roots = stored(components(good, "a", "b"), "roots").withColumnRenamed("node", "code")
+        rest = keep(stored(_close(_open(below, roots)).join(first, ["a", "b"], "left_anti"), "rest"))
+    return good.union(_good(docs, found, rest))
 
 
 def _codes(pairs: DataFrame) -> DataFrame:
@@ -269,8 +306,12 @@ def _codes(pairs: DataFrame) -> DataFrame:
 
 def duplicate_classes(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_hash``, ``code``, ``component_id`` and ``class``, a code, of each row."""
-    found = stored(entries(docs), "entries")
-    roots = stored(components(links(docs, found), "a", "b"), "roots")
+    with scratch() as keep:
+        with scratch() as keep_below:
+            made = stored(entries(docs), "entries")
+            below = keep_below(stored(members(made), "members"))
+            found = keep_below(stored(made.select("doc_id", "text_hash", "code", "print"), "codes"))
+        roots = keep(stored(components(links(docs, keep(found), below), "a", "b"), "roots"))
     rows = found.select("doc_id", "text_hash", "code").join(roots, F.col("code") == F.col("node"), "left")
     rows = rows.select("doc_id", "text_hash", "code", F.coalesce("root", "code").alias("class"))
     least = rows.groupBy("class").agg(F.min("doc_id").alias("component_id"))
